@@ -1,6 +1,6 @@
 """Importing this module registers every query."""
 
-from txnguard.plans import featurize  # noqa: F401
+from txnguard.plans import featurize, reports, rules  # noqa: F401
 from txnguard.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -113,7 +113,7 @@ cte("dlv", f"""
  UNION ALL
  SELECT event_id, event_timestamp_ms, customer_id, card_token, amount + 1, currency, amount_fx_normalised,
   merchant_id_hash, merchant_name, mcc, merchant_country, ip_address_hash, device_fingerprint_hash,
-  geo_distance_km, 'appeal', schema_version, round(fraud_score / 2, 8), {decide('round(fraud_score / 2, 8)')},
+  geo_distance_km, 'appeal', schema_version, fraud_score / 2, {decide('fraud_score / 2')},
   model_name, model_version, scored_at_ms + (id % 3 - 1) * 1000, scoring_latency_ms,
   feature_completeness, blocklist_hit, blocklist_tier, blocklist_reason, velocity_hit, velocity_window, velocity_reason,
   id + 10000000

@@ -133,8 +133,8 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         "arrival": F.col("id") + 10_000_000,
         "amount": F.col("amount") + 1,
         "source_label": F.lit("appeal"),
-        "fraud_score": F.round(F.col("fraud_score") / 2, 8),
-        "decision": X.decide(F.round(F.col("fraud_score") / 2, 8)),
+        "fraud_score": F.col("fraud_score") / 2,
+        "decision": X.decide(F.col("fraud_score") / 2),
         "scored_at_ms": F.col("scored_at_ms") + (F.col("id") % 3 - 1) * 1000,
     })
     return first.unionByName(again).select(*SCORED.fieldNames(), "arrival")
