@@ -45,16 +45,18 @@ def completeness() -> Column:
     return F.round(known / F.lit(len(K.FEATURES)), 4)
 
 
-def rules(events: DataFrame, entries: DataFrame, windows=K.VELOCITY_WINDOWS, block_ms: int = HOUR_MS) -> DataFrame:
+def rules(events: DataFrame, entries: DataFrame, windows=K.VELOCITY_WINDOWS, block_ms: int = HOUR_MS,
+          history: DataFrame | None = None) -> DataFrame:
     """List verdict as of event time, then velocity over the events no list caught."""
     listed = lists.check(events, entries)
-    return velocity.check(listed, windows, ~F.col("blocklist_hit"), block_ms)
+    return velocity.check(listed, windows, ~F.col("blocklist_hit"), block_ms, history)
 
 
 def fast_path(events: DataFrame, entries: DataFrame, model: Scorecard | Callable[[DataFrame], DataFrame],
               windows=K.VELOCITY_WINDOWS, review_at: float = K.REVIEW_AT, block_at: float = K.BLOCK_AT,
               scored_at: Column | None = None, latency: Column | None = None,
-              model_name: str = "model", model_version: str = "v1", block_ms: int = HOUR_MS) -> DataFrame:
+              model_name: str = "model", model_version: str = "v1", block_ms: int = HOUR_MS,
+              history: DataFrame | None = None) -> DataFrame:
     """Scored records (29 fields).
 
     A block hit scores 1, a hot or velocity hit 0.5, both with completeness 0;
@@ -62,7 +64,7 @@ def fast_path(events: DataFrame, entries: DataFrame, model: Scorecard | Callable
     split; any other model is a function from those rows to the same rows with
     ``fraud_score``, applied to them alone.
     """
-    ruled = rules(events, entries, windows, block_ms)
+    ruled = rules(events, entries, windows, block_ms, history)
     blocked, hot, fast = F.col("blocklist_tier") == "BLOCK", F.col("blocklist_tier") == "HOT", F.col("velocity_hit")
     by_rule = blocked | hot | fast
     fixed = F.when(blocked, F.lit(1.0)).otherwise(F.lit(0.5))

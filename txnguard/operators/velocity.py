@@ -33,15 +33,21 @@ def counts(events: DataFrame, windows=K.VELOCITY_WINDOWS, block_ms: int = HOUR_M
 
 
 def check(events: DataFrame, windows=K.VELOCITY_WINDOWS, recorded: Column | None = None,
-          block_ms: int = HOUR_MS) -> DataFrame:
+          block_ms: int = HOUR_MS, history: DataFrame | None = None) -> DataFrame:
     """Events with velocity verdicts.
 
     ``recorded`` selects the events that enter the history (those no list
-    caught); the others are neither counted nor judged. Event time replaces the
-    wall clock, and events sharing a millisecond count each other.
+    caught); the others are neither counted nor judged. ``history`` holds
+    events recorded earlier (event_id, card_token, event_timestamp_ms): they
+    count but are not returned. Event time replaces the wall clock, and events
+    sharing a millisecond count each other.
     """
     keep = F.lit(True) if recorded is None else recorded
-    found = counts(events.where(keep), windows, block_ms)
+    cols = ["event_id", "card_token", "event_timestamp_ms"]
+    counted = events.where(keep).select(*cols)
+    if history is not None:
+        counted = counted.unionByName(history.select(*cols))
+    found = counts(counted, windows, block_ms)
     key = ["card_token", "event_timestamp_ms"]
     judged = events.join(found, key, "left")
     zero = {f"n_{label}": F.when(keep, F.coalesce(F.col(f"n_{label}"), F.lit(0))).otherwise(0) for label, _, _ in windows}

@@ -33,9 +33,9 @@ def _tok(expr: str) -> str:
     return f"substring(sha2(concat_ws('|', {expr}, '{SALT}'), 256), 1, 16)"
 
 
-def base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def base_of(events: DataFrame) -> DataFrame:
     """id, user, type, value, ms, k, product, domain."""
-    e = table(spark, sf_dir, "events").selectExpr(
+    e = events.selectExpr(
         "event_id AS id", "user_id", "event_type", "value",
         "unix_millis(cast(ts AS timestamp)) AS ms", "cast(get_json_object(props, '$.k') AS int) AS k")
     domains = ", ".join(f"'{x}'" for x in DOMAINS)
@@ -43,6 +43,10 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.selectExpr("*", f"CASE event_type {products} END AS product", f"array({domains})[k % 8] AS domain")
 
 
+def base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return base_of(table(spark, sf_dir, "events"))
+
+
 EVENT_SQL = {
     "event_id": "cast(id AS string)",
     "event_timestamp_ms": "ms",
@@ -101,7 +105,11 @@ def label() -> Column:
 
 def scored_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored records with fixture rule flags, plus id, k, product, domain and label."""
-    d = with_event_columns(base(spark, sf_dir)).selectExpr(
+    return scored_of(base(spark, sf_dir))
+
+
+def scored_of(b: DataFrame) -> DataFrame:
+    d = with_event_columns(b).selectExpr(
         "*", f"{LABEL} AS label", "id % 101 = 0 AS blocklist_hit", "id % 67 = 0 AND id % 101 <> 0 AS velocity_hit")
     d = d.selectExpr("*", f"CASE WHEN blocklist_hit THEN 1D WHEN velocity_hit THEN 0.5D ELSE {FIRST_SCORE} END AS fraud_score")
     return d.selectExpr(
@@ -119,7 +127,11 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def second_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The other scorer: three quarters of the events, its reason in ``blocklist_reason``."""
-    d = with_event_columns(base(spark, sf_dir)).where("id % 4 <> 0").selectExpr("*", f"{SECOND_SCORE} AS fraud_score")
+    return second_of(base(spark, sf_dir))
+
+
+def second_of(b: DataFrame) -> DataFrame:
+    d = with_event_columns(b).where("id % 4 <> 0").selectExpr("*", f"{SECOND_SCORE} AS fraud_score")
     return d.selectExpr(
         *EVENT_FIELDS, "fraud_score", f"{DECIDE.format('fraud_score')} AS decision", "'second' AS model_name",
         "'v1' AS model_version", "ms + 200 + id % 89 AS scored_at_ms", "150 + (id * 31) % 400 AS scoring_latency_ms",
