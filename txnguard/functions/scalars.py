@@ -18,7 +18,10 @@ def col(c: ColumnLike) -> Column:
 def lookup(key: Column, table: Mapping[str, object], default: object = None) -> Column:
     """Fixed small dictionary as an expression."""
     def text(v: object) -> str:
-        return "'" + v.replace("'", "\\'") + "'" if isinstance(v, str) else f"{v}D"
+        if not isinstance(v, str):
+            return f"{v!r}D"
+        escaped = v.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
 
     pairs = ", ".join(text(x) for kv in table.items() for x in kv)
     found = F.try_element_at(F.expr(f"map({pairs})"), F.coalesce(key, F.lit("")))

@@ -12,6 +12,8 @@ from txnguard.functions import scalars as X
 from txnguard.operators.joins import lookup_join, null_key
 from txnguard.operators.prefix import exact_quantiles
 
+SMALL = 100  # values a column may have to be encoded by a literal dictionary
+
 FIXES = ("card1", "dist1", "email", "p_missing", "addr2", "high_amount", "freq_tables", "cents", "never_seen")
 
 
@@ -24,10 +26,11 @@ class Fitted:
     high_amount: float
     rarest: dict[str, float]
     rows: int                   # rows of `frequencies`
+    small: dict[str, dict[str, float]]  # the columns with few values, as dictionaries
 
-    def frequency(self, column: str) -> DataFrame:
-        return self.frequencies.where(F.col("column") == column).select(
-            F.col("key").alias("_key"), F.col("freq").alias("_freq"))
+    def lookup(self) -> DataFrame:
+        """All columns' values under one text key, so every join can share one broadcast."""
+        return self.frequencies.select(F.concat("column", F.lit("="), "key").alias("_key"), F.col("freq").alias("_freq"))
 
 
 def _long(raw: DataFrame, columns: list[str], carry: list[str]) -> DataFrame:
@@ -56,10 +59,14 @@ def fit(raw: DataFrame, mode_rows: DataFrame | None = None) -> Fitted:
     freq = materialize(frequency_table(raw), "frequencies")
     modes = materialize(product_modes(mode_rows if mode_rows is not None else raw), "modes")
     q = exact_quantiles(raw.select(F.col("TransactionAmt").cast("float").cast("double").alias("a")), "a", [0.95])
-    # Two single rows and one row per column come to the driver.
+    # One row per column comes to the driver, and the values of columns with at most SMALL of them.
     stats = freq.groupBy("column").agg(F.min("freq").alias("f"), F.count(F.lit(1)).alias("n")).collect()
+    few = [r["column"] for r in stats if r["n"] <= SMALL]
+    small: dict[str, dict[str, float]] = {c: {} for c in few}
+    for r in freq.where(F.col("column").isin(few)).select("column", "key", "freq").collect():
+        small[r["column"]][r["key"]] = float(r["freq"])
     return Fitted(freq, modes, float(q.first()["q0"]), {r["column"]: float(r["f"]) for r in stats},
-                  sum(r["n"] for r in stats))
+                  sum(r["n"] for r in stats), small)
 
 
 def constants_table(fitted: Fitted) -> DataFrame:
@@ -77,10 +84,18 @@ def constants_table(fitted: Fitted) -> DataFrame:
 
 def encode_frequency(df: DataFrame, fitted: Fitted, column: str, source: Column | None = None,
                      unseen: float | None = None) -> DataFrame:
-    """Add ``<column>_freq``; values never fitted are NULL, or ``unseen``."""
+    """Add ``<column>_freq``; values never fitted are NULL, or ``unseen``.
+
+    A column of few values is a dictionary inside the projection; any other is
+    looked up in the stored table by a join.
+    """
     value = F.col(column) if source is None else source
-    keyed = df.withColumn("_value", value).withColumn("_key", null_key("_value"))
-    out = lookup_join(keyed, fitted.frequency(column), ["_key"], "left", rows=fitted.rows)
+    if column in fitted.small:
+        text = value.cast("string")
+        key = F.when(text.isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), text))
+        return df.withColumn(f"{column}_freq", X.lookup(key, fitted.small[column], unseen).cast("float"))
+    keyed = df.withColumn("_value", value).withColumn("_key", F.concat(F.lit(f"{column}="), null_key("_value")))
+    out = lookup_join(keyed, fitted.lookup(), ["_key"], "left", rows=fitted.rows)
     freq = F.col("_freq") if unseen is None else F.coalesce("_freq", F.lit(unseen).cast("float"))
     return out.withColumn(f"{column}_freq", freq.cast("float")).drop("_value", "_key", "_freq")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from txnguard import constants as K
+from txnguard.durable import materialize
 from txnguard.operators import features, lists, merge, scoring, velocity
 from txnguard.operators.timeline import trailing_totals
 from txnguard.plans.registry import query
@@ -19,6 +20,11 @@ MID_MS = fx.START_MS + 20 * fx.DAY_MS
 
 # --- lists ---------------------------------------------------------------------
 
+def entries(spark, d) -> DataFrame:
+    """The list table, stored as it is in use."""
+    return materialize(fx.list_entries(spark, d), "lists")
+
+
 cte("lv", """
  SELECT event_id, first(rank ORDER BY rank, ord, newest, entity_type, entity_id, reason) AS rank,
    first(entity_type ORDER BY rank, ord, newest, entity_type, entity_id, reason) AS entity_type,
@@ -43,7 +49,7 @@ cte("chk", """
 
 @query("c1_list_check", oracle("SELECT event_id, blocklist_hit, blocklist_tier, blocklist_reason, matched_entity_type, matched_entity_id FROM chk", "chk"))
 def c1(spark, d) -> DataFrame:
-    out = lists.check(fx.transactions(spark, d), fx.list_entries(spark, d))
+    out = lists.check(fx.transactions(spark, d), entries(spark, d))
     return out.select("event_id", "blocklist_hit", "blocklist_tier", "blocklist_reason", "matched_entity_type", "matched_entity_id")
 
 
@@ -71,7 +77,7 @@ cte("judged", f"""SELECT p.*, p.added_at_ms + CASE WHEN p.list = 'white' THEN {K
 
 @query("c11_list_refusals", oracle("SELECT list, entity_type, entity_id, block_count, refusal FROM judged WHERE refusal IS NOT NULL", "judged"))
 def c11(spark, d) -> DataFrame:
-    judged = lists.review(proposals(spark, d), fx.list_entries(spark, d))
+    judged = lists.review(proposals(spark, d), entries(spark, d))
     return judged.where(F.col("refusal").isNotNull()).select("list", "entity_type", "entity_id", "block_count", "refusal")
 
 
@@ -82,13 +88,13 @@ cte("upserted", f"""SELECT {_LIST_COLS} FROM (SELECT *, row_number() OVER (PARTI
 
 @query("f4_list_upsert", oracle(f"SELECT {_LIST_COLS} FROM upserted", "upserted"))
 def f4(spark, d) -> DataFrame:
-    after, _ = lists.apply(fx.list_entries(spark, d), proposals(spark, d))
+    after, _ = lists.apply(entries(spark, d), proposals(spark, d))
     return after
 
 
 @query("f5_list_expiry", oracle(f"SELECT {_LIST_COLS} FROM upserted WHERE expires_at_ms > {MID_MS + fx.DAY_MS}", "upserted"))
 def f5(spark, d) -> DataFrame:
-    after, _ = lists.apply(fx.list_entries(spark, d), proposals(spark, d))
+    after, _ = lists.apply(entries(spark, d), proposals(spark, d))
     return lists.expire(after, F.lit(MID_MS + fx.DAY_MS))
 
 
@@ -96,12 +102,12 @@ def f5(spark, d) -> DataFrame:
   FROM (SELECT DISTINCT list, entity_type, entity_id FROM prop) p LEFT JOIN (SELECT DISTINCT list, entity_type, entity_id FROM lst) l
   ON p.list = l.list AND p.entity_type = l.entity_type AND p.entity_id = l.entity_id""", "prop", "lst"))
 def f5_removal(spark, d) -> DataFrame:
-    return lists.removal_report(fx.list_entries(spark, d), proposals(spark, d))
+    return lists.removal_report(entries(spark, d), proposals(spark, d))
 
 
 @query("f5_list_after_removal", oracle(f"SELECT {_LIST_COLS} FROM lst WHERE NOT EXISTS (SELECT 1 FROM prop p WHERE p.list = lst.list AND p.entity_type = lst.entity_type AND p.entity_id = lst.entity_id)", "prop", "lst"))
 def f5_after(spark, d) -> DataFrame:
-    return lists.remove(fx.list_entries(spark, d), proposals(spark, d))
+    return lists.remove(entries(spark, d), proposals(spark, d))
 
 
 @query("d9_list_inventory", oracle(f"""SELECT l.list, t.entity_type, count(x.list) AS entries
@@ -109,7 +115,7 @@ def f5_after(spark, d) -> DataFrame:
   LEFT JOIN lst x ON x.list = l.list AND x.entity_type = t.entity_type AND x.added_at_ms <= {MID_MS} AND {MID_MS} < x.expires_at_ms
   GROUP BY ALL""", "lst"))
 def d9(spark, d) -> DataFrame:
-    return lists.inventory(fx.list_entries(spark, d), F.lit(MID_MS))
+    return lists.inventory(entries(spark, d), F.lit(MID_MS))
 
 
 # --- repeat offenders -------------------------------------------------------------
@@ -185,7 +191,7 @@ _REFUSED = """CASE WHEN list = 'block' AND blocks < 3 OR list = 'hot' AND blocks
   GROUP BY ALL""", "offd", "lst"))
 def d8(spark, d) -> DataFrame:
     s = fx.scored(spark, d)
-    return lists.update_summary(s, fx.list_entries(spark, d), _as_of(s), **OFFENDERS)
+    return lists.update_summary(s, entries(spark, d), _as_of(s), **OFFENDERS)
 
 
 @query("f6_offender_update", oracle(f"""SELECT {_LIST_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY list, entity_type, entity_id ORDER BY added_at_ms DESC, new DESC) AS rn FROM (
@@ -194,7 +200,7 @@ def d8(spark, d) -> DataFrame:
   FROM offd o WHERE NOT {_REFUSED})) WHERE rn = 1""", "offd", "lst"))
 def f6_apply(spark, d) -> DataFrame:
     s = fx.scored(spark, d)
-    after, _ = lists.apply(fx.list_entries(spark, d), lists.offender_proposals(s, _as_of(s), **OFFENDERS))
+    after, _ = lists.apply(entries(spark, d), lists.offender_proposals(s, _as_of(s), **OFFENDERS))
     return after
 
 
@@ -216,7 +222,7 @@ cte("velo", f"""SELECT *, ({' OR '.join(_HIT)}) AS velocity_hit,
   coalesce(velocity_hit, false) AS velocity_hit, coalesce(velocity_window, '') AS velocity_window, coalesce(velocity_reason, '') AS velocity_reason
   FROM chk c LEFT JOIN velo v USING (event_id)""", "velo"))
 def e1(spark, d) -> DataFrame:
-    out = scoring.rules(fx.transactions(spark, d), fx.list_entries(spark, d), WINDOWS, fx.DAY_MS)
+    out = scoring.rules(fx.transactions(spark, d), entries(spark, d), WINDOWS, fx.DAY_MS)
     return out.select("event_id", "n_1min", "n_10min", "n_60min", "velocity_hit", "velocity_window", "velocity_reason")
 
 
@@ -241,7 +247,7 @@ def _scored_at():
 
 def fast(spark, d) -> DataFrame:
     at, latency = _scored_at()
-    return scoring.fast_path(fx.transactions(spark, d), fx.list_entries(spark, d), scorecard(), WINDOWS,
+    return scoring.fast_path(fx.transactions(spark, d), entries(spark, d), scorecard(), WINDOWS,
                              scored_at=at, latency=latency, block_ms=fx.DAY_MS)
 
 
