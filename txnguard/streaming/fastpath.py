@@ -23,17 +23,22 @@ from txnguard.streaming.sink import BatchTable
 _ARRIVAL = T.StructField("arrival", T.LongType())
 HISTORY = T.StructType([EVENT[c] for c in ("event_id", "card_token", "event_timestamp_ms")] + [T.StructField("day", T.LongType())])
 
+PROGRESS = T.StructType([T.StructField("newest_ms", T.LongType())])
+DAY_MS = 86_400_000
+
 
 @dataclass
 class Tables:
     scored: BatchTable
     history: BatchTable
     late: BatchTable
+    progress: BatchTable
 
     @classmethod
     def at(cls, spark: SparkSession, root: str) -> "Tables":
         return cls(BatchTable(spark, f"{root}/scored", T.StructType(SCORED.fields + [_ARRIVAL])),
-                   BatchTable(spark, f"{root}/history", HISTORY), BatchTable(spark, f"{root}/late", EVENT))
+                   BatchTable(spark, f"{root}/history", HISTORY, by="day"), BatchTable(spark, f"{root}/late", EVENT),
+                   BatchTable(spark, f"{root}/progress", PROGRESS))
 
 
 def read_lists(spark: SparkSession, path: str | None) -> DataFrame:
@@ -49,7 +54,7 @@ def score_batch(batch: DataFrame, batch_id: int, tables: Tables, lists: DataFram
     """Score one micro-batch and store it under its batch id; a retry overwrites the same partitions."""
     t = F.col("event_timestamp_ms")
     past = tables.history.read(before=batch_id)
-    horizon = past.agg(F.max("event_timestamp_ms")).scalar() - lateness_ms
+    horizon = tables.progress.read(before=batch_id).agg(F.max("newest_ms")).scalar() - lateness_ms
     on_time = F.coalesce(t >= horizon, F.lit(True))
     fresh = batch.dropDuplicates(["event_id"])
     tables.late.write(fresh.where(~on_time), batch_id)
@@ -58,12 +63,14 @@ def score_batch(batch: DataFrame, batch_id: int, tables: Tables, lists: DataFram
     span = max(s for _, s, _ in windows) * 1000
     oldest = good.agg(F.min("event_timestamp_ms")).scalar() - span
     # Earlier unlisted events of the window were judged before: now they only count.
-    history = past.where(t >= oldest).join(good.select("event_id"), "event_id", "left_anti")
+    recent = past.where((F.col("day") >= F.floor(oldest / DAY_MS)) & (t >= oldest))  # older days are not opened
+    history = recent.join(good.select("event_id"), "event_id", "left_anti")
     new = scoring.fast_path(good, lists, model, windows, block_ms=block_ms, history=history, **options).withColumn(
         "arrival", F.xxhash64("event_id"))
     tables.scored.write(new, batch_id)
     stored = tables.scored.read().where(F.col("batch") == batch_id)
-    tables.history.write(stored.where(~F.col("blocklist_hit")).withColumn("day", F.floor(t / 86_400_000)), batch_id)
+    tables.history.write(stored.where(~F.col("blocklist_hit")).withColumn("day", F.floor(t / DAY_MS)), batch_id)
+    tables.progress.write(stored.agg(F.max("event_timestamp_ms").alias("newest_ms")), batch_id)
 
 
 def start(events: DataFrame, tables: Tables, list_path: str | None, model, checkpoint: str, every: str | None = None,

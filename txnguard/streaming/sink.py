@@ -13,13 +13,21 @@ from txnguard.operators import merge
 
 
 class BatchTable:
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+    """``by`` names a column (a day number) the table is partitioned by above the batch,
+    so a reader of recent rows does not open older folders."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, by: str | None = None):
         self.spark, self.path = spark, path.rstrip("/")
-        self.schema = schema
+        self.schema, self.by = schema, by
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         """Idempotent per batch id."""
-        df.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        rows = df.select(*self.schema.fieldNames())
+        if self.by is None:
+            rows.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        else:
+            (rows.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(self.by, "batch").parquet(self.path))
 
     def read(self, before: int | None = None) -> DataFrame:
         """All rows with their ``batch``; an absent table is empty."""
