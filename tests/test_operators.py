@@ -358,3 +358,19 @@ def test_every_query_has_a_stable_schema(spark, sf):
     """The flagship runs, and queries with checks agree on column names."""
     import __spark_entry__ as entry
     assert entry.entry(spark).columns and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_split_join_covers_hot_and_cold_keys(spark):
+    big = spark.range(1000).withColumn("k", F.when(F.col("id") < 400, 0).otherwise(F.col("id") % 97))
+    small = big.groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn("v", F.col("k") * 2)
+    got = joins.split_join(big, small, ["k"], "n", ["id"], hot=100)
+    assert got.count() == 1000 and got.where("v <> 2 * k").count() == 0
+
+
+def test_rule_hits_equal_the_full_rules(spark, sf):
+    from txnguard.plans.rules import WINDOWS
+    tx, entries = fx.transactions(spark, sf), fx.list_entries(spark, sf)
+    cols = ["event_id", "blocklist_tier", "blocklist_reason", "velocity_hit", "velocity_window", "velocity_reason"]
+    a = scoring.rules(tx, entries, WINDOWS, fx.DAY_MS).select(*cols)
+    b = scoring.rule_hits(tx, entries, WINDOWS, fx.DAY_MS).select(*cols)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))

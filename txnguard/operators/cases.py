@@ -14,7 +14,7 @@ from txnguard.schemas import EVENT_FIELDS
 def numbered(df: DataFrame, order: list[str], name: str, start: int = 0) -> DataFrame:
     """Consecutive ids in a stable order (the columns in ``order`` identify a row)."""
     counted = running_totals(df.withColumn("_one", F.lit(1)), [], [F.col(c) for c in order], ["_one"])
-    return counted.withColumn(name, F.col("cum__one") + start).drop("cum__one", "_one")
+    return counted.withColumn(name, F.col("cum__one") + start).drop("cum__one", "total__one", "_one")
 
 
 def judge_appeals(requests: DataFrame, scored: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from txnguard import constants as K
-from txnguard.operators.joins import lookup_join
 from txnguard.operators.prefix import exact_quantiles, running_totals
 
 
@@ -19,10 +18,7 @@ def ladder(df: DataFrame, score: str = "score", label: str = "label", keys: list
     counts = df.groupBy(*keys, F.col(score).alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
     run = running_totals(counts, keys, [F.col("score").desc()], ["pos", "neg"])
-    size = [F.max("cum_pos").alias("P"), F.max("cum_neg").alias("N")]
-    if not keys:
-        return run.withColumns({"P": run.agg(F.max("cum_pos")).scalar(), "N": run.agg(F.max("cum_neg")).scalar()})
-    return lookup_join(run, run.groupBy(*keys).agg(*size), keys, "inner", spread_by=["score"])
+    return run.withColumnsRenamed({"total_pos": "P", "total_neg": "N"})
 
 
 def ranking(df: DataFrame, score: str = "score", label: str = "label", keys: list[str] = ()) -> DataFrame:
@@ -77,8 +73,7 @@ def quantile_grid(df: DataFrame, score: str = "score", low: float = 0.50, high:
     found by arithmetic, so the work does not multiply scores by grid points.
     """
     counts = df.groupBy(F.col(score).alias("score")).agg(F.count(F.lit(1)).alias("n"))
-    run = running_totals(counts, [], [F.col("score")], ["n"])
-    run = run.withColumn("total", run.agg(F.max("cum_n")).scalar())
+    run = running_totals(counts, [], [F.col("score")], ["n"]).withColumnRenamed("total_n", "total")
     gap = (high - low) / (steps - 1)
     last = F.col("total") - 1
 
@@ -110,7 +105,7 @@ def sweep(df: DataFrame, thresholds: DataFrame, score: str = "score", label: str
                               F.lit(0).cast("long").alias("neg"), F.lit(1).alias("mark"))
     merged = steps.unionByName(marks).groupBy("score").agg(*[F.sum(c).alias(c) for c in ("pos", "neg")], F.max("mark").alias("mark"))
     run = running_totals(merged, [], [F.col("score").desc()], ["pos", "neg"])
-    at = run.withColumns({"P": run.agg(F.max("cum_pos")).scalar(), "N": run.agg(F.max("cum_neg")).scalar()}).where(F.col("mark") == 1)
+    at = run.withColumnsRenamed({"total_pos": "P", "total_neg": "N"}).where(F.col("mark") == 1)
     return with_rates(at.select(
         F.col("score").alias("threshold"), F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
         (F.col("N") - F.col("cum_neg")).alias("tn"), (F.col("P") - F.col("cum_pos")).alias("fn")))
@@ -255,8 +250,7 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
         F.min("value").alias("min"), F.max("value").alias("max"), (s / total).alias("mean"),
         F.sqrt(F.greatest((q - s * s / total) / F.nullif(total - 1, F.lit(0)), F.lit(0.0))).alias("std"),
         F.min(F.when(known, F.struct((-F.col("n")).alias("o"), "value")))["value"].alias("most_common"))
-    ranks = running_totals(counts.where(known), ["column"], [F.col("value")], ["n"])
-    sized = lookup_join(ranks, ranks.groupBy("column").agg(F.max("cum_n").alias("t")), ["column"], "inner", spread_by=["value"])
+    sized = running_totals(counts.where(known), ["column"], [F.col("value")], ["n"]).withColumnRenamed("total_n", "t")
     aggs = []
     for name, p in (("q25", 0.25), ("median", 0.5), ("q75", 0.75)):
         at = (F.col("t") - 1) * F.lit(p)
@@ -279,15 +273,13 @@ def drift(reference: DataFrame, current: DataFrame, columns: list[str], ks_above
     counts = long(reference, 1).unionByName(long(current, 0)).groupBy("column", "value").agg(
         F.count_if(F.col("ref") == 1).alias("r"), F.count_if(F.col("ref") == 0).alias("c"))
     run = running_totals(counts, ["column"], [F.col("value")], ["r", "c"], previous=["value"])
-    size = run.groupBy("column").agg(
-        F.max("cum_r").alias("refs"), F.max("cum_c").alias("curs"), F.sum(F.col("value") * F.col("r")).alias("s"),
-        F.sum(F.col("value") * F.col("value") * F.col("r")).alias("q"))
-    d = lookup_join(run, size, ["column"], "inner", spread_by=["value"])
+    d = run.withColumnsRenamed({"total_r": "refs", "total_c": "curs"})
     gap = F.abs(F.col("cum_r") / F.col("refs") - F.col("cum_c") / F.col("curs"))
     before = F.abs((F.col("cum_r") - F.col("r")) / F.col("refs") - (F.col("cum_c") - F.col("c")) / F.col("curs"))
     step = F.coalesce(F.col("value") - F.col("prev_value"), F.lit(0.0))
-    mean = F.max("s") / F.max("refs")
-    sd = F.sqrt(F.greatest(F.max("q") / F.max("refs") - mean * mean, F.lit(0.0)))
+    v, r = F.col("value"), F.col("r")
+    mean = F.sum(v * r) / F.max("refs")
+    sd = F.sqrt(F.greatest(F.sum(v * v * r) / F.max("refs") - mean * mean, F.lit(0.0)))
     shape = d.groupBy("column").agg(F.max(gap).alias("ks"), (F.sum(before * step) / F.greatest(sd, F.lit(1e-3))).alias("wasserstein"))
     decile = F.least(F.floor(10 * (F.col("cum_r") - F.col("r")) / F.col("refs")), F.lit(9))
     share = d.groupBy("column", decile.alias("b")).agg((F.sum("r") / F.max("refs")).alias("p"), (F.sum("c") / F.max("curs")).alias("q"))

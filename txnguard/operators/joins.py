@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_ROWS = 200_000
 SALTS = 32
+HOT_ROWS = 100_000
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str, spread_by: list[str],
@@ -35,6 +36,21 @@ def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "lef
     return salted_join(big, small, on, how, spread_by or [c for c in big.columns if c not in on])
 
 
+def split_join(big: DataFrame, small: DataFrame, on: list[str], counted: str, spread_by: list[str],
+               hot: int = HOT_ROWS) -> DataFrame:
+    """Join back a table with one row per key of ``big`` and its row count there.
+
+    Keys with ``hot`` rows or more are few and go through the lookup join; all
+    others take a plain shuffle join, where no key can be large. ``small`` must
+    be stored, and every key of ``big`` must be in it.
+    """
+    large = small.where(F.col(counted) >= hot).drop(counted).withColumn("_hot", F.lit(True))
+    marked = lookup_join(big, large, on, "left", spread_by)
+    rest = marked.where(F.col("_hot").isNull()).select(*big.columns)
+    cold = rest.join(small.where(F.col(counted) < hot).drop(counted), on)
+    return marked.where(F.col("_hot")).drop("_hot").unionByName(cold)
+
+
 def null_key(column: str):
     """Text key under which NULL is a value of its own (for plain equi-joins)."""
     c = F.col(column).cast("string")

@@ -10,19 +10,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from txnguard.durable import materialize
-from txnguard.operators.joins import lookup_join
 
 
 def running_totals(df: DataFrame, keys: list[str], order: list[Column], values: list[str],
                    previous: list[str] = (), partitions: int | None = None) -> DataFrame:
-    """Add ``cum_<v>`` (inclusive) and ``prev_<c>`` (the preceding row's value) per key.
+    """Add ``cum_<v>`` (inclusive), ``total_<v>`` (the key's whole) and ``prev_<c>``
+    (the preceding row's value) per key.
 
     (keys, order) must be unique per row; callers aggregate duplicates first,
     which also lets the range partitioner cut inside a hot key.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
+    # Without a number, adaptive execution merges neighbouring ranges of small data.
+    by = [F.col(k) for k in keys] + list(order)
+    ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
     placed = materialize(ranged.withColumn("_slab", F.spark_partition_id()), "slabs")
 
     inside = Window.partitionBy(*keys, "_slab").orderBy(*order)
@@ -39,20 +39,23 @@ def running_totals(df: DataFrame, keys: list[str], order: list[Column], values:
         per_slab = last.groupBy(*keys, "_slab").agg(*totals)
     else:
         per_slab = placed.groupBy(*keys, "_slab").agg(*totals)
-    # One row per slab and key: at most `n` rows in any group.
+    # One row per slab and key: at most as many rows in a group as there are slabs.
     order_slabs = Window.partitionBy(*keys).orderBy("_slab")
     earlier = order_slabs.rowsBetween(Window.unboundedPreceding, -1)
+    every = order_slabs.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     carry = per_slab.select(
         *keys, "_slab",
         *[F.coalesce(F.sum(f"_sum_{v}").over(earlier), F.lit(0)).alias(f"_off_{v}") for v in values],
+        *[F.sum(f"_sum_{v}").over(every).alias(f"total_{v}") for v in values],
         *[F.lag(f"_end_{c}").over(order_slabs).alias(f"_carry_{c}") for c in previous],
     )
     if not keys:
-        carry = F.broadcast(carry)  # at most `n` rows in all
+        carry = F.broadcast(carry)  # one row per slab
     out = rows.join(carry, [*keys, "_slab"])
     return out.select(
         *df.columns,
         *[(F.col(f"_off_{v}") + F.col(f"_in_{v}")).alias(f"cum_{v}") for v in values],
+        *[f"total_{v}" for v in values],
         *[F.coalesce(f"_lag_{c}", f"_carry_{c}").alias(f"prev_{c}") for c in previous],
     )
 
@@ -65,12 +68,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
     """
     keys = list(keys)
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_totals(counts, keys, [F.col(value)], ["_n"])
-    if keys:
-        sized = ranked.groupBy(*keys).agg(F.max("cum__n").alias("_total"))
-        ranked = lookup_join(ranked, sized, keys, "inner", spread_by=[value])
-    else:
-        ranked = ranked.withColumn("_total", ranked.agg(F.max("cum__n")).scalar())
+    ranked = running_totals(counts, keys, [F.col(value)], ["_n"]).withColumnRenamed("total__n", "_total")
     start, end = F.col("cum__n") - F.col("_n"), F.col("cum__n")
     aggs = []
     for i, p in enumerate(probs):
@@ -91,8 +89,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
 def nearest_rank(df: DataFrame, value: str, percents: list[float]) -> DataFrame:
     """Nearest-rank percentiles ``p0..pn``: sorted position round-half-even(p/100*(n-1))."""
     counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_totals(counts, [], [F.col(value)], ["_n"])
-    ranked = ranked.withColumn("_total", ranked.agg(F.max("cum__n")).scalar())
+    ranked = running_totals(counts, [], [F.col(value)], ["_n"]).withColumnRenamed("total__n", "_total")
     aggs = []
     for i, p in enumerate(percents):
         rank = F.rint((F.col("_total") - 1) * F.lit(p / 100.0))

@@ -29,4 +29,4 @@ def rolling_percentiles(df: DataFrame, key: str, order: list[str], value: str, l
         return F.element_at("_v", F.rint((F.size("_v") - 1) * F.lit(p)).cast("int") + 1)
 
     return ranked.withColumns({"p50": nearest(0.50), "p95": nearest(0.95), "p99": nearest(0.99)}).withColumn(
-        "slo_ok", F.col("p95") < budget).drop("_v", "_home", "_chunk", "_one", "cum__one")
+        "slo_ok", F.col("p95") < budget).drop("_v", "_home", "_chunk", "_one", "cum__one", "total__one")

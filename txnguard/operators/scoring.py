@@ -11,7 +11,7 @@ from txnguard import constants as K
 from txnguard.durable import materialize
 from txnguard.functions import scalars as X
 from txnguard.operators import features, lists, velocity
-from txnguard.operators.joins import salted_join
+from txnguard.operators.joins import split_join
 from txnguard.operators.timeline import HOUR_MS
 from txnguard.schemas import SCORED
 
@@ -52,6 +52,26 @@ def rules(events: DataFrame, entries: DataFrame, windows=K.VELOCITY_WINDOWS, blo
     return velocity.check(listed, windows, ~F.col("blocklist_hit"), block_ms, history)
 
 
+def rule_hits(events: DataFrame, entries: DataFrame, windows=K.VELOCITY_WINDOWS, block_ms: int = HOUR_MS,
+              history: DataFrame | None = None) -> DataFrame:
+    """The same verdicts from narrow rows: only ids and entities are shuffled, and the
+    wide events meet nothing but the hits, which AQE broadcasts while they are few."""
+    listed = lists.verdicts(events, entries)
+    caught = listed.where("blocklist_hit").select("event_id")
+    free = events.select("event_id", "card_token", "event_timestamp_ms").join(caught, "event_id", "left_anti")
+    fast = velocity.hits(free, windows, block_ms, history)
+    d = events.join(listed, "event_id", "left").join(fast, "event_id", "left")
+    hit = F.coalesce(F.col("velocity_at") == F.col("event_timestamp_ms"), F.lit(False))
+    return d.withColumns({
+        "blocklist_hit": F.coalesce("blocklist_hit", F.lit(False)),
+        "blocklist_tier": F.coalesce("blocklist_tier", F.lit("NONE")),
+        "blocklist_reason": F.coalesce("blocklist_reason", F.lit("")),
+        "velocity_hit": hit,
+        "velocity_window": F.when(hit, F.col("velocity_window")).otherwise(""),
+        "velocity_reason": F.when(hit, F.col("velocity_reason")).otherwise(""),
+    }).select(*events.columns, "blocklist_hit", "blocklist_tier", "blocklist_reason", "velocity_hit", "velocity_window", "velocity_reason")
+
+
 def fast_path(events: DataFrame, entries: DataFrame, model: Scorecard | Callable[[DataFrame], DataFrame],
               windows=K.VELOCITY_WINDOWS, review_at: float = K.REVIEW_AT, block_at: float = K.BLOCK_AT,
               scored_at: Column | None = None, latency: Column | None = None,
@@ -64,7 +84,7 @@ def fast_path(events: DataFrame, entries: DataFrame, model: Scorecard | Callable
     split; any other model is a function from those rows to the same rows with
     ``fraud_score``, applied to them alone.
     """
-    ruled = rules(events, entries, windows, block_ms, history)
+    ruled = rule_hits(events, entries, windows, block_ms, history)
     blocked, hot, fast = F.col("blocklist_tier") == "BLOCK", F.col("blocklist_tier") == "HOT", F.col("velocity_hit")
     by_rule = blocked | hot | fast
     fixed = F.when(blocked, F.lit(1.0)).otherwise(F.lit(0.5))
@@ -94,10 +114,10 @@ def feature_hash(columns: list[str]) -> Column:
 def score_once(rows: DataFrame, columns: list[str], score: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Score every distinct feature vector once and share the result.
 
-    Equal vectors fold before the shuffle; the way back is salted by row, as
-    one vector may stand for much of the data.
+    Equal vectors fold before the shuffle; the few that stand for much of the
+    data are joined back apart from the rest.
     """
     hashed = rows.withColumn("feature_hash", feature_hash(columns))
-    distinct = hashed.groupBy("feature_hash").agg(*[F.first(c).alias(c) for c in columns])
-    scores = score(distinct).select("feature_hash", "fraud_score")
-    return salted_join(hashed, scores, ["feature_hash"], "left", spread_by=["event_id"])
+    distinct = hashed.groupBy("feature_hash").agg(*[F.first(c).alias(c) for c in columns], F.count(F.lit(1)).alias("_uses"))
+    scores = materialize(score(distinct).select("feature_hash", "fraud_score", "_uses"), "scores")
+    return split_join(hashed, scores, ["feature_hash"], "_uses", spread_by=["event_id"])

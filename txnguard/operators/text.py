@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from txnguard import constants as K
 from txnguard.durable import materialize
 from txnguard.functions import scalars as X
-from txnguard.operators.joins import lookup_join
+from txnguard.operators.joins import lookup_join, split_join
 
 # Letters, digits, dot, hyphen and the two edge marks: at most 40**3 trigrams.
 MAX_TRIGRAMS = 64_000
@@ -65,9 +65,12 @@ def log_probabilities(texts: DataFrame, model: TrigramModel, text: str = "text")
 def score(df: DataFrame, text: str, model: TrigramModel, suspicious: float = K.SUSPICIOUS_LOG_PPL,
           slope: float = K.PERPLEXITY_SLOPE, key: str = "event_id") -> DataFrame:
     """Rows with log_perplexity, perplexity, text_anomaly_score and label. Every distinct text is scored once."""
-    per = log_probabilities(df, model, text).withColumns(X.perplexity(F.col("mean_log_prob"), suspicious=suspicious, slope=slope))
+    rows = df.withColumn(text, F.coalesce(text, F.lit("")))
+    uses = rows.groupBy(F.col(text).alias("text")).agg(F.count(F.lit(1)).alias("_uses"))
+    per = log_probabilities(rows, model, text).join(uses, "text").withColumns(
+        X.perplexity(F.col("mean_log_prob"), suspicious=suspicious, slope=slope))
     per = materialize(per.withColumnRenamed("text", text).drop("mean_log_prob"), "text-scores")
-    return lookup_join(df, per, [text], "left", spread_by=[key])
+    return split_join(rows, per, [text], "_uses", spread_by=[key])
 
 
 def score_with(df: DataFrame, mean_log_prob: Column, suspicious: float = K.SUSPICIOUS_LOG_PPL) -> DataFrame:

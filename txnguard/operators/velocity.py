@@ -25,11 +25,15 @@ def verdict(windows) -> dict[str, Column]:
     return {"velocity_hit": hit, "velocity_window": label, "velocity_reason": reason}
 
 
-def counts(events: DataFrame, windows=K.VELOCITY_WINDOWS, block_ms: int = HOUR_MS) -> DataFrame:
-    """``n_<label>`` for each distinct (card, ms). A repeated event counts once, at its latest time."""
+def _once(events: DataFrame) -> DataFrame:
+    """Events with a card; a repeated event counts once, at its latest time."""
     live = events.where(F.col("card_token").isNotNull() & (F.col("card_token") != ""))
-    once = live.groupBy("event_id", "card_token").agg(F.max("event_timestamp_ms").alias("event_timestamp_ms"))
-    return trailing_totals(once, "card_token", "event_timestamp_ms", {"n": F.lit(1)}, _edges(windows), block_ms)
+    return live.groupBy("event_id", "card_token").agg(F.max("event_timestamp_ms").alias("event_timestamp_ms"))
+
+
+def counts(events: DataFrame, windows=K.VELOCITY_WINDOWS, block_ms: int = HOUR_MS) -> DataFrame:
+    """``n_<label>`` for each distinct (card, ms)."""
+    return trailing_totals(_once(events), "card_token", "event_timestamp_ms", {"n": F.lit(1)}, _edges(windows), block_ms)
 
 
 def check(events: DataFrame, windows=K.VELOCITY_WINDOWS, recorded: Column | None = None,
@@ -54,6 +58,16 @@ def check(events: DataFrame, windows=K.VELOCITY_WINDOWS, recorded: Column | None
     return judged.withColumns(zero).withColumns(verdict(windows))
 
 
+def hits(events: DataFrame, windows=K.VELOCITY_WINDOWS, block_ms: int = HOUR_MS,
+         history: DataFrame | None = None) -> DataFrame:
+    """Only the events that hit: event_id, velocity_at, velocity_window, velocity_reason."""
+    cols = ["event_id", "card_token", "event_timestamp_ms"]
+    counted = events.select(*cols) if history is None else events.select(*cols).unionByName(history.select(*cols))
+    found = counts(counted, windows, block_ms).withColumns(verdict(windows)).where("velocity_hit")
+    return _once(events).join(found, ["card_token", "event_timestamp_ms"]).select(
+        "event_id", F.col("event_timestamp_ms").alias("velocity_at"), "velocity_window", "velocity_reason")
+
+
 def current_counts(events: DataFrame, as_of: Column, windows=K.VELOCITY_WINDOWS) -> DataFrame:
     """Read-only counts per card at ``as_of``."""
     edges = _edges(windows)

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from txnguard.durable import scratch_root
 from txnguard.plans.registry import query
@@ -22,15 +25,34 @@ def events(spark, d) -> DataFrame:
     return fx.base_of(S.read_files(spark, d, _EVENTS, glob="events.parquet"))
 
 
+@contextmanager
+def few_state_partitions(spark):
+    """A local run needs no more state stores than cores; a cluster keeps its own setting."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if spark.sparkContext.master.startswith("local"):
+        spark.conf.set(name, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def finish(spark, start: Callable[[], StreamingQuery]) -> None:
+    """Run a query to the end of its input."""
+    with few_state_partitions(spark):
+        start().awaitTermination()
+
+
 def place(spark) -> str:
     return f"{scratch_root(spark).rstrip('/')}/txnguard/stream-{uuid.uuid4().hex}"
 
 
 def drain(df: DataFrame, root: str, mode: str = "append") -> DataFrame:
     """Write everything available and read it back."""
-    q = (df.writeStream.format("parquet").outputMode(mode).option("path", f"{root}/out")
-         .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
+    writer = (df.writeStream.format("parquet").outputMode(mode).option("path", f"{root}/out")
+              .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True))
+    finish(df.sparkSession, writer.start)
     return df.sparkSession.read.schema(df.schema).parquet(f"{root}/out")
 
 
@@ -48,7 +70,7 @@ def windows(spark, d) -> DataFrame:
     root = place(spark)
     out = ingest.decision_windows(fx.scored_of(events(spark, d)))
     table = BatchTable(spark, f"{root}/windows", out.schema)
-    ingest.upsert_windows(out, table, f"{root}/checkpoint").awaitTermination()
+    finish(spark, lambda: ingest.upsert_windows(out, table, f"{root}/checkpoint"))
     return ingest.latest_windows(table, ["window_start_ms", "window_end_ms", "decision"])
 
 
@@ -58,7 +80,7 @@ def sliding(spark, d) -> DataFrame:
     root = place(spark)
     out = ingest.decision_windows(fx.scored_of(events(spark, d)), "2 hours", "1 hour")
     table = BatchTable(spark, f"{root}/windows", out.schema)
-    ingest.upsert_windows(out, table, f"{root}/checkpoint").awaitTermination()
+    finish(spark, lambda: ingest.upsert_windows(out, table, f"{root}/checkpoint"))
     return ingest.latest_windows(table, ["window_start_ms", "window_end_ms", "decision"])
 
 
@@ -77,8 +99,8 @@ def fast_stream(spark, d) -> DataFrame:
     tables = fastpath.Tables.at(spark, root)
     at, latency = _scored_at()
     tx = fx.with_event_columns(events(spark, d)).select(*EVENT_FIELDS)
-    fastpath.start(tx, tables, f"{root}/lists", scorecard(), f"{root}/checkpoint", windows=WINDOWS, block_ms=fx.DAY_MS,
-                   scored_at=at, latency=latency).awaitTermination()
+    finish(spark, lambda: fastpath.start(tx, tables, f"{root}/lists", scorecard(), f"{root}/checkpoint", windows=WINDOWS,
+                                         block_ms=fx.DAY_MS, scored_at=at, latency=latency))
     return tables.scored.read().select("event_id", "decision", "fraud_score", "blocklist_tier", "blocklist_reason",
                                        "velocity_window", "velocity_reason", "scored_at_ms")
 
