@@ -19,7 +19,7 @@ FIXES = ("card1", "dist1", "email", "p_missing", "addr2", "high_amount", "freq_t
 
 @dataclass
 class Fitted:
-    """Constants learned from raw rows. The tables are stored, the rest are single numbers."""
+    """Constants learned from raw rows. The tables fold one stored table of counts, the rest are single numbers."""
 
     frequencies: DataFrame      # column, key, value, n, freq
     modes: DataFrame            # ProductCD, column, key, value
@@ -39,25 +39,32 @@ def _long(raw: DataFrame, columns: list[str], carry: list[str]) -> DataFrame:
     return raw.select(*carry, F.explode(cells).alias("_c")).select(*carry, "_c.*")
 
 
-def frequency_table(raw: DataFrame, columns: list[str] = K.RAW_CATEGORIES) -> DataFrame:
-    """Share of every value of every column in one aggregate; missing is a value."""
-    counted = _long(raw, columns, []).groupBy("column", "key", "value").agg(F.count(F.lit(1)).alias("n"))
-    total = raw.agg(F.count(F.lit(1))).scalar()
-    return counted.withColumn("freq", (F.col("n") / total).cast("float"))
+def category_counts(raw: DataFrame, mode_where: Column | None = None) -> DataFrame:
+    """Rows per (product, column, value) in one pass, and how many of them count for the modes."""
+    chosen = F.lit(True) if mode_where is None else mode_where
+    cells = _long(raw.withColumns({"_product": F.col("ProductCD"), "_chosen": chosen}), K.RAW_CATEGORIES, ["_product", "_chosen"])
+    return cells.groupBy(F.col("_product").alias("ProductCD"), "column", "key", "value").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("_chosen").alias("m"))
 
 
-def product_modes(raw: DataFrame, columns: list[str] = K.MODE_COLUMNS) -> DataFrame:
+def frequency_table(counts: DataFrame) -> DataFrame:
+    """Share of every value of every column; missing is a value."""
+    total = counts.where(F.col("column") == "ProductCD").agg(F.sum("n")).scalar()
+    per = counts.groupBy("column", "key", "value").agg(F.sum("n").alias("n"))
+    return per.withColumn("freq", (F.col("n") / total).cast("float"))
+
+
+def product_modes(counts: DataFrame, columns: list[str] = K.MODE_COLUMNS) -> DataFrame:
     """Most frequent value per product; ties go to the smaller key (missing first)."""
-    counted = _long(raw, columns, ["ProductCD"]).groupBy("ProductCD", "column", "key", "value").agg(
-        F.count(F.lit(1)).alias("n"))
-    top = counted.groupBy("ProductCD", "column").agg(F.min(F.struct((-F.col("n")).alias("o"), "key", "value")).alias("_t"))
+    rows = counts.where(F.col("column").isin(columns) & (F.col("m") > 0))
+    top = rows.groupBy("ProductCD", "column").agg(F.min(F.struct((-F.col("m")).alias("o"), "key", "value")).alias("_t"))
     return top.select("ProductCD", "column", "_t.key", "_t.value")
 
 
-def fit(raw: DataFrame, mode_rows: DataFrame | None = None) -> Fitted:
-    """Fit on ``raw``; the product modes on ``mode_rows`` when given (the training rows only)."""
-    freq = materialize(frequency_table(raw), "frequencies")
-    modes = materialize(product_modes(mode_rows if mode_rows is not None else raw), "modes")
+def fit(raw: DataFrame, mode_where: Column | None = None) -> Fitted:
+    """Fit on ``raw``; the product modes on its rows meeting ``mode_where`` (the training rows only)."""
+    counts = materialize(category_counts(raw, mode_where), "category-counts")
+    freq, modes = frequency_table(counts), product_modes(counts)
     q = exact_quantiles(raw.select(F.col("TransactionAmt").cast("float").cast("double").alias("a")), "a", [0.95])
     # One row per column comes to the driver, and the values of columns with at most SMALL of them.
     stats = freq.groupBy("column").agg(F.min("freq").alias("f"), F.count(F.lit(1)).alias("n")).collect()

@@ -67,7 +67,7 @@ def generated(spark, d) -> DataFrame:
 def fitted_constants(spark, d) -> DataFrame:
     """Frequencies and cut-off on all rows, product modes on the training rows."""
     raw = fx.raw_rows(spark, d)
-    return features.constants_table(features.fit(raw, raw.where(F.col("TransactionID") % 5 != 0)))
+    return features.constants_table(features.fit(raw, F.col("TransactionID") % 5 != 0))
 
 
 @query("b1_row_to_event", oracle(f"""SELECT CAST(TransactionID AS VARCHAR) AS event_id,

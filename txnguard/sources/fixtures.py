@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from txnguard import constants as K
 from txnguard.functions import scalars as X
 from txnguard.schemas import EVENT_FIELDS, SCORED
+from txnguard.sources.files import spread
 
 SALT = "fixture-salt"
 START_MS = 1_704_067_200_000  # 2024-01-01
@@ -22,7 +23,7 @@ PRODUCTS = {"purchase": "W", "click": "C", "view": "R", "signup": "H", "error":
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def tok(value: Column) -> Column:
