@@ -46,7 +46,8 @@ class Vocabulary:
         self.longest = max((len(p) for p, _ in plain), default=1)
         rng = np.random.default_rng(11)
         self.factors = rng.integers(1, 1 << 62, self.longest + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        hashes = np.array([int((_codes(p) * self.factors[1:len(p) + 1]).sum(dtype=np.uint64) ^ (self.factors[0] * np.uint64(len(p)))) for p, _ in plain], np.uint64)
+        self.lengths = np.arange(self.longest + 1, dtype=np.uint64) * self.factors[0]
+        hashes = np.array([(_codes(p) * self.factors[1:len(p) + 1]).sum(dtype=np.uint64) ^ self.lengths[len(p)] for p, _ in plain], np.uint64)
         order = np.argsort(hashes)
         self.hashes, self.ids = hashes[order], np.array([i for _, i in plain], np.int64)[order]
 
@@ -72,7 +73,7 @@ def lattice(words: list[str], vocabulary: Vocabulary) -> tuple["Views", dict[str
         if not len(at):
             break
         run[at] += codes[at + length - 1] * vocabulary.factors[length]
-        seek = run[at] ^ (vocabulary.factors[0] * np.uint64(length))
+        seek = run[at] ^ vocabulary.lengths[length]
         place = np.minimum(np.searchsorted(vocabulary.hashes, seek), len(vocabulary.hashes) - 1)
         hit = np.flatnonzero(vocabulary.hashes[place] == seek)
         found = vocabulary.ids[place[hit]]

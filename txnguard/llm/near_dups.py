@@ -5,12 +5,11 @@
    aggregate, so thousands of copies become one row.
 2. Table keys are pairs of collections: c collections give c(c-1)/2 tables, so the minhashes needed grow with the square root
    of the tables. A pair of classes is a candidate if any two of its collections agree.
-3. Links are confirmed on full sets: 100 * intersection >= 80 * union. Rounds avoid pairs that say nothing new: first each
-   class against the smallest node that shares a key with it; then the other (smallest of a key, member) pairs whose
-   components differ. Where members of a key are still apart, the nodes joined by such keys form groups; a group is dealt into
-   blocks of about ``BLOCK`` nodes, each two blocks meet in one task, which counts intersections as a matrix product and
-   returns one link for each two components. So a group of near copies costs a few pairs for each member, and no task holds
-   more than two blocks.
+3. Links are confirmed on full sets: 100 * intersection >= 80 * union. First each class meets the smallest node of every key it
+   has. Where members of a key are still in different components, the components joined by such keys form groups; a group's
+   nodes are dealt into blocks of about ``BLOCK`` nodes, each two blocks meet in one task, which counts intersections as a
+   matrix product and returns the pairs of linked components. So a group of near copies costs a few pairs for each
+   member, and no task holds more than two blocks.
 4. Components by alternating large and small stars, in stored tables.
 
 A text with fewer words than a shingle has one shingle, its whole word sequence. Null texts and texts without words have an
@@ -165,8 +164,7 @@ def _close_sizes(a: str, b: str) -> Column:
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); the component is its smallest node."""
     edges = scratch.keep(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    seen = None
-    while True:
+    while _unfinished(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = scratch.keep(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large")
@@ -174,19 +172,18 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         small = large.join(low, "u").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")) \
             .unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         after = scratch.keep(small, "small")
-        state = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         scratch.drop(edges, large)
         edges = after
-        if state == seen:
-            break
-        seen = state
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")) \
         .unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def _labelled(df: DataFrame, col: str, found: DataFrame, out: str) -> DataFrame:
-    return df.join(found.select(F.col("node").alias(col), F.col("component").alias(out)), col, "left") \
-        .withColumn(out, F.coalesce(out, col))
+def _unfinished(edges: DataFrame) -> bool:
+    """Has any node two smaller ones, or one smaller and one larger?"""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")) \
+        .unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    odd = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR up = 1 AND down = 1")
+    return not odd.isEmpty()
 
 
 def links(docs: DataFrame, sketch: DataFrame, words: int, scratch: Scratch) -> DataFrame:
@@ -215,31 +212,30 @@ def links(docs: DataFrame, sketch: DataFrame, words: int, scratch: Scratch) -> D
                             .select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb") - both).alias("either"))
                             .select("a", "b", (F.col("both") * 100 >= F.col("either") * SIMILARITY).alias("linked")), label)
 
-    first = confirmed(heads.groupBy("b").agg(F.min("a").alias("a")), "first")
-    found = components(first.where("linked"), scratch)
-    rest = _labelled(_labelled(heads.join(first, ["a", "b"], "left_anti"), "a", found, "ca"), "b", found, "cb").where("ca <> cb").select("a", "b")
-    second = confirmed(rest, "second")
-    done = first.unionByName(second)
+    done = confirmed(heads, "confirmed")
     found = scratch.keep(components(done.where("linked"), scratch), "found")
 
-    # keys whose members are still apart: their nodes, grouped by the keys they share, are compared block by block
-    apart = _labelled(members.where("members > 2"), "node", found, "c")
-    still = apart.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 <> c2").select("key")
-    apart = scratch.keep(apart.join(still, "key", "left_semi").groupBy("head", "node").agg(F.first("c").alias("c")), "apart")
-    groups = components(apart.select(F.col("head").alias("a"), F.col("node").alias("b")), scratch)
-    nodes = scratch.keep(apart.groupBy("node").agg(F.first("c").alias("c")).join(groups.withColumnRenamed("component", "grp"), "node"), "nodes")
+    # keys whose members are still apart: the components they join form groups, which are compared block by block
+    apart = members.join(found.withColumnRenamed("component", "c"), "node", "left").select("key", "node", F.coalesce("c", "node").alias("c"))
+    still = apart.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.count("*").alias("members")).where("c1 <> c2 AND members > 2")
+    apart = scratch.keep(apart.join(still.select("key", "c1"), "key").groupBy("node", "c", "c1").agg(F.lit(1).alias("x")).drop("x"), "apart")
+    groups = components(apart.select(F.col("c1").alias("a"), F.col("c").alias("b")), scratch).select(F.col("node").alias("c"), F.col("component").alias("grp"))
+    nodes = scratch.keep(apart.select("node", "c").distinct().join(groups, "c"), "nodes")
     blocks = nodes.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = nodes.join(blocks, "grp").join(sets, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    third = dealt.select("grp", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "node", "c", "s") \
+    third = dealt.select("grp", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "c", "s") \
         .groupBy("grp", "p", "q").applyInArrow(_block_links, "a long, b long")
     third = scratch.keep(third, "third")
-    return components(done.where("linked").select("a", "b").unionByName(third), scratch)
+    if third.isEmpty():
+        return found
+    # components of components
+    return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(third), scratch)
 
 
 def _block_links(key: tuple, rows: pa.Table) -> pa.Table:
-    """One link for each two components linked between two blocks, confirmed on full sets."""
-    own, node, comp = (rows[c].to_numpy() for c in ("own", "node", "c"))
+    """The pairs of components that are linked between two blocks, confirmed on full sets."""
+    own, comp = (rows[c].to_numpy() for c in ("own", "c"))
     column = rows["s"].combine_chunks()
     size = np.diff(column.offsets.to_numpy())
     place = np.repeat(np.arange(len(size)), size)
@@ -262,8 +258,8 @@ def _block_links(key: tuple, rows: pa.Table) -> pa.Table:
                       & (comp[left][:, None] != comp[right][None, :]))
     i, j = left[i], right[j]
     pairs = np.sort(np.stack([comp[i], comp[j]], 1), axis=1)
-    _, one = np.unique(pairs, axis=0, return_index=True)
-    return pa.table({"a": node[i[one]], "b": node[j[one]]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+    pairs = np.unique(pairs, axis=0)
+    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
 
 def near_duplicates(docs: DataFrame, words: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
