@@ -64,7 +64,7 @@ def lattice(words: list[str], vocabulary: Vocabulary) -> tuple["Views", dict[str
     """The lattices of distinct words, and the state at which each starts. A state is a place in a word."""
     codes = _codes("".join(words))
     n, width = len(codes), vocabulary.longest
-    size = np.array([len(w) for w in words])
+    size = np.array([len(w) for w in words], np.int64)
     ends = np.cumsum(size)
     left = np.repeat(ends, size) - np.arange(n)  # characters from here to the end of the word
     weight, ids, run = np.full((n, width), -np.inf), np.zeros((n, width), np.int64), np.zeros(n, np.uint64)
@@ -215,6 +215,8 @@ def _worker(pieces, alpha: float, k: int, seed: int) -> Callable:
 
     def some(texts: list[str | None], keys: list[int]) -> list:
         words, out = [words_of(t) if t else [] for t in texts], []
+        if not any(words):
+            return [[] for _ in texts]
         views, first = lattice(sorted({w for row in words for w in row}), made[0])
         for row, key in zip(words, keys):
             if not row:

@@ -75,7 +75,7 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", train_docs: int
     sample = rows.where(F.col("lang").isin(*sizes)).where(drawn).where(F.col("text").rlike(r"\p{L}"))
     counted = sample.select("lang", F.lower("text").alias("text")).mapInArrow(_counts, "lang string, key long, n long") \
         .groupBy("lang", "key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang", "key").limit(max_nodes).toPandas()
-    return build(counted, sorted(counted["lang"].unique()))
+    return build(counted, sorted(counted["lang"].unique())) if len(counted) else Model([], [], [], [], [])
 
 
 def build(counted, languages: list[str]) -> Model:
