@@ -374,3 +374,25 @@ def test_rule_hits_equal_the_full_rules(spark, sf):
     a = scoring.rules(tx, entries, WINDOWS, fx.DAY_MS).select(*cols)
     b = scoring.rule_hits(tx, entries, WINDOWS, fx.DAY_MS).select(*cols)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_text_of_any_script_is_scored(spark):
+    from txnguard.operators import text
+    model = text.fit(spark.createDataFrame([("plain merchant names",), ("обычный магазин",)], "text string"))
+    rows = spark.createDataFrame([("1", "магазин цветов"), ("2", "東京ストア"), ("3", "")], "event_id string, name string")
+    got = {r["event_id"]: r for r in text.score(rows, "name", model, 2.6).collect()}
+    assert got["1"]["log_perplexity"] > 0 and got["2"]["text_anomaly_score"] > got["1"]["text_anomaly_score"]
+    assert got["3"]["log_perplexity"] == 0
+
+
+def test_windows_are_named_as_given():
+    from txnguard.operators.lists import span_name
+    assert [span_name(s) for s in (86_400, 7 * 86_400, 3600, 5400, 90)] == ["24h", "7d", "1h", "90min", "90s"]
+
+
+def test_an_ambiguous_key_gets_no_label(spark):
+    from txnguard.operators import patterns
+    events = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "event_id string, k int")
+    labels = spark.createDataFrame([(1, 0, "W"), (2, 1, "W"), (2, 0, "C")], "k int, label int, ProductCD string")
+    got = {r["event_id"]: (r["label"], r["matches"]) for r in patterns.guarded_label_join(events, labels, ["k"]).collect()}
+    assert got == {"a": (0, 1), "b": (None, 2), "c": (None, 0)}

@@ -69,7 +69,27 @@ def test_late_events_and_retried_batches(spark, sf, tmp_path):
     fastpath.score_batch(old, 1, tables, lists, scorecard())
     fastpath.score_batch(old, 1, tables, lists, scorecard())
     assert tables.late.read().count() == 5
-    assert tables.scored.read().count() == 20
+    assert tables.scored.read().count() == 25  # late events are scored too
+
+
+def test_a_far_future_event_does_not_stop_the_stream(spark, sf, tmp_path):
+    tables = fastpath.Tables.at(spark, str(tmp_path / "t"))
+    tx = fx.transactions(spark, sf)
+    lists = fastpath.read_lists(spark, None)
+    future = tx.where("event_id = '7'").withColumn("event_timestamp_ms", F.lit(4_102_444_800_000))
+    fastpath.score_batch(future, 0, tables, lists, scorecard())
+    fastpath.score_batch(tx.where("cast(event_id AS int) BETWEEN 500 AND 519"), 1, tables, lists, scorecard())
+    assert tables.scored.read().where("batch = 1").count() == 20
+
+
+def test_records_of_unknown_topics_are_kept(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    spark.createDataFrame([("nobody", "x", 1), (None, "y", 2)], "topic string, value string, arrival long").write.parquet(str(tmp_path / "in" / "a"))
+    raw = spark.readStream.schema("topic string, value string, arrival long").parquet(str(tmp_path / "in" / "a"))
+    bad = BatchTable(spark, str(tmp_path / "bad"), T.StructType([T.StructField("topic", T.StringType()), T.StructField("value", T.StringType())]))
+    ingest.route(raw, {}, bad, str(tmp_path / "c"), every=None).awaitTermination()
+    kept = BatchTable(spark, f"{bad.path}/other", bad.schema).read()
+    assert sorted(r["value"] for r in kept.collect()) == ["x", "y"]
 
 
 def test_restart_from_checkpoint_reads_only_new_files(spark, sf, tmp_path):

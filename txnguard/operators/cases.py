@@ -105,7 +105,8 @@ def submit_feedback(requests: DataFrame, scored: DataFrame) -> dict[str, DataFra
 
 
 def training_labels(feedback: DataFrame) -> DataFrame:
-    """Latest verdict per event as a 0/1 label."""
-    top = feedback.groupBy("event_id").agg(F.max_by("analyst_verdict", "submitted_at_ms").alias("v"),
+    """Latest verdict per event as a 0/1 label; of verdicts of one moment, the last by name and verdict."""
+    order = F.struct("submitted_at_ms", "analyst_name", "analyst_verdict")
+    top = feedback.groupBy("event_id").agg(F.max_by("analyst_verdict", order).alias("v"),
                                            F.max("submitted_at_ms").alias("labelled_at_ms"))
     return top.select("event_id", (F.col("v") == "FRAUD").cast("int").alias("label"), "labelled_at_ms")

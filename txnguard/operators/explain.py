@@ -33,16 +33,16 @@ def top_contributors(all_of_them: Column, n: int = K.TOP_CONTRIBUTORS) -> Column
 def _signal(c: Column, towards: str, sign: str) -> Column:
     return F.concat(F.lit(f"The strongest signal pushing toward {towards} was "), friendly(c["feature_name"]),
                     F.lit(" (value "), X.general_number(c["feature_value"]), F.lit(f", impact {sign}"),
-                    F.format_number(c["shap_value"], 3), F.lit(")."))
+                    F.format_string("%.3f", c["shap_value"]), F.lit(")."))
 
 
 def template_narrative(contributors: Column) -> Column:
     """Header sentence, then the strongest signal in each direction when there is one."""
     head = F.concat(
         F.lit("Transaction "), F.substring("event_id", 1, 8), F.lit(" for $"), F.format_number("amount", 2),
-        F.lit(" at "), F.col("merchant_name"), F.lit(" was classified "), F.col("decision"),
-        F.lit(" with a fraud score of "), F.format_number("fraud_score", 3),
-        F.lit(" (feature completeness "), F.format_number(F.col("feature_completeness") * 100, 0), F.lit("%)."))
+        F.lit(" at "), F.coalesce("merchant_name", F.lit("an unknown merchant")), F.lit(" was classified "), F.col("decision"),
+        F.lit(" with a fraud score of "), F.format_string("%.3f", F.col("fraud_score").cast("double")),
+        F.lit(" (feature completeness "), F.format_string("%.0f", F.col("feature_completeness").cast("double") * 100), F.lit("%)."))
     up = F.try_element_at(F.filter(contributors, lambda c: c["shap_value"] > 0), F.lit(1))
     down = F.try_element_at(F.filter(contributors, lambda c: c["shap_value"] < 0), F.lit(1))
     return F.concat_ws(" ", head, F.when(up.isNotNull(), _signal(up, "FRAUD", "+")),
@@ -75,7 +75,7 @@ def unnest(enriched: DataFrame) -> DataFrame:
     """Contributors as rows with their rank; missing inputs are spelled out."""
     rows = enriched.select("event_id", F.posexplode("top_contributors").alias("pos", "c"))
     value = F.when(F.col("c.feature_value") == K.SENTINEL, "missing on live event").otherwise(
-        F.format_number(F.col("c.feature_value"), 4))
+        F.format_string("%.4f", F.col("c.feature_value").cast("double")))
     return rows.select("event_id", (F.col("pos") + 1).alias("rank"), F.col("c.feature_name").alias("feature"),
                        value.alias("value"), F.round("c.shap_value", 4).alias("shap"))
 

@@ -154,6 +154,14 @@ def offender_counts(scored: DataFrame, as_of: Column, **rules) -> DataFrame:
         F.count(F.lit(1)).alias("total"), F.count_if(F.col("decision") == "BLOCK").alias("blocks"))
 
 
+def span_name(seconds: int) -> str:
+    """A window as analysts read it: 24h, 7d, 90min."""
+    for unit, size, least in (("d", 86_400, 2), ("h", 3600, 1), ("min", 60, 1)):
+        if seconds % size == 0 and seconds >= least * size:
+            return f"{seconds // size}{unit}"
+    return f"{seconds}s"
+
+
 def offenders(scored: DataFrame, as_of: Column, **rules) -> DataFrame:
     """Entities that qualify for a list: list NULL means scanned but not listed."""
     r = OFFENDER_RULES | rules
@@ -169,16 +177,17 @@ def offenders(scored: DataFrame, as_of: Column, **rules) -> DataFrame:
               .when((kind == "merchant") & merchant_hot, "hot")
               .when(kind.isin("ip", "device"), "block"))
     count = blocks.cast("string")
+    last = {t: span_name(r[f"{t}_window_s"]) for t in K.ENTITY_TYPES}
     tail = F.when(F.col("list") == "hot", "hot-list").otherwise("")
     percent = F.concat(F.format_string("%.0f", rate * 100), F.lit("%"))
     hot_note = F.when(tail == "", ")").otherwise(", hot-list)")
     reason = (
-        F.when(kind == "card", F.concat(count, F.lit(" BLOCK decisions in last 24h"),
+        F.when(kind == "card", F.concat(count, F.lit(f" BLOCK decisions in last {last['card']}"),
                                         F.when(tail == "", "").otherwise(" (hot-list)")))
         .when(kind == "merchant", F.concat(F.lit("merchant fraud rate "), percent, F.lit(" over "),
-                                           n.cast("string"), F.lit(" txns (7d"), hot_note))
-        .when(kind == "ip", F.concat(count, F.lit(" BLOCK decisions in last 1h (IP burst)")))
-        .otherwise(F.concat(count, F.lit(" BLOCK decisions in last 24h (device)"))))
+                                           n.cast("string"), F.lit(f" txns ({last['merchant']}"), hot_note))
+        .when(kind == "ip", F.concat(count, F.lit(f" BLOCK decisions in last {last['ip']} (IP burst)")))
+        .otherwise(F.concat(count, F.lit(f" BLOCK decisions in last {last['device']} (device)"))))
     return (offender_counts(scored, as_of, **rules).where(scanned)
             .withColumn("list", listed).withColumn("reason", reason))
 

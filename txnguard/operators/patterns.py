@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from txnguard.operators.timeline import HOUR_MS, totals_before, trailing_totals
 
-BURST = ("Velocity (card testing)", "velocity-rule: >=5 auths/card in 120s", "REVIEW")
+#: Pattern, rule and decision shown to analysts.
+BURST = ("Velocity (card testing)", "velocity-rule: >={at_least} auths/card in {window_s}s", "REVIEW")
 TRAVEL = ("Geo-impossible travel", "geo-rule: implied speed > 1000 km/h", "BLOCK")
 RISKY = ("MCC mismatch", "mcc-risk-rule: high-risk MCC vs cardholder history", "REVIEW")
 _CARD = ["card_token", "event_timestamp_ms"]
@@ -42,7 +43,8 @@ def fired(events: DataFrame, burst_window_s: int = 120, block_ms: int = HOUR_MS)
         return df.select("event_id", *[F.lit(v).alias(n) for n, v in zip(("pattern", "rule", "rule_decision"), rule)],
                          signals.alias("signals"))
 
-    fast = rows(burst(events, burst_window_s, block_ms=block_ms), BURST,
+    told = BURST[0], BURST[1].format(at_least=5, window_s=burst_window_s), BURST[2]
+    fast = rows(burst(events, burst_window_s, block_ms=block_ms), told,
                 F.concat(F.col("n_burst").cast("string"), F.lit(" authorisations on the card within the window")))
     far = rows(impossible_travel(events, block_ms=block_ms), TRAVEL,
                F.concat(F.lit("implied speed "), F.replace(F.format_number("kmh", 0), F.lit(","), F.lit("")), F.lit(" km/h")))
@@ -77,6 +79,8 @@ def merchant_chargebacks(events: DataFrame, label: str, window_ms: int = 7 * 86_
 
 
 def guarded_label_join(events: DataFrame, labels: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on natural keys; ``matches`` above 1 shows a key that would duplicate events."""
-    per = labels.groupBy(*keys).agg(F.count(F.lit(1)).alias("matches"), F.first("label").alias("label"), F.first("ProductCD").alias("ProductCD"))
-    return events.join(per, keys, "left").select("event_id", "label", "ProductCD", F.coalesce("matches", F.lit(1)).alias("matches"))
+    """Left join on natural keys. ``matches`` is 0 where nothing matched; an ambiguous key (above 1) gets no label."""
+    per = labels.groupBy(*keys).agg(F.count(F.lit(1)).alias("matches"), F.min("label").alias("label"), F.min("ProductCD").alias("ProductCD"))
+    one = F.col("matches") == 1
+    return events.join(per, keys, "left").select("event_id", F.when(one, F.col("label")).alias("label"), F.when(one, F.col("ProductCD")).alias("ProductCD"),
+                                                 F.coalesce("matches", F.lit(0)).alias("matches"))

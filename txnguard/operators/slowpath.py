@@ -42,8 +42,9 @@ def feature_frequency(enriched: DataFrame, decision: str = "BLOCK") -> DataFrame
     return rows.groupBy(F.col("c.feature_name").alias("feature")).agg(F.count(F.lit(1)).alias("events"))
 
 
-def alert_feed(enriched: DataFrame, n: int = 50) -> DataFrame:
-    return enriched.orderBy(F.desc("fraud_score"), "event_id").limit(n).select(
+def alert_feed(enriched: DataFrame) -> DataFrame:
+    """Every flagged event, worst first."""
+    return enriched.orderBy(F.desc("fraud_score"), "event_id").select(
         "event_id", "customer_id", "amount", "decision", "fraud_score", "narrative")
 
 

@@ -16,11 +16,6 @@ from txnguard.durable import materialize
 from txnguard.functions import scalars as X
 from txnguard.operators.joins import lookup_join, split_join
 
-# Letters, digits, dot, hyphen and the two edge marks: at most 40**3 trigrams.
-MAX_TRIGRAMS = 64_000
-_KEPT = r"[^A-Za-z0-9.\-]+"
-
-
 @dataclass
 class TrigramModel:
     trigrams: DataFrame     # tri, n
@@ -30,7 +25,8 @@ class TrigramModel:
 
 
 def normalized(text: Column) -> Column:
-    return F.trim(F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), _KEPT, " ")))
+    """Lower case, single spaces; every script is kept."""
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[\x09-\x0D\x20]+", " "))
 
 
 def _trigrams(word: str) -> Column:
@@ -43,23 +39,29 @@ def fit(corpus: DataFrame, text: str = "text", add: float = 0.5) -> TrigramModel
     words = corpus.select(F.explode(F.split(normalized(F.col(text)), " ")).alias("w")).where("w <> ''")
     counted = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     tri = materialize(counted.select(_trigrams("w").alias("tri"), "n").groupBy("tri").agg(F.sum("n").alias("n")), "trigrams")
-    ctx = tri.groupBy(F.substring("tri", 1, 2).alias("ctx")).agg(F.sum("n").alias("ctx_n"))
+    ctx = materialize(tri.groupBy(F.substring("tri", 1, 2).alias("ctx")).agg(F.sum("n").alias("ctx_n")), "contexts")
     size = tri.select(F.substring("tri", 3, 1).alias("c")).distinct().agg(F.count(F.lit(1))).scalar()
     return TrigramModel(tri, ctx, size, add)
 
 
 def log_probabilities(texts: DataFrame, model: TrigramModel, text: str = "text") -> DataFrame:
-    """Mean log-probability per distinct text (NULL for texts with nothing to score)."""
+    """Mean log-probability per distinct text (NULL for texts with nothing to score).
+
+    Distinct words are scored once; a text travels as a 128-bit key, not with each of its trigrams.
+    """
     distinct = texts.select(F.col(text).alias("text")).distinct()
-    words = distinct.select("text", F.explode(F.split(normalized(F.col("text")), " ")).alias("w")).where("w <> ''")
-    seen = words.select("text", _trigrams("w").alias("tri")).groupBy("text", "tri").agg(F.count(F.lit(1)).alias("times"))
+    keyed = distinct.withColumn("key", F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b")))
+    words = keyed.select("key", F.explode(F.split(normalized(F.col("text")), " ")).alias("w")).where("w <> ''")
+    seen = words.select("w").distinct().select("w", _trigrams("w").alias("tri")).groupBy("w", "tri").agg(F.count(F.lit(1)).alias("times"))
     seen = seen.withColumn("ctx", F.substring("tri", 1, 2))
-    known = lookup_join(seen, model.trigrams, ["tri"], "left", rows=MAX_TRIGRAMS)
-    known = lookup_join(known, model.contexts, ["ctx"], "left", rows=MAX_TRIGRAMS).withColumn("v", model.alphabet)
+    known = lookup_join(seen, model.trigrams, ["tri"], "left")
+    known = lookup_join(known, model.contexts, ["ctx"], "left").withColumn("v", model.alphabet)
     k = F.lit(model.add)
     log_p = F.log((F.coalesce("n", F.lit(0)) + k) / (F.coalesce("ctx_n", F.lit(0)) + k * F.col("v")))
-    mean = known.groupBy("text").agg((F.sum(log_p * F.col("times")) / F.sum("times")).alias("mean_log_prob"))
-    return distinct.join(mean, "text", "left")
+    scored = known.groupBy("w").agg(F.sum(log_p * F.col("times")).alias("log_p"), F.sum("times").alias("times"))
+    uses = words.groupBy("key", "w").agg(F.count(F.lit(1)).alias("uses"))
+    mean = uses.join(scored, "w").groupBy("key").agg((F.sum(F.col("log_p") * F.col("uses")) / F.sum(F.col("times") * F.col("uses"))).alias("mean_log_prob"))
+    return keyed.join(mean, "key", "left").drop("key")
 
 
 def score(df: DataFrame, text: str, model: TrigramModel, suspicious: float = K.SUSPICIOUS_LOG_PPL,

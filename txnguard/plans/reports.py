@@ -364,7 +364,7 @@ def e6_feedback(spark, d) -> DataFrame:
         "event_id", "analyst_role", "model_decision", "analyst_verdict", "model_agreed", "submitted_at_ms")
 
 
-@query("c9_label_join", oracle("""SELECT t.event_id, l.isFraud AS label, l.ProductCD, count(*) OVER (PARTITION BY t.event_id) AS matches
+@query("c9_label_join", oracle("""SELECT t.event_id, l.isFraud AS label, l.ProductCD, count(l.TransactionID) OVER (PARTITION BY t.event_id) AS matches
   FROM tx t LEFT JOIN (SELECT TransactionID, isFraud, ProductCD, TransactionAmt, card1 FROM rawt) l ON l.TransactionID::VARCHAR = t.event_id""", "tx", "rawt"))
 def c9(spark, d) -> DataFrame:
     """Labels joined on (second, customer, amount in cents), with the matches per event shown."""
@@ -402,7 +402,7 @@ def f14(spark, d) -> DataFrame:
     return patterns.new_risky_merchant(fx.transactions(spark, d)).select("event_id")
 
 
-_PAT = f"""SELECT event_id, 'Velocity (card testing)' AS pattern, 'velocity-rule: >=5 auths/card in 120s' AS rule, 'REVIEW' AS rule_decision,
+_PAT = f"""SELECT event_id, 'Velocity (card testing)' AS pattern, 'velocity-rule: >=5 auths/card in 172800s' AS rule, 'REVIEW' AS rule_decision,
    n || ' authorisations on the card within the window' AS signals FROM (SELECT event_id, count(*) OVER (PARTITION BY card_token ORDER BY event_timestamp_ms RANGE BETWEEN 172800000 PRECEDING AND CURRENT ROW) AS n FROM tx) WHERE n >= 5
   UNION ALL SELECT event_id, 'Geo-impossible travel', 'geo-rule: implied speed > 1000 km/h', 'BLOCK', 'implied speed ' || printf('%.0f', kmh) || ' km/h' FROM spd WHERE kmh > 1000
   UNION ALL SELECT event_id, 'MCC mismatch', 'mcc-risk-rule: high-risk MCC vs cardholder history', 'REVIEW', 'first charge at MCC 7995 on this card' FROM risk"""

@@ -167,10 +167,10 @@ cte("offd", f"""SELECT * FROM (SELECT entity_type, entity_id, blocks, total,
   CASE entity_type WHEN 'card' THEN CASE WHEN blocks >= 3 THEN 'block' WHEN blocks = 2 THEN 'hot' END
    WHEN 'merchant' THEN CASE WHEN total >= 100 AND blocks / total >= 0.05 THEN 'block' WHEN total >= 30 AND blocks / total >= 0.03 THEN 'hot' END
    WHEN 'ip' THEN CASE WHEN blocks >= 5 THEN 'block' END ELSE CASE WHEN blocks >= 3 THEN 'block' END END AS list,
-  CASE entity_type WHEN 'card' THEN blocks || ' BLOCK decisions in last 24h' || CASE WHEN blocks = 2 THEN ' (hot-list)' ELSE '' END
-   WHEN 'merchant' THEN 'merchant fraud rate ' || printf('%.0f', 100.0 * blocks / total) || '% over ' || total || ' txns (7d' ||
+  CASE entity_type WHEN 'card' THEN blocks || ' BLOCK decisions in last 30d' || CASE WHEN blocks = 2 THEN ' (hot-list)' ELSE '' END
+   WHEN 'merchant' THEN 'merchant fraud rate ' || printf('%.0f', 100.0 * blocks / total) || '% over ' || total || ' txns (30d' ||
      CASE WHEN total >= 100 AND blocks / total >= 0.05 THEN ')' ELSE ', hot-list)' END
-   WHEN 'ip' THEN blocks || ' BLOCK decisions in last 1h (IP burst)' ELSE blocks || ' BLOCK decisions in last 24h (device)' END AS reason,
+   WHEN 'ip' THEN blocks || ' BLOCK decisions in last 30d (IP burst)' ELSE blocks || ' BLOCK decisions in last 30d (device)' END AS reason,
   {_AS_OF} AS added_at_ms FROM oc) WHERE list IS NOT NULL""", "oc")
 
 

@@ -15,13 +15,6 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, columns: list
     return spark.read.schema(full).option("header", True).csv(path).select(*(columns or schema.fieldNames()))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share out an input of fewer files than cores, whose scan would keep cores idle.
-    A table of many files is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def without_prefixes(columns: list[str], prefixes: tuple[str, ...]) -> list[str]:
     """Columns to read when whole groups are left out by name."""
     return [c for c in columns if not c.startswith(prefixes)]

@@ -26,7 +26,7 @@ def route(records: DataFrame, tables: dict[str, tuple[str, BatchTable]], bad: Ba
     """One source of (topic, value, arrival); each topic's rows go to its own table.
 
     ``tables`` maps a topic to (record type, table). Payloads that do not parse go
-    to ``bad``. Where a failed flush used to drop its rows, Spark retries the batch.
+    to ``bad``, and so do records of other topics. Where a failed flush used to drop its rows, Spark retries the batch.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         for topic, (record, table) in tables.items():
@@ -34,6 +34,8 @@ def route(records: DataFrame, tables: dict[str, tuple[str, BatchTable]], bad: Ba
             table.write(S.decoded(frame, ["arrival"]), batch_id)
             bad_rows = S.quarantined(frame).withColumn("topic", F.lit(topic))
             BatchTable(bad.spark, f"{bad.path}/{topic}", bad.schema).write(bad_rows, batch_id)
+        lost = batch.where(F.col("topic").isNull() | ~F.col("topic").isin(*tables))
+        BatchTable(bad.spark, f"{bad.path}/other", bad.schema).write(lost.select(*bad.schema.fieldNames()), batch_id)
 
     return _start(records, checkpoint, handle, every)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from txnguard import constants as K
@@ -76,9 +76,13 @@ class VelocityProcessor(StatefulProcessor):
 
 
 def velocity_stream(events: DataFrame, windows=K.VELOCITY_WINDOWS) -> DataFrame:
-    """``events`` needs a watermark on an event-time column and the RocksDB state store."""
-    return events.groupBy("card_token").transformWithStateInPandas(
+    """``events`` needs a watermark on an event-time column and the RocksDB state store. Events without a card never hit."""
+    carded = F.coalesce(F.col("card_token") != "", F.lit(False))
+    judged = events.where(carded).groupBy("card_token").transformWithStateInPandas(
         statefulProcessor=VelocityProcessor(windows), outputStructType=VELOCITY_OUT, outputMode="Append", timeMode="EventTime")
+    rest = events.where(~carded).select("event_id", "card_token", "event_timestamp_ms", F.lit(False).alias("velocity_hit"),
+                                        F.lit("").alias("velocity_window"), F.lit("").alias("velocity_reason"))
+    return judged.unionByName(rest)
 
 
 CACHE_OUT = "event_id string, feature_hash string, fraud_score double, cached boolean"
