@@ -262,3 +262,9 @@ def test_keyed_round_trip(spark, sf):
     back = S.decoded(S.decode(S.keyed(s), "scored"))
     assert rows(back, "event_id", "amount", "decision") == rows(s, "event_id", "amount", "decision")
     assert json.loads(S.keyed(s).first()["value"])["schema_version"] == "v1"
+
+
+def test_fields_of_the_wrong_type_are_set_aside(spark):
+    raw = spark.createDataFrame([('{"event_id": "a", "amount": "abc"}',), ('{"event_id": "b", "amount": 2.5}',), ('{"amount": 1}',), ("{",)], "value string")
+    frame = S.decode(raw, "event")
+    assert [r["event_id"] for r in S.decoded(frame).collect()] == ["b"] and S.quarantined(frame).count() == 3

@@ -30,13 +30,14 @@ def read_kafka(spark: SparkSession, servers: str, topics: str, start: str = "lat
 
 
 def decode(raw: DataFrame, record: str, value: str = "value") -> DataFrame:
-    """JSON payloads as a record; ``ok`` is false for rows that must be quarantined."""
-    parsed = F.from_json(F.col(value), SCHEMAS[record], {"mode": "PERMISSIVE"})
-    return raw.withColumn("_r", parsed).withColumn("ok", F.col("_r.event_id").isNotNull())
+    """JSON payloads as a record; ``ok`` is false for rows that must be quarantined: no id, broken, or a field of the wrong type."""
+    shape = T.StructType([*SCHEMAS[record].fields, T.StructField("_corrupt", T.StringType())])
+    parsed = F.from_json(F.col(value), shape, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    return raw.withColumn("_r", parsed).withColumn("ok", F.col("_r.event_id").isNotNull() & F.col("_r._corrupt").isNull())
 
 
 def decoded(frame: DataFrame, keep: list[str] = ()) -> DataFrame:
-    return frame.where("ok").select(*keep, "_r.*")
+    return frame.where("ok").select(*keep, "_r.*").drop("_corrupt")
 
 
 def quarantined(frame: DataFrame, value: str = "value") -> DataFrame:
