@@ -129,17 +129,18 @@ def _lookup(model: Model, keys: np.ndarray, order: int) -> np.ndarray:
 def code_lengths(model: Model, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Bits of each text in each language; ``data`` holds the texts' bytes, ``starts`` their offsets and the end."""
     out = np.zeros((len(starts) - 1, len(model.languages)))
-    key = grams(data, ORDER)
-    for back in range(ORDER):  # the first bytes of a text must not see the text before it
-        first = starts[:-1][np.diff(starts) > back] + back
-        piece = np.full((len(first), ORDER + 1), 10, np.uint32)
-        for i in range(back + 1):
-            piece[:, ORDER - i] = data[first - i]
-        key[first] = (piece << np.array([24, 16, 8, 0], np.uint32)).sum(1, dtype=np.uint32)
-    for at in range(0, len(key), PIECE):
-        found, place = np.unique(key[at:at + PIECE], return_inverse=True)
+    heads = [starts[:-1][np.diff(starts) > back] + back for back in range(ORDER)]  # first bytes, which must not see the text before
+    for at in range(0, len(data), PIECE):
+        stop, lead = min(at + PIECE, len(data)), min(at, ORDER)
+        key = grams(data[at - lead:stop], ORDER)[lead:]
+        for back, places in enumerate(heads):
+            here = places[(places >= at) & (places < stop)]
+            piece = np.full((len(here), ORDER + 1), 10, np.uint32)
+            for i in range(back + 1):
+                piece[:, ORDER - i] = data[here - i]
+            key[here - at] = (piece << np.array([24, 16, 8, 0], np.uint32)).sum(1, dtype=np.uint32)
+        found, place = np.unique(key, return_inverse=True)
         bits = _lookup(model, found, ORDER)
-        stop = min(at + PIECE, len(key))
         first, last = np.searchsorted(starts, at, "right") - 1, np.searchsorted(starts, stop, "left")
         cut = np.clip(starts[first:last + 1], at, stop) - at
         filled = np.flatnonzero(np.diff(cut))
