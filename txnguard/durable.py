@@ -8,6 +8,7 @@ footer gives Spark the real size of the table.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,7 +19,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("spark.checkpoint.dir must name a folder every executor can reach")
     root = tempfile.mkdtemp(prefix="txnguard-")
     spark.conf.set("spark.checkpoint.dir", root)

@@ -226,6 +226,22 @@ def e1(spark, d) -> DataFrame:
     return out.select("event_id", "n_1min", "n_10min", "n_60min", "velocity_hit", "velocity_window", "velocity_reason")
 
 
+# The published windows, on times in which a day passes as a minute.
+_QUICK = f"{fx.START_MS} + (event_timestamp_ms - {fx.START_MS}) // 1440"
+_QUICK_HIT = [(w, t, f"n_{w} >= {t}") for w, _, t in K.VELOCITY_WINDOWS]
+
+
+@query("e1_velocity_published_windows", oracle(f"""SELECT event_id, {', '.join(f'n_{w}' for w, _, _ in K.VELOCITY_WINDOWS)}, {' OR '.join(h for _, _, h in _QUICK_HIT)} AS velocity_hit,
+  CASE {' '.join(f"WHEN {h} THEN '{w}'" for w, _, h in _QUICK_HIT)} ELSE '' END AS velocity_window,
+  CASE {' '.join(f"WHEN {h} THEN n_{w} || ' txns on card in {w} (threshold {t})'" for w, t, h in _QUICK_HIT)} ELSE '' END AS velocity_reason
+  FROM (SELECT event_id, {', '.join(f'{_span(w, s)} AS n_{w}' for w, s, _ in K.VELOCITY_WINDOWS)}
+    FROM (SELECT event_id, card_token, {_QUICK} AS event_timestamp_ms FROM tx))""", "tx"))
+def e1_published(spark, d) -> DataFrame:
+    quick = F.expr(_QUICK.replace("//", "div"))
+    out = velocity.check(fx.transactions(spark, d).withColumn("event_timestamp_ms", quick), K.VELOCITY_WINDOWS)
+    return out.select("event_id", "n_1min", "n_10min", "n_60min", "velocity_hit", "velocity_window", "velocity_reason")
+
+
 @query("e2_current_counts", oracle(f"""SELECT card_token, {', '.join(f"count(*) FILTER (WHERE event_timestamp_ms >= {MID_MS} - {s * 1000 - (1 if w == '60min' else 0)}) AS n_{w}" for w, s, _ in WINDOWS)}
   FROM tx WHERE event_timestamp_ms <= {MID_MS} AND event_timestamp_ms >= {MID_MS} - {WINDOWS[-1][1] * 1000 - 1} GROUP BY card_token""", "tx"))
 def e2(spark, d) -> DataFrame:

@@ -106,15 +106,21 @@ def fast_stream(spark, d) -> DataFrame:
 
 
 @query("i3_stream_velocity", oracle(f"""SELECT event_id, {' OR '.join(f'n_{w} >= {t}' for w, _, t in WINDOWS)} AS velocity_hit FROM (SELECT event_id, event_timestamp_ms,
-  {', '.join(f"count(*) OVER (PARTITION BY card_token ORDER BY event_timestamp_ms RANGE BETWEEN {s * 1000 - (1 if w == '60min' else 0)} PRECEDING AND CURRENT ROW) AS n_{w}" for w, s, _ in WINDOWS)} FROM tx)
-  WHERE event_timestamp_ms < (SELECT max(event_timestamp_ms) FROM tx) - 3600000""", "tx"))
+  {', '.join(f"count(*) OVER (PARTITION BY card_token ORDER BY event_timestamp_ms RANGE BETWEEN {s * 1000 - (1 if w == '60min' else 0)} PRECEDING AND CURRENT ROW) AS n_{w}" for w, s, _ in WINDOWS)} FROM tx)""", "tx"))
 def velocity(spark, d) -> DataFrame:
-    """Keyed state with timers: everything the watermark has passed, judged in time order."""
+    """Keyed state with timers, judged in time order as the watermark passes; a closing event, which arrives
+    when all others are read, moves it past the last of them."""
     spark.conf.set(*stateful.ROCKSDB)
-    tx = ingest.event_time(fx.with_event_columns(events(spark, d)).select(*EVENT_FIELDS), delay="1 hour")
-    out = drain(stateful.velocity_stream(tx, WINDOWS), place(spark))
-    newest = fx.transactions(spark, d).agg(F.max("event_timestamp_ms")).scalar()
-    return out.where(F.col("event_timestamp_ms") < newest - 3_600_000).select("event_id", "velocity_hit")
+    root, batch = place(spark), fx.transactions(spark, d)
+    batch.limit(0).write.parquet(f"{root}/closing")
+    tx = fx.with_event_columns(events(spark, d)).select(*EVENT_FIELDS)
+    both = tx.unionByName(S.read_files(spark, f"{root}/closing", tx.schema))
+    judged = stateful.velocity_stream(ingest.event_time(both, delay="1 hour"), WINDOWS)
+    drain(judged, root)
+    end = batch.agg(F.max("event_timestamp_ms")).scalar() + 7_200_000
+    last = batch.limit(1).withColumns({"event_id": F.lit("end"), "card_token": F.lit("end"), "event_timestamp_ms": end})
+    last.write.mode("append").parquet(f"{root}/closing")
+    return drain(judged, root).where("event_id <> 'end'").select("event_id", "velocity_hit")
 
 
 @query("c12_stream_comparison", oracle("SELECT event_id, first_decision, second_decision, decisions_agree, score_diff FROM cmp", "cmp"), "score_diff", digits=8)
