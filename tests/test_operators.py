@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from txnguard import constants as K, schemas
 from txnguard.functions import scalars as X
-from txnguard.operators import analytics, cases, evaluate, explain, features, joins, lists, merge, prefix, quality, rolling, scoring, velocity
+from txnguard.operators import analytics, cases, evaluate, explain, features, joins, lists, merge, patterns, prefix, quality, rolling, scoring, velocity
 from txnguard.operators.timeline import totals_before, trailing_totals
 from txnguard.sources import files, fixtures as fx
 
@@ -396,3 +396,45 @@ def test_an_ambiguous_key_gets_no_label(spark):
     labels = spark.createDataFrame([(1, 0, "W"), (2, 1, "W"), (2, 0, "C")], "k int, label int, ProductCD string")
     got = {r["event_id"]: (r["label"], r["matches"]) for r in patterns.guarded_label_join(events, labels, ["k"]).collect()}
     assert got == {"a": (0, 1), "b": (None, 2), "c": (None, 0)}
+
+
+def test_scoring_follows_the_champion_pointer(spark, tmp_path):
+    from txnguard.operators import training
+    one = spark.createDataFrame([(float(i % 7), float(i % 2), i % 2) for i in range(60)], "a double, b double, isFraud int")
+    rows = training.VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(one)
+    for name, trees in (("small", 2), ("large", 5)):
+        training.publish(training.RandomForestClassifier(labelCol="isFraud", numTrees=trees, seed=1).fit(rows), str(tmp_path), name)
+    for version, (small, large, expected) in enumerate([(0.9, 0.8, 2), (0.7, 0.8, 5)]):
+        table = spark.createDataFrame([("small", small), ("large", large)], "model string, roc_auc double")
+        training.point_at_champion(table, str(tmp_path), version)
+        assert training.load_champion(spark, str(tmp_path)).getNumTrees == expected
+
+
+def test_close_large_amounts_keep_their_deviation(spark):
+    data = [(str(i), "c", i * 1000, 1e9 + x) for i, x in enumerate([0.01, 0.02, 0.03, 0.05])]
+    events = spark.createDataFrame(data, "event_id string, customer_id string, event_timestamp_ms long, amount double")
+    z = {r["event_id"]: r["z"] for r in patterns.amount_zscore(events).collect()}
+    assert z.keys() == {"2", "3"}
+    assert z["2"] == pytest.approx(0.015 / 0.0070711, rel=1e-3) and z["3"] == pytest.approx(0.03 / 0.01, rel=1e-3)
+
+
+def test_recorded_checks_replace_and_list_newest_first(spark, tmp_path):
+    from txnguard.operators import analytics
+    from txnguard.streaming.sink import BatchTable
+    history = BatchTable(spark, str(tmp_path / "drift"), analytics.DRIFT_CHECK)
+    assert analytics.check_history(history).count() == 0
+    compared = spark.createDataFrame([(1_000, True), (2_000, False)], "scored_at_ms long, decisions_agree boolean")
+    for i, at in ((0, 1_500), (1, 2_500), (1, 2_500)):
+        analytics.record_check(history, i, analytics.drift_check(compared, F.lit(at).cast("long"), 60), F.lit(at).cast("long"))
+    got = [(r["check_id"], r["checked_at_ms"], r["compared"], r["alarm_fired"]) for r in analytics.check_history(history).collect()]
+    assert got == [(1, 2_500, 2, True), (0, 1_500, 1, False)]
+    assert analytics.check_history(history, 1).count() == 1
+
+
+def test_difference_keeps_order_and_null_keys(spark):
+    rows = spark.createDataFrame([(3,), (None,), (1,), (2,)], "id int")
+    assert [r[0] for r in merge.difference(rows, rows.where("id = 2 OR id IS NULL"), "id").collect()] == [None, 1, 3]
+
+
+def test_slabs_grow_with_the_rows():
+    assert [prefix.slab_count(n, 200) for n in (0, 1, 50_001, 10**9, 10**12)] == [1, 1, 2, 250, 250_000]

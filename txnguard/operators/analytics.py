@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from txnguard import constants as K
 from txnguard.functions import scalars as X
+from txnguard.streaming.sink import BatchTable
 
 
 def latest(df: DataFrame, column: str) -> Column:
@@ -68,7 +69,7 @@ def scorer_rows(first: DataFrame, second: DataFrame, compared: DataFrame) -> Dat
 
 def drift_check(compared: DataFrame, as_of: Column, window_minutes: int = 60, threshold: float = 0.05) -> DataFrame:
     """One check row; the alarm needs a rate strictly above the threshold."""
-    recent = compared.where(F.col("scored_at_ms") >= as_of - window_minutes * 60_000)
+    recent = compared.where(F.col("scored_at_ms").between(as_of - window_minutes * 60_000, as_of))
     n, bad = F.count(F.lit(1)), F.count_if(~F.col("decisions_agree"))
     rate = F.when(n > 0, bad / n).otherwise(0.0)
     return recent.agg(F.lit(window_minutes).alias("window_minutes"), n.alias("compared"), bad.alias("disagreements"),
@@ -76,6 +77,23 @@ def drift_check(compared: DataFrame, as_of: Column, window_minutes: int = 60, th
                       ((n > 0) & (rate > threshold)).alias("alarm_fired")).withColumn("disagreement_rate", F.round("rate", 4)).drop("rate")
 
 
+DRIFT_CHECK = T.StructType([
+    T.StructField("checked_at_ms", T.LongType()), T.StructField("window_minutes", T.IntegerType()), T.StructField("compared", T.LongType()),
+    T.StructField("disagreements", T.LongType()), T.StructField("threshold", T.DoubleType()), T.StructField("alarm_fired", T.BooleanType()),
+    T.StructField("disagreement_rate", T.DoubleType())])
+
+
+def record_check(history: BatchTable, check_id: int, check: DataFrame, as_of: Column) -> None:
+    """Add a check to the history (rows of ``DRIFT_CHECK``); recording the same id again replaces it."""
+    history.write(check.withColumn("checked_at_ms", as_of), check_id)
+
+
+def check_history(history: BatchTable, n: int | None = None) -> DataFrame:
+    """Recorded checks, newest first; ``n`` is the report's limit."""
+    rows = history.read().withColumnRenamed("batch", "check_id").orderBy(F.desc("checked_at_ms"), F.desc("check_id"))
+    return rows if n is None else rows.limit(n)
+
+
 def drift_by_window(compared: DataFrame, minutes: int = 60, threshold: float = 0.05) -> DataFrame:
     """Drift per tumbling window of scoring time."""
     at = F.timestamp_millis("scored_at_ms")

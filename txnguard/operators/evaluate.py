@@ -6,6 +6,8 @@ exact running totals, so neither a single sort nor equal scores limit it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from txnguard import constants as K
@@ -244,11 +246,10 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     counts = df.select(F.explode(cells).alias("c")).groupBy("c.column", "c.value").agg(F.count(F.lit(1)).alias("n"))
     known = F.col("value").isNotNull()
     v, n = F.col("value"), F.when(known, F.col("n")).otherwise(0)
-    total, s, q = F.sum(n), F.sum(v * n), F.sum(v * v * n)
+    total, s = F.sum(n), F.sum(v * n)
     base = counts.groupBy("column").agg(
         total.alias("count"), F.sum(F.when(~known, F.col("n")).otherwise(0)).alias("missing"), F.count_if(known).alias("distinct"),
         F.min("value").alias("min"), F.max("value").alias("max"), (s / total).alias("mean"),
-        F.sqrt(F.greatest((q - s * s / total) / F.nullif(total - 1, F.lit(0)), F.lit(0.0))).alias("std"),
         F.min(F.when(known, F.struct((-F.col("n")).alias("o"), "value")))["value"].alias("most_common"))
     sized = running_totals(counts.where(known), ["column"], [F.col("value")], ["n"]).withColumnRenamed("total_n", "t")
     aggs = []
@@ -259,7 +260,13 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
         aggs.append(F.max(at - F.floor(at)).alias(f"{name}_w"))
     quart = sized.groupBy("column").agg(*aggs)
     quart = quart.select("column", *[(F.col(f"{m}_lo") + (F.col(f"{m}_hi") - F.col(f"{m}_lo")) * F.col(f"{m}_w")).alias(m) for m in ("q25", "median", "q75")])
-    return base.join(quart, "column", "left")
+    return base.join(F.broadcast(_deviations(df, columns, F.stddev_samp, "std")), "column").join(quart, "column", "left")
+
+
+def _deviations(df: DataFrame, columns: list[str], how: Callable[[Column], Column], name: str) -> DataFrame:
+    """(column, deviation): centred moments merged by Spark, one row per column."""
+    wide = df.agg(*[how(F.col(c).cast("double")).alias(c) for c in columns])
+    return wide.unpivot([], columns, "column", name)
 
 
 def drift(reference: DataFrame, current: DataFrame, columns: list[str], ks_above: float = 0.1, distance_above: float = 0.1,
@@ -277,10 +284,9 @@ def drift(reference: DataFrame, current: DataFrame, columns: list[str], ks_above
     gap = F.abs(F.col("cum_r") / F.col("refs") - F.col("cum_c") / F.col("curs"))
     before = F.abs((F.col("cum_r") - F.col("r")) / F.col("refs") - (F.col("cum_c") - F.col("c")) / F.col("curs"))
     step = F.coalesce(F.col("value") - F.col("prev_value"), F.lit(0.0))
-    v, r = F.col("value"), F.col("r")
-    mean = F.sum(v * r) / F.max("refs")
-    sd = F.sqrt(F.greatest(F.sum(v * v * r) / F.max("refs") - mean * mean, F.lit(0.0)))
-    shape = d.groupBy("column").agg(F.max(gap).alias("ks"), (F.sum(before * step) / F.greatest(sd, F.lit(1e-3))).alias("wasserstein"))
+    shape = d.groupBy("column").agg(F.max(gap).alias("ks"), F.sum(before * step).alias("moved")) \
+        .join(F.broadcast(_deviations(reference, columns, F.stddev_pop, "sd")), "column", "left") \
+        .select("column", "ks", (F.col("moved") / F.greatest("sd", F.lit(1e-3))).alias("wasserstein"))
     decile = F.least(F.floor(10 * (F.col("cum_r") - F.col("r")) / F.col("refs")), F.lit(9))
     share = d.groupBy("column", decile.alias("b")).agg((F.sum("r") / F.max("refs")).alias("p"), (F.sum("c") / F.max("curs")).alias("q"))
     p, q = F.greatest("p", F.lit(1e-4)), F.greatest("q", F.lit(1e-4))

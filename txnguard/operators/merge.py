@@ -7,6 +7,11 @@ from pyspark.sql import DataFrame, functions as F
 from txnguard.schemas import EVENT_FIELDS, SCORE_FIELDS
 
 
+def difference(rows: DataFrame, part: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is not in ``part``, in key order: train = all - test. A null key is in no part."""
+    return rows.join(part.select(key), key, "left_anti").orderBy(key)
+
+
 def latest_wins(rows: DataFrame, first: list[str], latest: list[str], version: str = "scored_at_ms",
                 arrival: str = "arrival", key: str = "event_id") -> DataFrame:
     """Fold deliveries into one row per key.

@@ -61,12 +61,15 @@ def rule_vs_model(hits: DataFrame, scored: DataFrame) -> DataFrame:
 
 
 def amount_zscore(events: DataFrame, block_ms: int = HOUR_MS) -> DataFrame:
-    """Amount against the customer's own earlier amounts (two or more, not all equal)."""
-    a = F.col("amount")
-    past = totals_before(events, "customer_id", "event_timestamp_ms", {"n": F.lit(1), "s": a, "q": a * a}, block_ms)
+    """Amount against the customer's own earlier amounts (two or more, not all equal).
+
+    Sums are decimals (amounts to a millionth), so the variance of large, close amounts loses no digits.
+    """
+    a, exact = F.col("amount"), F.col("amount").cast("decimal(20,6)")
+    past = totals_before(events, "customer_id", "event_timestamp_ms", {"n": F.lit(1), "s": exact, "q": exact * exact}, block_ms)
     n, s, q = (F.col(f"before_{c}") for c in "nsq")
-    var = (q - s * s / n) / (n - 1)
-    known = past.where(n >= 2).withColumns({"mean": s / n, "sd": F.sqrt(F.greatest(var, F.lit(0.0)))}).where(F.col("sd") > 1e-6)
+    var = (n * q - s * s).cast("double") / (n * (n - 1))
+    known = past.where(n >= 2).withColumns({"mean": s.cast("double") / n, "sd": F.sqrt(F.greatest(var, F.lit(0.0)))}).where(F.col("sd") > 1e-6)
     return events.join(known, ["customer_id", "event_timestamp_ms"]).select("event_id", ((a - F.col("mean")) / F.col("sd")).alias("z"))
 
 

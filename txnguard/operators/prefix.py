@@ -12,6 +12,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from txnguard.durable import materialize
 
 
+SLAB_ROWS = (50_000, 4_000_000)
+
+
+def slab_count(rows: int, usual: int) -> int:
+    """Slabs of at least the smaller size up to the usual number of partitions, then as many as keep each below the larger."""
+    least, most = SLAB_ROWS
+    return max(1, min(usual, -(-rows // least)), -(-rows // most))
+
+
 def running_totals(df: DataFrame, keys: list[str], order: list[Column], values: list[str],
                    previous: list[str] = (), partitions: int | None = None) -> DataFrame:
     """Add ``cum_<v>`` (inclusive), ``total_<v>`` (the key's whole) and ``prev_<c>``
@@ -20,10 +29,11 @@ def running_totals(df: DataFrame, keys: list[str], order: list[Column], values:
     (keys, order) must be unique per row; callers aggregate duplicates first,
     which also lets the range partitioner cut inside a hot key.
     """
-    # Without a number, adaptive execution merges neighbouring ranges of small data.
     by = [F.col(k) for k in keys] + list(order)
-    ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
-    placed = materialize(ranged.withColumn("_slab", F.spark_partition_id()), "slabs")
+    if partitions is None:  # stored first: the footers give its rows, and the sampling pass reads it instead of the whole plan
+        df = materialize(df, "folded")
+        partitions = slab_count(df.count(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    placed = materialize(df.repartitionByRange(partitions, *by).withColumn("_slab", F.spark_partition_id()), "slabs")
 
     inside = Window.partitionBy(*keys, "_slab").orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from txnguard import constants as K, schemas
-from txnguard.operators import evaluate as V, features, quality
+from txnguard.operators import evaluate as V, features, merge, quality
 from txnguard.plans.featurize import corrected_sql, richer_events, training_sql
 from txnguard.plans.registry import query
 from txnguard.plans.sql_base import HOUR, cte, oracle
@@ -194,6 +194,13 @@ def d34(spark, d) -> DataFrame:
     return V.profile(fx.raw_rows(spark, d), _NUM)
 
 
+@query("e13_id_difference", oracle("SELECT TransactionID FROM rawt WHERE TransactionID % 5 <> 0 ORDER BY TransactionID", "rawt"))
+def e13(spark, d) -> DataFrame:
+    """Training ids: all of them without the test part, in order."""
+    ids = fx.raw_rows(spark, d).select("TransactionID")
+    return merge.difference(ids, ids.where("TransactionID % 5 = 0"), "TransactionID")
+
+
 @query("d35_class_balance", oracle("""SELECT CASE WHEN TransactionID % 5 = 0 THEN 'test' ELSE 'train' END AS split, count(*) AS rows, sum(isFraud)::BIGINT AS positives,
   sum(1 - isFraud) / nullif(sum(isFraud), 0) AS neg_per_pos, avg(isFraud) AS fraud_rate FROM rawt GROUP BY 1""", "rawt"), "neg_per_pos fraud_rate")
 def d35(spark, d) -> DataFrame:

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from txnguard import constants as K, schemas
+from txnguard.durable import scratch_root
 from txnguard.functions import scalars as X
 from txnguard.operators import analytics as A, cases, joins, patterns, prefix, rolling
 from txnguard.operators.timeline import trailing_totals
 from txnguard.plans.registry import query
 from txnguard.plans.sql_base import EVENT_COLS, HOUR, NIGHT, cte, decide, oracle
 from txnguard.sources import fixtures as fx
+from txnguard.streaming.sink import BatchTable
 
 MAXT = "(SELECT max(scored_at_ms) FROM {0})"
 
@@ -94,6 +98,24 @@ def d15(spark, d) -> DataFrame:
     return A.drift_check(c, A.latest(c, "scored_at_ms"), 1440)
 
 
+_CHECK = ("SELECT {0} AS check_id, {1} - {0} * 86400000 AS checked_at_ms, 1440 AS window_minutes, count(*) AS compared, count(*) FILTER (WHERE NOT decisions_agree) AS disagreements, "
+          "0.05::DOUBLE AS threshold, coalesce(count(*) FILTER (WHERE NOT decisions_agree) / nullif(count(*), 0), 0) > 0.05 AS alarm_fired, "
+          "coalesce(count(*) FILTER (WHERE NOT decisions_agree) / nullif(count(*), 0), 0) AS disagreement_rate "
+          "FROM cmp WHERE scored_at_ms BETWEEN {1} - {0} * 86400000 - 86400000 AND {1} - {0} * 86400000")
+
+
+@query("e6_drift_history", oracle("SELECT * FROM (" + " UNION ALL ".join(_CHECK.format(i, MAXT.format("cmp")) for i in range(3)) + ") ORDER BY checked_at_ms DESC LIMIT 2", "cmp"),
+       "disagreement_rate", digits=4)
+def e6_drift_history(spark, d) -> DataFrame:
+    """Three daily checks are recorded, one of them twice; the report shows the latest two."""
+    c = compared(spark, d)
+    history = BatchTable(spark, f"{scratch_root(spark).rstrip('/')}/txnguard/drift-{uuid.uuid4().hex}", A.DRIFT_CHECK)
+    for i in (0, 1, 2, 1):
+        as_of = A.latest(c, "scored_at_ms") - i * fx.DAY_MS
+        A.record_check(history, i, A.drift_check(c, as_of, 1440), as_of)
+    return A.check_history(history, 2)
+
+
 @query("d15_drift_by_window", oracle("""SELECT w AS window_start_ms, count(*) AS compared, count(*) FILTER (WHERE NOT decisions_agree) AS disagreements,
   count(*) FILTER (WHERE NOT decisions_agree) / count(*) AS disagreement_rate, count(*) FILTER (WHERE NOT decisions_agree) / count(*) > 0.05 AS alarm_fired
   FROM (SELECT *, scored_at_ms // 3600000 * 3600000 AS w FROM cmp) GROUP BY w""", "cmp"), "disagreement_rate", digits=4)

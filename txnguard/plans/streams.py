@@ -56,6 +56,19 @@ def drain(df: DataFrame, root: str, mode: str = "append") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{root}/out")
 
 
+def drained_to_the_end(spark, d, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Run ``build`` over the events, then send a closing event that moves the watermark past the last of them."""
+    root, batch = place(spark), fx.transactions(spark, d)
+    batch.limit(0).write.parquet(f"{root}/closing")
+    tx = fx.with_event_columns(events(spark, d)).select(*EVENT_FIELDS)
+    out = build(tx.unionByName(S.read_files(spark, f"{root}/closing", tx.schema)))
+    drain(out, root)
+    end = batch.agg(F.max("event_timestamp_ms")).scalar() + 4 * 3_600_000
+    names = {c: F.lit("end") for c in ("event_id", "card_token", "customer_id")}
+    batch.limit(1).withColumns(names | {"event_timestamp_ms": end}).write.mode("append").parquet(f"{root}/closing")
+    return drain(out, root)
+
+
 @query("i2_stream_dedup", oracle("SELECT event_id, event_timestamp_ms, customer_id FROM tx", "tx"))
 def dedup(spark, d) -> DataFrame:
     """Every event delivered twice, kept once within the watermark."""
@@ -88,7 +101,22 @@ def sliding(spark, d) -> DataFrame:
   SELECT *, sum(CASE WHEN prev IS NULL OR event_timestamp_ms - prev >= 7200000 THEN 1 ELSE 0 END) OVER (PARTITION BY customer_id ORDER BY event_timestamp_ms, event_id::BIGINT) AS s
   FROM (SELECT *, lag(event_timestamp_ms) OVER (PARTITION BY customer_id ORDER BY event_timestamp_ms, event_id::BIGINT) AS prev FROM tx)) GROUP BY customer_id, s""", "tx"), "amount", digits=2)
 def sessions(spark, d) -> DataFrame:
-    return ingest.customer_sessions(fx.transactions(spark, d), "2 hours")
+    """Sessions are stored once the watermark has passed their end."""
+    return drained_to_the_end(spark, d, lambda tx: ingest.customer_sessions(tx, "2 hours", "1 hour")).where("customer_id <> 'end'")
+
+
+@query("i4_stream_drift_windows", oracle("""SELECT w AS window_start_ms, count(*) AS compared, count(*) FILTER (WHERE NOT decisions_agree) AS disagreements,
+  count(*) FILTER (WHERE NOT decisions_agree) / count(*) AS rate, count(*) FILTER (WHERE NOT decisions_agree) / count(*) > 0.05 AS alarm_fired
+  FROM (SELECT *, scored_at_ms // 3600000 * 3600000 AS w FROM cmp) GROUP BY w""", "cmp"), "rate", digits=4)
+def drift_stream(spark, d) -> DataFrame:
+    """The comparison stream's output, read as a stream again, gives drift per window."""
+    root = place(spark)
+    compared = ingest.compare_streams(fx.scored_of(events(spark, d)), fx.second_of(events(spark, d)))
+    drain(compared, root)
+    out = ingest.drift_windows(S.read_files(spark, f"{root}/out", compared.schema))
+    table = BatchTable(spark, f"{root}/windows", out.schema)
+    finish(spark, lambda: ingest.upsert_windows(out, table, f"{root}/windows-checkpoint"))
+    return ingest.latest_windows(table, ["window_start_ms"])
 
 
 @query("i5_stream_fast_path", oracle("SELECT event_id, decision, fraud_score, blocklist_tier, blocklist_reason, velocity_window, velocity_reason, scored_at_ms FROM fast", "fast"), "fraud_score")
@@ -111,16 +139,8 @@ def velocity(spark, d) -> DataFrame:
     """Keyed state with timers, judged in time order as the watermark passes; a closing event, which arrives
     when all others are read, moves it past the last of them."""
     spark.conf.set(*stateful.ROCKSDB)
-    root, batch = place(spark), fx.transactions(spark, d)
-    batch.limit(0).write.parquet(f"{root}/closing")
-    tx = fx.with_event_columns(events(spark, d)).select(*EVENT_FIELDS)
-    both = tx.unionByName(S.read_files(spark, f"{root}/closing", tx.schema))
-    judged = stateful.velocity_stream(ingest.event_time(both, delay="1 hour"), WINDOWS)
-    drain(judged, root)
-    end = batch.agg(F.max("event_timestamp_ms")).scalar() + 7_200_000
-    last = batch.limit(1).withColumns({"event_id": F.lit("end"), "card_token": F.lit("end"), "event_timestamp_ms": end})
-    last.write.mode("append").parquet(f"{root}/closing")
-    return drain(judged, root).where("event_id <> 'end'").select("event_id", "velocity_hit")
+    return drained_to_the_end(spark, d, lambda tx: stateful.velocity_stream(ingest.event_time(tx, delay="1 hour"), WINDOWS)) \
+        .where("event_id <> 'end'").select("event_id", "velocity_hit")
 
 
 @query("c12_stream_comparison", oracle("SELECT event_id, first_decision, second_decision, decisions_agree, score_diff FROM cmp", "cmp"), "score_diff", digits=8)
