@@ -89,31 +89,47 @@ CACHE_OUT = "event_id string, feature_hash string, fraud_score double, cached bo
 
 
 class ScoreCacheProcessor(StatefulProcessor):
-    """First score per feature hash, reused until ``ttl_ms`` after it was made; hits do not extend it."""
+    """First score per feature hash, reused until ``ttl_ms`` of event time after it was made; hits do not extend it.
 
-    def __init__(self, ttl_ms: int = 60_000):
-        self.ttl_ms = ttl_ms
+    A timer drops a hash ``keep_ms`` after its score arrived, so the state holds the hashes of that time only; an event
+    delayed by more is scored anew.
+    """
+
+    def __init__(self, ttl_ms: int = 60_000, keep_ms: int = 3_600_000):
+        self.ttl_ms, self.keep_ms = ttl_ms, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.first = handle.getValueState("first", T.StructType([
-            T.StructField("at", T.LongType()), T.StructField("score", T.DoubleType())]))
+            T.StructField("at", T.LongType()), T.StructField("score", T.DoubleType()), T.StructField("until", T.LongType())]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         held = self.first.get() if self.first.exists() else None
         pdf = pd.concat(list(rows)).sort_values(["event_timestamp_ms", "event_id"])
-        out = []
+        until = int(pdf["arrived_ms"].iloc[0]) + self.keep_ms
+        before, out = held, []
         for e, ms, score in zip(pdf["event_id"], pdf["event_timestamp_ms"], pdf["fraud_score"]):
             hit = held is not None and int(ms) < held[0] + self.ttl_ms
             if not hit:
-                held = (int(ms), float(score))
+                held = (int(ms), float(score), until)
             out.append((e, key[0], held[1], hit))
-        self.first.update(held)
+        if held is not before:
+            self.first.update(held)
+            self.handle.registerTimer(until)
         yield pd.DataFrame(out, columns=["event_id", "feature_hash", "fraud_score", "cached"])
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.first.exists() and self.first.get()[2] <= expiredTimerInfo.getExpiryTimeInMs():
+            self.first.clear()
+        yield pd.DataFrame([], columns=["event_id", "feature_hash", "fraud_score", "cached"])
+
     def close(self) -> None:
         pass
 
 
-def cached_scores(scored: DataFrame, ttl_ms: int = 60_000) -> DataFrame:
-    return scored.groupBy("feature_hash").transformWithStateInPandas(
-        statefulProcessor=ScoreCacheProcessor(ttl_ms), outputStructType=CACHE_OUT, outputMode="Append", timeMode="None")
+def cached_scores(scored: DataFrame, ttl_ms: int = 60_000, keep_ms: int = 3_600_000) -> DataFrame:
+    """The watermark is on the micro-batch's own time: it clears old state, and no late event is dropped by it."""
+    timed = scored.withColumn("arrived", F.current_timestamp()).withWatermark("arrived", "1 second") \
+        .withColumn("arrived_ms", F.unix_millis("arrived"))
+    return timed.groupBy("feature_hash").transformWithStateInPandas(
+        statefulProcessor=ScoreCacheProcessor(ttl_ms, keep_ms), outputStructType=CACHE_OUT, outputMode="Append", timeMode="EventTime")
