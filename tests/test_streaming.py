@@ -268,3 +268,15 @@ def test_fields_of_the_wrong_type_are_set_aside(spark):
     raw = spark.createDataFrame([('{"event_id": "a", "amount": "abc"}',), ('{"event_id": "b", "amount": 2.5}',), ('{"amount": 1}',), ("{",)], "value string")
     frame = S.decode(raw, "event")
     assert [r["event_id"] for r in S.decoded(frame).collect()] == ["b"] and S.quarantined(frame).count() == 3
+
+
+def test_score_cache_forgets_old_hashes(spark, tmp_path):
+    spark.conf.set(*stateful.ROCKSDB)
+    schema = "event_id string, feature_hash string, event_timestamp_ms long, fraud_score double"
+    for i, name in enumerate("abc"):  # the run that reads b moves the watermark past a's timer
+        spark.createDataFrame([(name, "h", i, i / 10)], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        out = stateful.cached_scores(S.read_files(spark, str(tmp_path / "in"), schema), keep_ms=0)
+        (out.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c"))
+         .trigger(availableNow=True).start().awaitTermination(120))
+    got = rows(spark.read.parquet(str(tmp_path / "out")), "event_id", "cached")
+    assert got == [("a", False), ("b", True), ("c", False)]
