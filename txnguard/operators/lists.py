@@ -179,7 +179,7 @@ def offenders(scored: DataFrame, as_of: Column, **rules) -> DataFrame:
     count = blocks.cast("string")
     last = {t: span_name(r[f"{t}_window_s"]) for t in K.ENTITY_TYPES}
     tail = F.when(F.col("list") == "hot", "hot-list").otherwise("")
-    percent = F.concat(F.format_string("%.0f", rate * 100), F.lit("%"))
+    percent = F.concat(F.rint(rate * 100).cast("long").cast("string"), F.lit("%"))  # halves to even
     hot_note = F.when(tail == "", ")").otherwise(", hot-list)")
     reason = (
         F.when(kind == "card", F.concat(count, F.lit(f" BLOCK decisions in last {last['card']}"),

@@ -168,7 +168,7 @@ cte("offd", f"""SELECT * FROM (SELECT entity_type, entity_id, blocks, total,
    WHEN 'merchant' THEN CASE WHEN total >= 100 AND blocks / total >= 0.05 THEN 'block' WHEN total >= 30 AND blocks / total >= 0.03 THEN 'hot' END
    WHEN 'ip' THEN CASE WHEN blocks >= 5 THEN 'block' END ELSE CASE WHEN blocks >= 3 THEN 'block' END END AS list,
   CASE entity_type WHEN 'card' THEN blocks || ' BLOCK decisions in last 30d' || CASE WHEN blocks = 2 THEN ' (hot-list)' ELSE '' END
-   WHEN 'merchant' THEN 'merchant fraud rate ' || printf('%.0f', 100.0 * blocks / total) || '% over ' || total || ' txns (30d' ||
+   WHEN 'merchant' THEN 'merchant fraud rate ' || printf('%.0f', blocks / total * 100) || '% over ' || total || ' txns (30d' ||
      CASE WHEN total >= 100 AND blocks / total >= 0.05 THEN ')' ELSE ', hot-list)' END
    WHEN 'ip' THEN blocks || ' BLOCK decisions in last 30d (IP burst)' ELSE blocks || ' BLOCK decisions in last 30d (device)' END AS reason,
   {_AS_OF} AS added_at_ms FROM oc) WHERE list IS NOT NULL""", "oc")
@@ -185,6 +185,31 @@ _REFUSED = """CASE WHEN list = 'block' AND blocks < 3 OR list = 'hot' AND blocks
   AND w.added_at_ms <= o.added_at_ms AND o.added_at_ms < w.expires_at_ms) THEN true ELSE false END"""
 
 
+# The published windows and rates, on times in which an hour passes as a minute; merchants are given their share of BLOCKs by their hash.
+_SHARE = "CASE WHEN merchant_id_hash < '6' THEN 95 WHEN merchant_id_hash < 'b' THEN 60 ELSE 0 END"
+_HASTE = {"decision": f"CASE WHEN CAST(event_id AS BIGINT) * 37 % 100 < {_SHARE} THEN 'BLOCK' ELSE decision END",
+          "scored_at_ms": f"{fx.START_MS} + (scored_at_ms - {fx.START_MS}) // 60"}
+cte("pub", f"SELECT * REPLACE ({', '.join(f'{e} AS {c}' for c, e in _HASTE.items())}) FROM sc", "sc")
+cte("puboc", """SELECT entity_type, entity_id, count(*) AS total, count(*) FILTER (WHERE decision = 'BLOCK') AS blocks FROM (
+  SELECT 'card' AS entity_type, card_token AS entity_id, decision, scored_at_ms, 86400000 AS span FROM pub UNION ALL SELECT 'merchant', merchant_id_hash, decision, scored_at_ms, 604800000 FROM pub
+  UNION ALL SELECT 'ip', ip_address_hash, decision, scored_at_ms, 3600000 FROM pub UNION ALL SELECT 'device', device_fingerprint_hash, decision, scored_at_ms, 86400000 FROM pub)
+  WHERE scored_at_ms > (SELECT max(scored_at_ms) FROM pub) - span GROUP BY ALL""", "pub")
+
+
+@query("f6_offender_published_rules", oracle("""SELECT * FROM (SELECT CASE entity_type WHEN 'card' THEN CASE WHEN blocks >= 3 THEN 'block' WHEN blocks = 2 THEN 'hot' END
+   WHEN 'merchant' THEN CASE WHEN total >= 100 AND blocks / total >= 0.9 THEN 'block' WHEN total >= 30 AND blocks / total >= 0.5 THEN 'hot' END
+   WHEN 'ip' THEN CASE WHEN blocks >= 5 THEN 'block' END ELSE CASE WHEN blocks >= 3 THEN 'block' END END AS list, entity_type, entity_id,
+  CASE entity_type WHEN 'card' THEN blocks || ' BLOCK decisions in last 24h' || CASE WHEN blocks = 2 THEN ' (hot-list)' ELSE '' END
+   WHEN 'merchant' THEN 'merchant fraud rate ' || printf('%.0f', blocks / total * 100) || '% over ' || total || ' txns (7d' ||
+     CASE WHEN total >= 100 AND blocks / total >= 0.9 THEN ')' ELSE ', hot-list)' END
+   WHEN 'ip' THEN blocks || ' BLOCK decisions in last 1h (IP burst)' ELSE blocks || ' BLOCK decisions in last 24h (device)' END AS reason,
+  blocks AS block_count, (SELECT max(scored_at_ms) FROM pub) AS added_at_ms FROM puboc) WHERE list IS NOT NULL""", "puboc"))
+def f6_published(spark, d) -> DataFrame:
+    """D4-D7 as published: 24 h for cards and devices, 7 days for merchants, 1 h for addresses."""
+    s = fx.scored(spark, d).withColumns({c: F.expr(e.replace("//", "div")) for c, e in _HASTE.items()})
+    return lists.offender_proposals(s, _as_of(s))
+
+
 @query("d8_update_summary", oracle(f"""SELECT t.entity_type, count(o.list) AS scanned, count(*) FILTER (WHERE NOT no AND list = 'block') AS blocked,
   count(*) FILTER (WHERE NOT no AND list = 'hot') AS hot, count(*) FILTER (WHERE no) AS refused
   FROM (VALUES ('card'), ('merchant'), ('ip'), ('device')) t(entity_type) LEFT JOIN (SELECT *, {_REFUSED} AS no FROM offd o) o ON o.entity_type = t.entity_type
