@@ -42,7 +42,7 @@ def template_narrative(contributors: Column) -> Column:
         F.lit("Transaction "), F.substring("event_id", 1, 8), F.lit(" for $"), F.format_number("amount", 2),
         F.lit(" at "), F.coalesce("merchant_name", F.lit("an unknown merchant")), F.lit(" was classified "), F.col("decision"),
         F.lit(" with a fraud score of "), F.format_string("%.3f", F.col("fraud_score").cast("double")),
-        F.lit(" (feature completeness "), F.format_string("%.0f", F.col("feature_completeness").cast("double") * 100), F.lit("%)."))
+        F.lit(" (feature completeness "), F.rint(F.col("feature_completeness").cast("double") * 100).cast("long").cast("string"), F.lit("%)."))
     up = F.try_element_at(F.filter(contributors, lambda c: c["shap_value"] > 0), F.lit(1))
     down = F.try_element_at(F.filter(contributors, lambda c: c["shap_value"] < 0), F.lit(1))
     return F.concat_ws(" ", head, F.when(up.isNotNull(), _signal(up, "FRAUD", "+")),
