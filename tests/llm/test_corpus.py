@@ -125,6 +125,20 @@ def test_nearest_neighbours(spark):
     assert nn_descent.report(df.where("vec_id = 9000")).count() == 0
 
 
+def test_nearest_neighbours_among_near_copies(spark):
+    rng = np.random.default_rng(8)
+    v = np.concatenate([rng.standard_normal(64) + 1e-5 * rng.standard_normal((2000, 64)), rng.standard_normal((300, 64))]).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "vec_id long, embedding array<float>")
+    out = nn_descent.report(df).toPandas()
+    u = v.astype(float) / np.linalg.norm(v.astype(float), axis=1, keepdims=True)
+    hit = 0
+    for q in range(0, 2300, 50):
+        far = np.linalg.norm(u - u[q], axis=1)
+        far[q] = 9
+        hit += len(set(np.argsort(far)[:5].tolist()) & set(out[out.query_id == q].vec_id))
+    assert hit / (5 * 46) >= 0.9
+
+
 def test_exact_top_k(spark, monkeypatch):
     monkeypatch.setattr(topk_taat, "CANDIDATES", 100)
     monkeypatch.setattr(topk_taat, "QUERIES", 5)
