@@ -169,6 +169,21 @@ def test_main_text():
     assert tagpath.main_text("plain text only") == "plain text only"
 
 
+def test_short_text_beside_long_paragraphs():
+    prose = "A sentence of the article, with a comma and a stop at its end. " * 40
+    extras = ["first plain item", "second plain item", "A cell", "8 million", "A short caption", "A quoted line"]
+    one, two, cell, number, caption, quote = extras
+    body = f"""<p>{prose}</p><ul><li>{one}</li><li>{two}</li></ul><p>{prose}</p><table><tr><td>{cell}</td><td><a href=/x>{number}</a></td></tr></table>
+      <figure><img src=x><figcaption>{caption}</figcaption></figure><blockquote>{quote}</blockquote>""" + f"<p>{prose}</p>" * 10
+    menu = "<ul>" + "".join(f"<li><a href='/{i}'>Menu entry {i}</a></li>" for i in range(10)) + "</ul>"
+    for page in (f"{menu}<article><header><h1>The headline</h1></header>{body}{menu}</article>", f"<main><div><h1>The headline</h1></div>{body}{menu}</main>"):
+        text = tagpath.main_text(page).split("\n\n")
+        assert text[0] == "The headline" and set(extras) <= set(text) and text.count(prose.strip()) == 12 and "Menu" not in "".join(text)
+    text = tagpath.main_text(f"<body>{menu}<div><h1>The headline</h1>{body}</div>")
+    assert all(x in text.split("\n\n") for x in ["The headline", *extras]) and "Menu" not in text
+    assert tagpath.main_text("<article><a href=/x>Unclosed <div>all of the text</div></article>") == "Unclosed\n\nall of the text"
+
+
 def test_pages_against_their_articles(spark, sf):
     import html
     pages = spark.read.parquet(f"{sf}/pages.parquet")
