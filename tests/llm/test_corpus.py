@@ -486,3 +486,19 @@ def test_pipeline_stages(spark, sf, tmp_path):
         assert same == (not found) and r["n_chars"] == len(r["text"])
     four = p.packing_stage(spark, three, sf)
     assert {r[0] for r in four.select("doc_id").distinct().collect()} == want
+
+
+def test_language_stage_rejects_what_no_language_explains(spark, sf):
+    import base64
+    import corpus_pipeline as p
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rng = np.random.default_rng(9)
+    bad = ["Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.", "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan.",
+           "Все люди рождаются свободными и равными в своем достоинстве и правах.", "人人生而自由，在尊严和权利上一律平等", base64.b64encode(rng.bytes(300)).decode(),
+           "asdf jkl; qwer uiop zxcv hjkl asdfgh " * 6, "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz0123456789"), 400)), "xq7zk vvjw"]
+    texts = [r["text"] for r in docs.where("n_chars > 200 AND text rlike '^[A-Za-z ]{40}'").orderBy("doc_id").limit(6).collect()]
+    good = [" ".join(t.split()[:n]) for t in texts for n in (3, 6)]
+    assert len(good) == 12
+    extra = spark.createDataFrame([(10**6 + i, t, None, "s", len(t)) for i, t in enumerate(bad + good)], docs.schema)
+    kept = {r[0] - 10**6 for r in p.language_id(spark, docs.unionByName(extra), sf).where(f"doc_id >= {10**6}").select("doc_id").collect()}
+    assert kept == set(range(len(bad), len(bad + good)))

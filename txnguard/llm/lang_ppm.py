@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from txnguard.llm.common import fresh
 
@@ -29,6 +29,9 @@ ORDER = 3
 UNKNOWN = "und"
 MAX_LANGUAGES = 64
 PIECE = 1 << 19  # bytes scored at a time
+#: Fixed values of the bounds: bits of a byte without a model, bytes below which a text is short, characters of a short
+#: piece, and how far above the 99th of 100 training rows a text may lie.
+RAW, SHORT, HEAD, MARGIN = 8.0, 64, 24, 1.5
 
 
 @dataclass
@@ -65,17 +68,52 @@ def _counts(rows):
 
 def fit(rows: DataFrame, text: str = "text", lang: str = "lang", train_docs: int = 1500, max_nodes: int = 400_000) -> Model:
     """Learn from the rows of ``rows`` that have a language and a letter in their text."""
+    sample = _sample(rows, text, lang, train_docs)
+    if sample is None:
+        return Model([], [], [], [], [])
+    counted = sample.select("lang", F.lower("text").alias("text")).mapInArrow(_counts, "lang string, key long, n long") \
+        .groupBy("lang", "key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang", "key").limit(max_nodes).toPandas()
+    return build(counted, sorted(counted["lang"].unique())) if len(counted) else Model([], [], [], [], [])
+
+
+def _sample(rows: DataFrame, text: str, lang: str, train_docs: int) -> DataFrame | None:
+    """(text, lang) of about ``train_docs`` rows of each language; None if no row has a language."""
     rows = rows.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n"))
              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
     if not sizes:
-        return Model([], [], [], [], [])
+        return None
     share = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, train_docs / n)))])
     drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * (1 << 30)
-    sample = rows.where(F.col("lang").isin(*sizes)).where(drawn).where(F.col("text").rlike(r"\p{L}"))
-    counted = sample.select("lang", F.lower("text").alias("text")).mapInArrow(_counts, "lang string, key long, n long") \
-        .groupBy("lang", "key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang", "key").limit(max_nodes).toPandas()
-    return build(counted, sorted(counted["lang"].unique())) if len(counted) else Model([], [], [], [], [])
+    return rows.where(F.col("lang").isin(*sizes)).where(drawn).where(F.col("text").rlike(r"\p{L}"))
+
+
+def bounds(rows: DataFrame, text: str = "text", lang: str = "lang", train_docs: int = 1500) -> dict[str, tuple[float, float]]:
+    """Per language, the most bits a byte of a text that fits, and of a short one: ``MARGIN`` times the 99th of 100
+    training rows, and of their first ``HEAD`` characters, and at most ``RAW``. A model of one half of the rows judges the
+    other half, as rows that were learned from cost less than new ones; copies share a half. Languages that are
+    not in both halves are left out."""
+    half = F.pmod(F.xxhash64(F.col(f"`{text}`"), F.lit(1)), F.lit(2))
+    model = fit(rows.where(half == 0), text, lang, train_docs)
+    sample = _sample(rows.where(half == 1), text, lang, train_docs)
+    if not model.languages or sample is None:
+        return {}
+    pieces = sample.select("lang", F.explode(F.array(F.struct(F.col("text").alias("piece"), F.lit(False).alias("short")),
+                                                     F.struct(F.substring("text", 1, HEAD).alias("piece"), F.lit(True).alias("short")))).alias("p")) \
+        .select("lang", "p.piece", "p.short")
+    judged = predict(pieces, model, "piece").where("lang = lang_pred")
+    out: dict[str, list[float]] = {}
+    for r in judged.groupBy("lang", "short").agg(F.percentile("bits_per_byte", F.lit(0.99)).alias("high")).collect():
+        out.setdefault(r["lang"], [RAW, RAW])[r["short"]] = min(RAW, MARGIN * r["high"])
+    return {k: (v[0], v[1]) for k, v in out.items()}
+
+
+def fits(text: str, limits: dict[str, tuple[float, float]]) -> Column:
+    """Whether a judged row's code length is within its language's bound; without a bound, within that of raw bytes."""
+    limit = F.lit(RAW)
+    for name, (whole, short) in limits.items():
+        limit = F.when(F.col("lang_pred") == name, F.when(F.octet_length(F.lower(f"`{text}`")) < SHORT, short).otherwise(whole)).otherwise(limit)
+    return F.col("bits_per_byte") <= limit
 
 
 def build(counted, languages: list[str]) -> Model:
