@@ -77,6 +77,21 @@ def test_code_lengths_are_those_of_the_context_tree(spark):
     assert np.allclose(got, want)
 
 
+def test_rare_languages_keep_their_trees(spark):
+    rng = np.random.default_rng(12)
+    rows = [("en", " ".join("".join(rng.choice(list("abcdefghij"), 5)) for _ in range(40))) for _ in range(60)] + [("xx", "uvwxyz zyxwvu")]
+    rows += [(f"l{i:02}", f"{chr(0x4e00 + 40 * i)}{chr(0x4e01 + 40 * i)}") for i in range(70)]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    model = lang_ppm.fit(df, max_nodes=50)
+    assert len(model.languages) == 72
+    tree = model.trees[model.languages.index("en")]
+    assert [len(g) for g in tree.grams] == [11, 50, 50, 50]  # every order is counted before the longest are pruned
+    asked = spark.createDataFrame([("xx", "wxyz zyx"), ("en", rows[0][1]), rows[-1]], "want string, text string")
+    assert all(r["want"] == r["lang_pred"] for r in lang_ppm.predict(asked, model).collect())
+    copies = spark.range(400).select(F.col("id").alias("doc_id"), F.lit("one text").alias("text"), F.lit("en").alias("lang"))
+    assert 60 <= lang_ppm._sample(copies, "text", "lang", 100).count() <= 140
+
+
 def test_language_of_held_out_rows(docs):
     out = lang_ppm.report(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out AND lang IS NOT NULL").toPandas()
     assert len(out) > 30

@@ -6,9 +6,9 @@ longer context that is known but has not seen it adds the price of an escape (me
 the empty context each of the 256 byte values costs the same. The statistics are frozen after the fit, so a text's code length in each
 language is exact, and the shortest wins. The score is the winner's posterior under equal priors.
 
-Fit: at most about ``train_docs`` rows of each language (chosen by a hash of the row, ``MAX_LANGUAGES`` languages by rows)
-give the counts, which Spark sums; the tree keeps the ``max_nodes`` most frequent entries. Those parameters bound the model
-that is broadcast. Scoring covers every byte of every text, in pieces of bounded size.
+Fit: at most about ``train_docs`` rows of each language (chosen by a hash of id and text) give the counts, which Spark sums for
+each order; a language's tree keeps its ``max_nodes`` most frequent entries of each order, whatever other languages hold.
+Those parameters bound the model that is broadcast, language by language. Scoring covers every byte of every text, in pieces of bounded size.
 
 Null texts and texts without a letter get ``und`` and score 0, as does every text when there is nothing to learn from. Rows
 without a language or without text teach nothing. Ties go to the alphabetically first language; repeated rows give equal
@@ -21,13 +21,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from txnguard.llm.common import fresh
 
 ORDER = 3
 UNKNOWN = "und"
-MAX_LANGUAGES = 64
 PIECE = 1 << 19  # bytes scored at a time
 #: Fixed values of the bounds: bits of a byte without a model, bytes below which a text is short, characters of a short
 #: piece, and how far above the 99th of 100 training rows a text may lie.
@@ -35,13 +34,18 @@ RAW, SHORT, HEAD, MARGIN = 8.0, 64, 24, 1.5
 
 
 @dataclass
-class Model:
-    """Costs in bits of every known (context, byte), and of leaving every known context; rows ascend by key."""
-    languages: list[str]
+class Tree:
+    """Costs in bits of every known (context, byte) of a language, and of leaving every known context; rows ascend by key."""
     grams: list[np.ndarray]  # per order: keys of context + byte
-    costs: list[np.ndarray]  # per order: [key, language], full cost including escapes on the way down
+    costs: list[np.ndarray]  # per order
     contexts: list[np.ndarray]  # per order: keys of contexts
-    escapes: list[np.ndarray]  # per order: [key, language]
+    escapes: list[np.ndarray]  # per order
+
+
+@dataclass
+class Model:
+    languages: list[str]
+    trees: list[Tree]
 
 
 def grams(data: np.ndarray, order: int) -> np.ndarray:
@@ -70,22 +74,26 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", train_docs: int
     """Learn from the rows of ``rows`` that have a language and a letter in their text."""
     sample = _sample(rows, text, lang, train_docs)
     if sample is None:
-        return Model([], [], [], [], [])
-    counted = sample.select("lang", F.lower("text").alias("text")).mapInArrow(_counts, "lang string, key long, n long") \
-        .groupBy("lang", "key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang", "key").limit(max_nodes).toPandas()
-    return build(counted, sorted(counted["lang"].unique())) if len(counted) else Model([], [], [], [], [])
+        return Model([], [])
+    longest = sample.select("lang", F.lower("text").alias("text")).mapInArrow(_counts, "lang string, key long, n long") \
+        .groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    orders = F.explode(F.array(*[F.struct(F.lit(k).alias("order"), F.col("key").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("key")) for k in range(ORDER + 1)]))
+    most = Window.partitionBy("lang", "order").orderBy(F.desc("n"), "key")
+    counted = longest.select("lang", "n", orders.alias("g")).groupBy("lang", "g.order", "g.key").agg(F.sum("n").alias("n")) \
+        .withColumn("at", F.row_number().over(most)).where(F.col("at") <= max_nodes).select("lang", "order", "key", "n").toPandas()
+    return build(counted, sorted(counted["lang"].unique()))
 
 
 def _sample(rows: DataFrame, text: str, lang: str, train_docs: int) -> DataFrame | None:
     """(text, lang) of about ``train_docs`` rows of each language; None if no row has a language."""
-    rows = rows.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
+    own = [F.col("doc_id")] if "doc_id" in rows.columns else []
+    rows = rows.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"), F.xxhash64(*own, F.col(f"`{text}`")).alias("hash")).where("lang IS NOT NULL AND text IS NOT NULL")
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return None
     share = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, train_docs / n)))])
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * (1 << 30)
-    return rows.where(F.col("lang").isin(*sizes)).where(drawn).where(F.col("text").rlike(r"\p{L}"))
+    drawn = F.pmod("hash", F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * (1 << 30)
+    return rows.where(drawn).where(F.col("text").rlike(r"\p{L}")).select("text", "lang")
 
 
 def bounds(rows: DataFrame, text: str = "text", lang: str = "lang", train_docs: int = 1500) -> dict[str, tuple[float, float]]:
@@ -117,29 +125,20 @@ def fits(text: str, limits: dict[str, tuple[float, float]]) -> Column:
 
 
 def build(counted, languages: list[str]) -> Model:
-    """Costs from the counts (lang, key, n) of the longest grams; shorter ones are their sums."""
-    n_lang = len(languages)
-    at = {k: i for i, k in enumerate(languages)}
-    keys, lang, n = counted["key"].to_numpy().astype(np.uint32), counted["lang"].map(at).to_numpy(), counted["n"].to_numpy().astype(float)
-    model = Model(languages, [], [], [], [])
-    for order in range(ORDER + 1):
-        own = keys & np.uint32((1 << 8 * (order + 1)) - 1)
-        gram, place = np.unique(own, return_inverse=True)
-        seen = np.zeros((len(gram), n_lang))
-        np.add.at(seen, (place, lang), n)
-        context, of = np.unique(gram >> np.uint32(8), return_inverse=True)
-        total, distinct = np.zeros((len(context), n_lang)), np.zeros((len(context), n_lang))
-        np.add.at(total, of, seen)
-        np.add.at(distinct, of, (seen > 0).astype(float))
-        whole = np.maximum(total + distinct, 1)
-        escape = np.where(total > 0, -np.log2(np.maximum(distinct, 1) / whole), 0.0)
-        below = np.full((len(gram), n_lang), 8.0) if order == 0 else \
-            _lookup(model, gram & np.uint32((1 << 8 * order) - 1), order - 1)
-        cost = np.where(seen > 0, -np.log2(np.maximum(seen, 1) / whole[of]), escape[of] + below)
-        model.grams.append(gram)
-        model.costs.append(cost)
-        model.contexts.append(context)
-        model.escapes.append(escape)
+    """Costs from the counts (lang, order, key, n) of the grams of every order."""
+    parts = {k: v.sort_values("key") for k, v in counted.groupby(["lang", "order"])}
+    model = Model(languages, [])
+    for lang in languages:
+        tree = Tree([], [], [], [])
+        for order in range(ORDER + 1):
+            gram, seen = parts[lang, order]["key"].to_numpy().astype(np.uint32), parts[lang, order]["n"].to_numpy().astype(float)
+            context, of = np.unique(gram >> np.uint32(8), return_inverse=True)
+            total, distinct = np.bincount(of, seen), np.bincount(of)
+            tree.grams.append(gram)
+            tree.costs.append(-np.log2(seen / (total + distinct)[of]))
+            tree.contexts.append(context)
+            tree.escapes.append(-np.log2(distinct / (total + distinct)))
+        model.trees.append(tree)
     return model
 
 
@@ -148,19 +147,16 @@ def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return place, table[place] == keys
 
 
-def _lookup(model: Model, keys: np.ndarray, order: int) -> np.ndarray:
-    """Bits of each byte in each language, from its gram of ``order``."""
-    place, hit = _find(model.grams[order], keys)
-    out = model.costs[order][place]
+def _lookup(tree: Tree, keys: np.ndarray, order: int) -> np.ndarray:
+    """Bits of each byte in a language, from its gram of ``order``."""
+    place, hit = _find(tree.grams[order], keys)
+    out = tree.costs[order][place]
     miss = np.flatnonzero(~hit)
     if len(miss):
         lost = keys[miss]
-        if order:
-            out[miss] = _lookup(model, lost & np.uint32((1 << 8 * order) - 1), order - 1)
-        else:
-            out[miss] = 8.0
-        where, known = _find(model.contexts[order], lost >> np.uint32(8))
-        out[miss[known]] += model.escapes[order][where[known]]
+        out[miss] = _lookup(tree, lost & np.uint32((1 << 8 * order) - 1), order - 1) if order else RAW
+        where, known = _find(tree.contexts[order], lost >> np.uint32(8))
+        out[miss[known]] += tree.escapes[order][where[known]]
     return out
 
 
@@ -178,12 +174,11 @@ def code_lengths(model: Model, data: np.ndarray, starts: np.ndarray) -> np.ndarr
                 piece[:, ORDER - i] = data[here - i]
             key[here - at] = (piece << np.array([24, 16, 8, 0], np.uint32)).sum(1, dtype=np.uint32)
         found, place = np.unique(key, return_inverse=True)
-        bits = _lookup(model, found, ORDER)
         first, last = np.searchsorted(starts, at, "right") - 1, np.searchsorted(starts, stop, "left")
         cut = np.clip(starts[first:last + 1], at, stop) - at
         filled = np.flatnonzero(np.diff(cut))
-        for j in range(bits.shape[1]):
-            out[first + filled, j] += np.add.reduceat(bits[place, j], cut[filled])
+        for j, tree in enumerate(model.trees):
+            out[first + filled, j] += np.add.reduceat(_lookup(tree, found, ORDER)[place], cut[filled])
     return out
 
 
