@@ -291,6 +291,15 @@ def test_pii_spans_are_those_of_the_patterns():
     assert pii_anchors.find("ftp://joe:pw@host/") [-1] == ("login", 6, 12)
 
 
+def test_accounts_in_running_text():
+    account = lambda t: [t[a:b] for k, a, b in pii_anchors.find(t) if k == "account"]
+    iban = "DE89 3704 0044 0532 0130 00"
+    assert account(f"IBAN: {iban} BIC COBADEFF") == account(f"İ iBan {iban} 12") == account(f"IBAN {iban}") == [iban]
+    assert account("IBAN GB29NWBK60161331926819 SWIFT NWBKGB2L") == ["GB29NWBK60161331926819"]
+    assert account("Account Number 12345678") == account("aCCOUNT nO: 12345678") == ["12345678"]
+    assert account("IBAN DE89 3704 0044 0532 0130 01 BIC COBADEFF") == []
+
+
 def test_secret_spans_are_those_of_the_patterns():
     rng = np.random.default_rng(2)
     pieces = ["token", "=", ": ", "'", '"', "abcdef", "AKIA", "ABCDEFGH12345678", "0a1b2c3d4e5f", "PassWord", "api_key", "apikey", " ", "\n", "ſecret", "é", "=="]

@@ -3,7 +3,8 @@
 One Aho-Corasick pass over a text finds the anchors: ``@``, ``+``, digits, ``://`` and account cues. Each anchor has a local
 parser that expands left and right from it and checks what it finds, so a text without anchors costs one automaton pass.
 Email, ip, card and phone follow the base patterns exactly (leftmost, non-overlapping per kind, failing matches dropped
-without a retry). Added kinds: ``account`` (an IBAN with valid check digits, or 8 to 17 digits after an account cue) and
+without a retry). Added kinds: ``account`` (an IBAN of its country's length with valid check digits, or 8 to 17 digits,
+after an account cue in any case) and
 ``login`` (the user part of a URL).
 
 Offsets are code points, ends exclusive. Null and empty texts have no spans; repeated rows give equal results; other columns
@@ -25,6 +26,13 @@ ADDED = ("account", "login")
 #: Words before an account number.
 CUES = ("iban", "account number", "account no", "account", "acct", "konto", "compte", "cuenta")
 
+#: Lengths of IBANs by country.
+IBANS = {code: size for size, codes in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for code in codes.split()}
+
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _NUMBERS = re.compile(r"[0-9.]+")
@@ -32,6 +40,7 @@ _IP = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _AFTER_CUE = re.compile(r"[\x20.:#=]{0,4}(?:(?P<iban>[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})|(?P<plain>[0-9](?:[\x20-]?[0-9]){7,16}))(?![0-9A-Za-z])")
+_IBAN = {size: re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){%d}(?![0-9A-Za-z])" % (size - 4)) for size in set(IBANS.values())}
 _USER = re.compile(r"[^\s/@:]+:[^\s/@]+(?=@[A-Za-z0-9])")
 
 
@@ -42,8 +51,7 @@ def _automaton():
     for anchor, kind in [("@", "@"), ("+", "+"), ("://", ":"), *[(str(d), "0") for d in range(10)]]:
         found.add_word(anchor, (kind, len(anchor)))
     for cue in CUES:
-        for form in {cue, cue.upper(), cue.capitalize()}:
-            found.add_word(form, ("cue", len(form)))
+        found.add_word(cue, ("cue", len(cue)))
     found.make_automaton()
     return found
 
@@ -61,6 +69,12 @@ def _iban(value: str) -> bool:
     return 15 <= len(flat) <= 34 and int("".join(str(int(c, 36)) for c in flat[4:] + flat[:4])) % 97 == 1
 
 
+def _lower(text: str) -> str:
+    """Lower case, each character in its place."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
 def _small(part: str) -> bool:
     part = part.lstrip("0")
     return len(part) <= 3 and int(part or 0) <= 255
@@ -70,7 +84,7 @@ def find(text: str) -> list[tuple[str, int, int]]:
     """All spans by kind as listed (added kinds last), then start."""
     out: dict[str, list[tuple[str, int, int]]] = {k: [] for k in KINDS + ADDED}
     mail = ip = card = phone = account = 0  # how far each parser has consumed the text
-    for last, (kind, width) in _automaton().iter(text):
+    for last, (kind, width) in _automaton().iter(_lower(text)):
         at = last - width + 1
         if kind == "0":
             if at >= ip:
@@ -104,8 +118,15 @@ def find(text: str) -> list[tuple[str, int, int]]:
                 out["login"].append(("login", *m.span()))
         elif at >= account:
             m = _AFTER_CUE.match(text, last + 1)
-            if m and (m["plain"] or _iban(m["iban"])):
-                a, account = m.span("plain" if m["plain"] else "iban")
+            if m and m["iban"]:  # what follows may look like more of it
+                size = IBANS.get(m["iban"][:2])
+                own = _IBAN[size].match(text, m.start("iban")) if size else None
+                a, end = own.span() if own else m.span("iban")
+                if _iban(text[a:end]):
+                    account = end
+                    out["account"].append(("account", a, account))
+            elif m:
+                a, account = m.span("plain")
                 out["account"].append(("account", a, account))
     return [s for k in out for s in out[k]]
 
