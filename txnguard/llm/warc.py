@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from txnguard.llm.common import Scratch
-from txnguard.operators.joins import salted_join
+from txnguard.operators.joins import lookup_join
 
 FILE_BYTES = 32 << 20
 END = "\r\n\r\n"
@@ -58,11 +58,13 @@ def base32(hex_digest: Column) -> Column:
 
 def typed(pages: DataFrame) -> DataFrame:
     """page_id, url, html, digest, size and head: the id of the response, null for a response itself. ``pages``: page_id, url, html.
-    A payload that a large share of the pages have is spread over lanes."""
+    The ids that copies refer to are stored and counted: few are broadcast, so that no html is shuffled; beyond that a payload that a
+    large share of the pages have is spread over lanes."""
     html = F.coalesce("html", F.lit(""))
     pages = pages.select("page_id", "url", html.alias("html"), base32(F.sha1(html.cast("binary"))).alias("digest"), F.octet_length(html).cast("long").alias("size"))
     heads = pages.groupBy("digest", "size").agg(F.max("page_id").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return salted_join(pages, heads, ["digest", "size"], "left", ["page_id", "url"], salts=8) \
+    heads = Scratch(pages.sparkSession, "warc").keep(heads, "heads")
+    return lookup_join(pages, heads, ["digest", "size"], "left", ["page_id", "url"]) \
         .withColumn("head", F.when(F.col("page_id").eqNullSafe(F.col("head")), None).otherwise(F.col("head")))
 
 
