@@ -7,10 +7,10 @@ from pyspark.sql import functions as F, types as T
 
 from txnguard.operators import merge, scoring, velocity
 from txnguard.plans.rules import WINDOWS, scorecard
-from txnguard.schemas import ENRICHED, EVENT, EVENT_FIELDS, FEEDBACK, SCORED, SCORE_FIELDS
+from txnguard.schemas import ENRICHED, EVENT, EVENT_FIELDS, FEEDBACK, LIST_ENTRY, SCORED, SCORE_FIELDS
 from txnguard.sources import fixtures as fx, stream as S
-from txnguard.streaming import fastpath, ingest, stateful
-from txnguard.streaming.sink import BatchTable
+from txnguard.streaming import appeals, fastpath, ingest, stateful
+from txnguard.streaming.sink import BatchTable, Folder, KeyedTable
 
 DAY = fx.DAY_MS
 
@@ -129,6 +129,38 @@ def test_stateful_velocity_equals_batch(spark, sf, tmp_path):
     assert rows(got, *cols) == rows(velocity.check(tx, WINDOWS, block_ms=DAY), *cols)
 
 
+def test_reach_of_time_blocks():
+    windows = [("1min", 60, 2), ("10min", 600, 3), ("60min", 3600, 4)]
+    for block in (1_000, 7_000, 60_000, 900_000, 3_600_000, 10_000_000):
+        reach = stateful.Reach(windows, block)
+        for d in range(1, reach.blocks + 3):
+            far = [(d - 1) * block + 1, (d + 1) * block - 1]  # of an event in a block d earlier, least and most
+            modes = [all(x <= back for x in far) if all(x <= back for x in far) or not any(x <= back for x in far) else None for _, back, _ in reach.windows]
+            assert reach.inside(d) == (None if None in modes else modes)
+            assert d <= reach.blocks or reach.inside(d) == [False] * 3
+
+
+@pytest.mark.parametrize("block_days", [2])
+def test_a_hot_card_is_split_by_time(spark, sf, tmp_path, block_days):
+    """One card has nine tenths of the rows, which are judged in many tasks."""
+    spark.conf.set(*stateful.ROCKSDB)
+    src = str(tmp_path / "in")
+    tx = fx.transactions(spark, sf).withColumn("card_token", F.when(F.col("event_id").cast("int") % 10 > 0, "hot").otherwise(F.col("card_token")))
+    write_in_order(tx, src)
+    end = tx.limit(1).withColumns({"event_id": F.lit("end"), "card_token": F.lit("end"), "event_timestamp_ms": F.lit(fx.START_MS + 150 * DAY)})
+    end.coalesce(1).write.mode("append").parquet(src)
+    windows = [("1min", 86_400, 20), ("10min", 10 * 86_400, 250), ("60min", 60 * 86_400, 700)]
+    out = stateful.velocity_stream(ingest.event_time(S.read_files(spark, src, EVENT, max_files=1), delay="1 hour"), windows, block_days * DAY)
+    q = (out.withColumn("task", F.spark_partition_id()).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+         .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = spark.read.parquet(str(tmp_path / "out")).where("event_id <> 'end'")
+    cols = ["event_id", "velocity_hit", "velocity_window", "velocity_reason"]
+    want = velocity.check(tx, windows, block_ms=DAY)
+    assert rows(got, *cols) == rows(want, *cols) and want.select("velocity_window").distinct().count() > 2
+    assert got.where("card_token = 'hot'").select("task").distinct().count() > 1
+
+
 def test_score_cache_expires_from_first_scoring(spark, tmp_path):
     spark.conf.set(*stateful.ROCKSDB)
     schema = "event_id string, feature_hash string, event_timestamp_ms long, fraud_score double"
@@ -280,3 +312,55 @@ def test_score_cache_forgets_old_hashes(spark, tmp_path):
          .trigger(availableNow=True).start().awaitTermination(120))
     got = rows(spark.read.parquet(str(tmp_path / "out")), "event_id", "cached")
     assert got == [("a", False), ("b", True), ("c", False)]
+
+
+def test_keyed_table_commits_retries_and_compaction(spark, sf, tmp_path):
+    d = fx.deliveries(spark, sf)
+    first, cols = [c for c in EVENT_FIELDS if c != "event_id"], ["event_id", "amount", "source_label", "fraud_score", "scored_at_ms"]
+    table = KeyedTable(spark, str(tmp_path / "t"), T.StructType(SCORED.fields + [T.StructField("arrival", T.LongType())]), first, SCORE_FIELDS, every=3)
+    assert table.current().count() == 0
+    lanes = [d.where(F.pmod(F.xxhash64("event_id", "arrival"), F.lit(8)) == k) for k in range(8)]  # in no order of arrival
+    lanes[0].limit(7).write.parquet(f"{table.path}/batches/0")  # left by a batch that was lost
+    assert table.current().count() == 0
+    for n, part in enumerate(lanes):
+        table.write(part, n)
+        table.write(part.limit(3).withColumn("fraud_score", F.lit(9.0)), n)  # committed already: nothing changes
+    base, after = table.committed()
+    assert base == 5 and after == [6, 7]
+    assert set(Folder(spark, f"{table.path}/batches").names()) == set("34567")  # those of the base before are gone
+    assert rows(table.current(), *cols) == rows(merge.merge_scored(d), *cols)
+    table.compact()
+    assert table.committed() == (7, []) and rows(table.current(), *cols) == rows(merge.merge_scored(d), *cols)
+
+
+def test_appeals_in_batches_and_their_retry(spark, sf, tmp_path):
+    lists = str(tmp_path / "lists")
+    fx.list_entries(spark, sf).select(*[F.col(f.name).cast(f.dataType) for f in LIST_ENTRY.fields]).write.parquet(lists)
+    tables = appeals.Tables.at(spark, str(tmp_path / "t"))
+    none = F.lit(None)
+    tx = fx.transactions(spark, sf).withColumn("arrival", F.col("event_id").cast("long")).withColumn("emitted_at_ms", none.cast("long"))
+
+    def batch(events=None, asks=None):
+        event, ask = (tx.limit(0) if events is None else events), (spark.createDataFrame([], appeals.ASK) if asks is None else asks)
+        return event.select(F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in appeals.SENT.fields]).alias("event"), none.cast(appeals.ASK).alias("ask")) \
+            .unionByName(ask.select(none.cast(appeals.SENT).alias("event"), F.struct(*appeals.ASK.fieldNames()).alias("ask")))
+    options = {"windows": WINDOWS, "block_ms": DAY, "scored_at": F.coalesce("emitted_at_ms", "event_timestamp_ms") + 5}
+    appeals.handle(batch(tx), 0, tables, lists, scorecard(), **options)
+    found = tables.scored()
+    blocked = found.where("blocklist_tier = 'BLOCK'").orderBy("event_id").first()["event_id"]
+    allowed = found.where("decision = 'ALLOW'").orderBy("event_id").first()["event_id"]
+    late = fx.START_MS + 60 * DAY
+    asks = spark.createDataFrame([(blocked, "n", "customer", "mine", late), (allowed, "n", "customer", "no", late), ("nobody", "n", "analyst", "x", late),
+                                  (blocked, "n", "stranger", "x", late)], appeals.ASK)
+    for _ in range(2):  # a retry
+        appeals.handle(batch(asks=asks), 1, tables, lists, scorecard(), **options)
+    assert rows(tables.logged.read(), "event_id", "original_decision") == [(blocked, "BLOCK")]
+    assert sorted(r["error"] for r in tables.refused.read().collect()) == sorted(["event was ALLOW (no appeal needed)", "event nobody not found", "role not allowed"])
+    assert tables.entries.read().count() == 4 and tables.open_appeals().count() == 1
+    sent = spark.read.schema(appeals.SENT).option("recursiveFileLookup", "true").parquet(tables.sent)
+    assert rows(sent, "event_id", "source_label", "emitted_at_ms") == [(blocked, "appeal", late)]
+    for _ in range(2):
+        appeals.handle(batch(sent), 2, tables, lists, scorecard(), **options)
+    got = tables.scored().where(F.col("event_id") == blocked).first()
+    assert got["source_label"] == "replayer" and not got["blocklist_hit"] and got["blocklist_reason"].startswith("whitelist:") and got["scored_at_ms"] == late + 5
+    assert tables.open_appeals().count() == 0 and tables.scored().count() == found.count()

@@ -53,10 +53,10 @@ def rules(events: DataFrame, entries: DataFrame, windows=K.VELOCITY_WINDOWS, blo
 
 
 def rule_hits(events: DataFrame, entries: DataFrame, windows=K.VELOCITY_WINDOWS, block_ms: int = HOUR_MS,
-              history: DataFrame | None = None) -> DataFrame:
+              history: DataFrame | None = None, list_at: str = "event_timestamp_ms") -> DataFrame:
     """The same verdicts from narrow rows: only ids and entities are shuffled, and the
     wide events meet nothing but the hits, which AQE broadcasts while they are few."""
-    listed = lists.verdicts(events, entries)
+    listed = lists.verdicts(events, entries, list_at)
     caught = listed.where("blocklist_hit").select("event_id")
     free = events.select("event_id", "card_token", "event_timestamp_ms").join(caught, "event_id", "left_anti")
     fast = velocity.hits(free, windows, block_ms, history)
@@ -76,15 +76,15 @@ def fast_path(events: DataFrame, entries: DataFrame, model: Scorecard | Callable
               windows=K.VELOCITY_WINDOWS, review_at: float = K.REVIEW_AT, block_at: float = K.BLOCK_AT,
               scored_at: Column | None = None, latency: Column | None = None,
               model_name: str = "model", model_version: str = "v1", block_ms: int = HOUR_MS,
-              history: DataFrame | None = None) -> DataFrame:
-    """Scored records (29 fields).
+              history: DataFrame | None = None, list_at: str = "event_timestamp_ms", carry: list[str] = ()) -> DataFrame:
+    """Scored records (29 fields), with the event columns in ``carry``. ``list_at`` is the time at which lists must be valid.
 
     A block hit scores 1, a hot or velocity hit 0.5, both with completeness 0;
     the model sees only the rest. A Scorecard is an expression and needs no
     split; any other model is a function from those rows to the same rows with
     ``fraud_score``, applied to them alone.
     """
-    ruled = rule_hits(events, entries, windows, block_ms, history)
+    ruled = rule_hits(events, entries, windows, block_ms, history, list_at)
     blocked, hot, fast = F.col("blocklist_tier") == "BLOCK", F.col("blocklist_tier") == "HOT", F.col("velocity_hit")
     by_rule = blocked | hot | fast
     fixed = F.when(blocked, F.lit(1.0)).otherwise(F.lit(0.5))
@@ -103,7 +103,7 @@ def fast_path(events: DataFrame, entries: DataFrame, model: Scorecard | Callable
         "scored_at_ms": now if scored_at is None else scored_at,
         "scoring_latency_ms": F.lit(0).cast("long") if latency is None else latency,
         "feature_completeness": F.when(by_rule, F.lit(0.0)).otherwise(completeness()),
-    }).select(*[F.col(f.name).cast(f.dataType) for f in SCORED.fields])
+    }).select(*[F.col(f.name).cast(f.dataType) for f in SCORED.fields], *carry)
 
 
 def feature_hash(columns: list[str]) -> Column:

@@ -6,17 +6,18 @@ import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from txnguard.durable import scratch_root
-from txnguard.plans.registry import query
+from txnguard.plans.registry import ORACLES, query
 from txnguard.plans.rules import WINDOWS, _scored_at, scorecard
-from txnguard.plans.sql_base import oracle
-from txnguard.schemas import EVENT_FIELDS, LIST_ENTRY, SCORED
+from txnguard.plans.sql_base import SCORE1, decide, oracle
+from txnguard.schemas import EVENT, EVENT_FIELDS, LIST_ENTRY, SCORED, SCORE_FIELDS
 from txnguard.sources import fixtures as fx, stream as S
-from txnguard.streaming import fastpath, ingest, stateful
-from txnguard.streaming.sink import BatchTable
+from txnguard.streaming import appeals, fastpath, ingest, stateful
+from txnguard.streaming.sink import BatchTable, Folder, KeyedTable
 
 _EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
@@ -119,27 +120,150 @@ def drift_stream(spark, d) -> DataFrame:
     return ingest.latest_windows(table, ["window_start_ms"])
 
 
+def feed(df: DataFrame, root: str, name: str, fmt: str = "parquet") -> None:
+    """Add files to ``root/in`` in one step: a running query sees all of them or none."""
+    df.write.format(fmt).save(f"{root}/staging/{name}")
+    Folder(df.sparkSession, f"{root}/in").take(f"{root}/staging/{name}", name)
+
+
+#: Days after the first at which the input is cut into files that arrive one after another.
+CUTS = (6, 12, 18, 24)
+
+
+def slices(df: DataFrame) -> list[DataFrame]:
+    """Rows in order of event time, a file's worth each; from the second on, a tenth of the one before comes again."""
+    edges = [None, *[fx.START_MS + c * fx.DAY_MS for c in CUTS], None]
+    t = F.col("event_timestamp_ms")
+    parts = [df.where((F.lit(True) if lo is None else t >= lo) & (F.lit(True) if hi is None else t < hi)) for lo, hi in zip(edges, edges[1:])]
+    again = [p.where(F.col("arrival") % 10 == 0).withColumn("arrival", F.col("arrival") + 10_000_000) for p in parts]
+    return [parts[0]] + [p.unionByName(a) for p, a in zip(parts[1:], again)]
+
+
+def listed(spark, d, root: str) -> str:
+    fx.list_entries(spark, d).select(*[F.col(f.name).cast(f.dataType) for f in LIST_ENTRY.fields]).write.parquet(f"{root}/lists")
+    return f"{root}/lists"
+
+
+ARRIVING = T.StructType(EVENT.fields + [T.StructField("arrival", T.LongType())])
+
+
+def arriving(spark, d) -> DataFrame:
+    """Events with their place in the source."""
+    return fx.with_event_columns(fx.base(spark, d)).select(*[F.col(f.name).cast(f.dataType) for f in EVENT.fields], F.col("id").alias("arrival"))
+
+
 @query("i5_stream_fast_path", oracle("SELECT event_id, decision, fraud_score, blocklist_tier, blocklist_reason, velocity_window, velocity_reason, scored_at_ms FROM fast", "fast"), "fraud_score")
 def fast_stream(spark, d) -> DataFrame:
-    """Lists read per micro-batch, history from the table, idempotent writes."""
+    """Five micro-batches by a timed trigger, a tenth of each delivered again in the next; lists read per micro-batch, history from
+    the table, idempotent writes, the latest-wins fold."""
+    root, at = place(spark), _scored_at()
+    path, tables = listed(spark, d, root), fastpath.Tables.at(spark, root)
+    parts = slices(arriving(spark, d))
+    feed(parts[0], root, "0")
+    with few_state_partitions(spark):
+        source = S.read_files(spark, f"{root}/in", ARRIVING, nested=True)
+        q = fastpath.start(source, tables, path, scorecard(), f"{root}/checkpoint", every="100 milliseconds", windows=WINDOWS,
+                           block_ms=fx.DAY_MS, scored_at=at[0], latency=at[1])
+        q.processAllAvailable()
+        for i, part in enumerate(parts[1:], 1):
+            feed(part, root, str(i))
+            q.processAllAvailable()
+        q.stop()
+    latest = ["decision", "fraud_score", "blocklist_tier", "blocklist_reason", "velocity_window", "velocity_reason", "scored_at_ms"]
+    return tables.scored.current(["amount"], latest, "scored_at_ms").select("event_id", *latest)
+
+
+@query("i7_keyed_sink", ORACLES["a8_latest_wins"], digits=10)
+def keyed_sink(spark, d) -> DataFrame:
+    """Scored records as keyed payloads with their offsets, in seven deliveries to a timed query; one batch fails after it
+    has written and before it commits, and the query starts again. The table is compacted while it runs."""
     root = place(spark)
-    fx.list_entries(spark, d).select(*[F.col(f.name).cast(f.dataType) for f in LIST_ENTRY.fields]).write.parquet(f"{root}/lists")
-    tables = fastpath.Tables.at(spark, root)
-    at, latency = _scored_at()
-    tx = fx.with_event_columns(events(spark, d)).select(*EVENT_FIELDS)
-    finish(spark, lambda: fastpath.start(tx, tables, f"{root}/lists", scorecard(), f"{root}/checkpoint", windows=WINDOWS,
-                                         block_ms=fx.DAY_MS, scored_at=at, latency=latency))
-    return tables.scored.read().select("event_id", "decision", "fraud_score", "blocklist_tier", "blocklist_reason",
-                                       "velocity_window", "velocity_reason", "scored_at_ms")
+    records = S.keyed(fx.deliveries(spark, d), keep=["arrival"])
+    lanes = [records.where((F.col("arrival") < 10_000_000) & (F.col("arrival") % 5 == k)) for k in range(5)]
+    late = [records.where((F.col("arrival") >= 10_000_000) & (F.col("arrival") % 20 == 10 * k)) for k in range(2)]
+    shape = T.StructType(SCORED.fields + [T.StructField("arrival", T.LongType())])
+    table = KeyedTable(spark, f"{root}/table", shape, [c for c in EVENT_FIELDS if c != "event_id"], SCORE_FIELDS, every=3)
+    failed: list[int] = []
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        rows = S.decoded(S.decode(batch, "scored"), ["arrival"])
+        if batch_id == 2 and not failed:
+            failed.append(batch_id)
+            rows.limit(1).write.parquet(f"{table.path}/batches/2")  # a part of the batch, without its commit
+            raise RuntimeError("lost on the way")
+        table.write(rows, batch_id)
+
+    def run() -> StreamingQuery:
+        source = S.read_files(spark, f"{root}/in", "key string, value string, arrival long", "json", nested=True)
+        return ingest._start(source, f"{root}/checkpoint", handle, "100 milliseconds")
+
+    with few_state_partitions(spark):
+        feed(lanes[0], root, "0", "json")
+        q = run()
+        for i, part in enumerate([*lanes[1:], *late], 1):
+            try:
+                q.processAllAvailable()
+            except StreamingQueryException:
+                q = run()  # from the checkpoint, with the same batch
+                q.processAllAvailable()
+            feed(part, root, str(i), "json")
+        q.processAllAvailable()
+        q.stop()
+    if failed != [2]:
+        raise RuntimeError("the batch that was to fail did not")
+    return table.current()
+
+
+_ASKED = 7
+_SUBMITTED = fx.START_MS + 60 * fx.DAY_MS
+_AGAIN = [f"n_{w} >= {t}" for w, _, t in WINDOWS]
+
+
+@query("i9_appeal_loop", oracle(f"""SELECT f.event_id, coalesce(a.decision, f.decision) AS decision, coalesce(a.fraud_score, f.fraud_score) AS fraud_score,
+  CASE WHEN a.event_id IS NULL THEN f.blocklist_tier ELSE 'NONE' END AS blocklist_tier, coalesce(a.why, f.blocklist_reason) AS blocklist_reason,
+  coalesce(a.velocity_window, f.velocity_window) AS velocity_window, f.source_label, CASE WHEN a.event_id IS NOT NULL THEN f.decision END AS original_decision,
+  a.decision AS final_decision
+  FROM fast f LEFT JOIN (
+    SELECT event_id, CASE WHEN hit THEN 'REVIEW' ELSE {decide('score')} END AS decision, CASE WHEN hit THEN 0.5 ELSE score END::DOUBLE AS fraud_score,
+      CASE {' '.join(f"WHEN {h} THEN '{w}'" for h, (w, _, _t) in zip(_AGAIN, WINDOWS))} ELSE '' END AS velocity_window, 'whitelist:card=' || substr(card_token, 1, 12) AS why
+    FROM (SELECT *, ({' OR '.join(_AGAIN)}) AS hit, {SCORE1} AS score FROM (
+      SELECT *, {', '.join(f"count(*) OVER (PARTITION BY card_token ORDER BY event_timestamp_ms RANGE BETWEEN {s * 1000 - (1 if w == '60min' else 0)} PRECEDING AND CURRENT ROW) AS n_{w}" for w, s, _ in WINDOWS)}
+      FROM fast WHERE NOT blocklist_hit OR (event_id::BIGINT % {_ASKED} = 0 AND decision <> 'ALLOW')))
+    WHERE event_id::BIGINT % {_ASKED} = 0 AND decision <> 'ALLOW') a USING (event_id)""", "fast"), "fraud_score")
+def appeal_loop(spark, d) -> DataFrame:
+    """Decisions of a running stream are appealed; accepted ones come back into it, whitelisted, in a later batch."""
+    root = place(spark)
+    path, tables = listed(spark, d, root), appeals.Tables.at(spark, root)
+    at = F.coalesce("emitted_at_ms", "event_timestamp_ms") + 5 + F.col("event_id").cast("long") % 97
+    tx = arriving(spark, d)
+    half = fx.START_MS + 15 * fx.DAY_MS
+    feed(tx.where(F.col("event_timestamp_ms") < half), root, "0")
+    spark.createDataFrame([], appeals.ASK).write.parquet(f"{root}/asks/start")
+    with few_state_partitions(spark):
+        q = appeals.start(S.read_files(spark, f"{root}/in", ARRIVING, nested=True), S.read_files(spark, f"{root}/asks", appeals.ASK, nested=True), tables, path,
+                          scorecard(), f"{root}/checkpoint", every="100 milliseconds", windows=WINDOWS, block_ms=fx.DAY_MS, scored_at=at)
+        q.processAllAvailable()
+        feed(tx.where(F.col("event_timestamp_ms") >= half), root, "1")
+        q.processAllAvailable()
+        asks = tx.where(F.col("arrival") % _ASKED == 0).select("event_id", F.lit("n").alias("appellant_name"), F.lit("customer").alias("appellant_role"),
+                                                               F.lit("mine").alias("reason"), F.lit(_SUBMITTED).alias("submitted_at_ms"))
+        asks.write.parquet(f"{root}/staging/asks")
+        Folder(spark, f"{root}/asks").take(f"{root}/staging/asks", "1")
+        q.processAllAvailable()  # judges the appeals and scores what they send
+        q.stop()
+    before = tables.logged.read().select("event_id", "original_decision")
+    after = tables.resolved.read().select("event_id", "final_decision")
+    return tables.scored().select("event_id", "decision", "fraud_score", "blocklist_tier", "blocklist_reason", "velocity_window", "source_label") \
+        .join(before, "event_id", "left").join(after, "event_id", "left")
 
 
 @query("i3_stream_velocity", oracle(f"""SELECT event_id, {' OR '.join(f'n_{w} >= {t}' for w, _, t in WINDOWS)} AS velocity_hit FROM (SELECT event_id, event_timestamp_ms,
   {', '.join(f"count(*) OVER (PARTITION BY card_token ORDER BY event_timestamp_ms RANGE BETWEEN {s * 1000 - (1 if w == '60min' else 0)} PRECEDING AND CURRENT ROW) AS n_{w}" for w, s, _ in WINDOWS)} FROM tx)""", "tx"))
 def velocity(spark, d) -> DataFrame:
-    """Keyed state with timers, judged in time order as the watermark passes; a closing event, which arrives
+    """State by card and block of five days, with carried totals, judged as the watermark passes; a closing event, which arrives
     when all others are read, moves it past the last of them."""
     spark.conf.set(*stateful.ROCKSDB)
-    return drained_to_the_end(spark, d, lambda tx: stateful.velocity_stream(ingest.event_time(tx, delay="1 hour"), WINDOWS)) \
+    return drained_to_the_end(spark, d, lambda tx: stateful.velocity_stream(ingest.event_time(tx, delay="1 hour"), WINDOWS, 5 * fx.DAY_MS)) \
         .where("event_id <> 'end'").select("event_id", "velocity_hit")
 
 

@@ -9,8 +9,11 @@ from txnguard.schemas import SCHEMAS
 
 
 def read_files(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet",
-               max_files: int | None = None, glob: str | None = None) -> DataFrame:
+               max_files: int | None = None, glob: str | None = None, nested: bool = False) -> DataFrame:
+    """``nested``: folders below ``path`` are read, too, whatever their names."""
     reader = spark.readStream.format(fmt).schema(schema)
+    if nested:
+        reader = reader.option("recursiveFileLookup", "true")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if glob is not None:
@@ -44,9 +47,9 @@ def quarantined(frame: DataFrame, value: str = "value") -> DataFrame:
     return frame.where("NOT ok").select(value)
 
 
-def keyed(df: DataFrame, key: str = "customer_id") -> DataFrame:
-    """Rows as key and JSON value, ready for a keyed topic."""
-    return df.select(F.col(key).alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))
+def keyed(df: DataFrame, key: str = "customer_id", keep: list[str] = ()) -> DataFrame:
+    """Rows as key and JSON value, ready for a keyed topic; columns in ``keep`` stay beside the value."""
+    return df.select(F.col(key).alias("key"), F.to_json(F.struct(*[c for c in df.columns if c not in keep])).alias("value"), *keep)
 
 
 def to_kafka(df: DataFrame, servers: str, topic: str, checkpoint: str, key: str = "customer_id") -> DataStreamWriter:

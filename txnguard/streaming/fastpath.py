@@ -54,25 +54,36 @@ def read_lists(spark: SparkSession, path: str | None) -> DataFrame:
 
 def score_batch(batch: DataFrame, batch_id: int, tables: Tables, lists: DataFrame, model, windows=K.VELOCITY_WINDOWS,
                 lateness_ms: int = 600_000, block_ms: int = HOUR_MS, **options) -> None:
-    """Score one micro-batch and store it under its batch id; a retry overwrites the same partitions."""
+    """Score one micro-batch and store it under its batch id; a retry overwrites the same partitions.
+
+    ``arrival``, if the batch has it, is the event's offset in its source; else rows have no order of arrival within a
+    batch. ``emitted_at_ms``, if it has that, is set for events that were sent again: they count as of that time for lists
+    and lateness, and before other deliveries of their event.
+    """
     t = F.col("event_timestamp_ms")
+    if "arrival" not in batch.columns:
+        batch = batch.withColumn("arrival", F.xxhash64("event_id"))
+    if "emitted_at_ms" not in batch.columns:
+        batch = batch.withColumn("emitted_at_ms", F.lit(None).cast("long"))
+    now = F.coalesce("emitted_at_ms", t)
     past = tables.history.read(before=batch_id)
     horizon = tables.progress.read(before=batch_id).agg(F.max("newest_ms")).scalar() - lateness_ms
     # of repeated deliveries the earliest counts, so that a retry keeps the same copy
     whole = F.struct(*batch.columns)
-    good = batch.groupBy("event_id").agg(F.min_by(whole, F.struct(t, F.xxhash64(whole))).alias("e")).select("e.*")
-    tables.late.write(good.where(F.coalesce(t < horizon, F.lit(False))), batch_id)  # an extra copy: late events are scored too
+    first = F.struct(F.col("emitted_at_ms").isNull(), t, "arrival", F.xxhash64(whole))
+    good = batch.groupBy("event_id").agg(F.min_by(whole, first).alias("e")).select("e.*").withColumn("listed_at_ms", now)
+    tables.late.write(good.where(F.coalesce(now < horizon, F.lit(False))), batch_id)  # an extra copy: late events are scored too
     span = max(s for _, s, _ in windows) * 1000
     oldest = good.agg(F.min("event_timestamp_ms")).scalar() - span
     # Earlier unlisted events of the window were judged before: now they only count.
     recent = past.where((F.col("day") >= F.floor(oldest / DAY_MS)) & (t >= oldest))  # older days are not opened
     history = recent.join(good.select("event_id"), "event_id", "left_anti")
-    new = scoring.fast_path(good, lists, model, windows, block_ms=block_ms, history=history, **options).withColumn(
-        "arrival", F.xxhash64("event_id"))
+    new = scoring.fast_path(good, lists, model, windows, block_ms=block_ms, history=history, list_at="listed_at_ms", carry=["arrival"], **options)
     tables.scored.write(new, batch_id)
     stored = tables.scored.read().where(F.col("batch") == batch_id)
     tables.history.write(stored.where(~F.col("blocklist_hit")).withColumn("day", F.floor(t / DAY_MS)), batch_id)
-    tables.progress.write(stored.agg(F.max("event_timestamp_ms").alias("newest_ms")), batch_id)
+    # an event dated after its arrival says nothing about how far the stream has come
+    tables.progress.write(stored.where(t <= F.unix_millis(F.current_timestamp())).agg(F.max(t).alias("newest_ms")), batch_id)
 
 
 def start(events: DataFrame, tables: Tables, list_path: str | None, model, checkpoint: str, every: str | None = None,

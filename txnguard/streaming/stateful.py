@@ -1,13 +1,10 @@
-"""Keyed state in the stream: per-event velocity and a score cache with expiry.
-
-These keep one key's recent past in one task's state. Where a single card may
-carry a large share of the stream, use ``fastpath``, which splits it by time.
-"""
+"""Keyed state in the stream: per-event velocity, split by card and time block, and a score cache with expiry."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -17,69 +14,115 @@ from txnguard import constants as K
 ROCKSDB = ("spark.sql.streaming.stateStore.providerClass",
            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 VELOCITY_OUT = "event_id string, card_token string, event_timestamp_ms long, velocity_hit boolean, velocity_window string, velocity_reason string"
+_JUDGED = ["event_id", "card_token", "event_timestamp_ms", "velocity_hit", "velocity_window", "velocity_reason"]
+
+
+class Reach:
+    """Which earlier time blocks the windows of a block reach, and how."""
+
+    def __init__(self, windows=K.VELOCITY_WINDOWS, block_ms: int | None = None):
+        longest = max(s for _, s, _ in windows)
+        self.windows = [(w, s * 1000 - (1 if s == longest else 0), t) for w, s, t in windows]
+        self.block_ms = block_ms or max(1, longest * 1000 // 4)
+        self.blocks = (longest * 1000 - 2) // self.block_ms + 1
+
+    def inside(self, distance: int) -> list[bool] | None:
+        """For a block so many before another: which windows of any event there hold all of it, or None if some hold a part."""
+        low, high = (distance - 1) * self.block_ms + 1, (distance + 1) * self.block_ms - 1
+        if distance == 0 or any(low <= back < high for _, back, _ in self.windows):
+            return None
+        return [high <= back for _, back, _ in self.windows]
 
 
 class VelocityProcessor(StatefulProcessor):
-    """Holds events until the watermark passes them, then judges them in time order.
+    """One time block of one card: judges its events as the watermark passes them.
 
-    Events sharing a millisecond count each other, as in the batch operator.
+    An event is sent to its own block, where it is judged, and to the later blocks that its windows reach, where it only counts:
+    a number for each millisecond where a window's edge can fall, else one carried total for each window. So a card's
+    state is split by time, a block never holds more entries than the milliseconds in reach, and it is cleared when the watermark
+    passes its end. Events sharing a millisecond count each other, as in the batch operator.
     """
 
-    def __init__(self, windows=K.VELOCITY_WINDOWS):
-        longest = max(s for _, s, _ in windows)
-        self.windows = [(w, s * 1000 - (1 if s == longest else 0), t) for w, s, t in windows]
-        self.keep = longest * 1000
+    def __init__(self, reach: Reach):
+        self.reach = reach
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        shape = T.StructType([T.StructField("ms", T.LongType()), T.StructField("event_id", T.StringType())])
-        self.seen, self.waiting = handle.getListState("seen", shape), handle.getListState("waiting", shape)
+        self.seen = handle.getValueState("seen", T.StructType([T.StructField(c, T.BinaryType()) for c in ("ms", "n", "totals")]))
+        self.waiting = handle.getListState("waiting", T.StructType([T.StructField("ms", T.LongType()), T.StructField("event_id", T.StringType())]))
+
+    def _held(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not self.seen.exists():
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(self.reach.windows), np.int64)
+        return tuple(np.frombuffer(x, np.int64).copy() for x in self.seen.get())
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = {e: ms for ms, e in self.waiting.get()}
-        timers = set(held.values())
+        ms, n, totals = self._held()
+        block, size, first, new = int(key[1]), self.reach.block_ms, None, not self.seen.exists()
         for pdf in rows:
-            for e, ms in zip(pdf["event_id"], pdf["event_timestamp_ms"]):
-                held[e] = max(int(ms), held.get(e, 0))
-        for ms in set(held.values()) - timers:
-            self.handle.registerTimer(ms)
-        self.waiting.put([(ms, e) for e, ms in held.items()])
-        yield pd.DataFrame(columns=["event_id", "card_token", "event_timestamp_ms", "velocity_hit", "velocity_window", "velocity_reason"])
+            times = pdf["event_timestamp_ms"].to_numpy(np.int64)
+            found, counts = np.unique(times, return_counts=True)
+            far, exact = block - found // size, np.zeros(len(found), bool)
+            for d in np.unique(far).tolist():
+                whole = self.reach.inside(d)
+                exact |= (far == d) & (whole is None)
+                totals += counts[far == d].sum() * np.array(whole or [False] * len(totals), np.int64)
+            ms, place = np.unique(np.concatenate([ms, found[exact]]), return_inverse=True)
+            n = np.bincount(place, np.concatenate([n, counts[exact]]), len(ms)).astype(np.int64)
+            own = pdf[pdf["event_id"].notna()]
+            if len(own):
+                self.waiting.appendList(list(zip(own["event_timestamp_ms"].tolist(), own["event_id"].tolist())))
+                first = min(int(own["event_timestamp_ms"].min()), first if first is not None else 1 << 62)
+        self.seen.update((ms.tobytes(), n.tobytes(), totals.tobytes()))
+        for at in ([(block + 1) * size - 1] if new else []) + ([first] if first is not None else []):
+            self.handle.registerTimer(at)
+        yield pd.DataFrame(columns=_JUDGED)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        held = [(ms, e) for ms, e in self.waiting.get()]
-        due = sorted((ms, e) for ms, e in held if ms <= now)
-        seen = dict((e, ms) for ms, e in self.seen.get())
-        out = []
-        for at in sorted({ms for ms, _ in due}):
-            ids = [e for ms, e in due if ms == at]
-            seen.update({e: at for e in ids})
-            seen = {e: ms for e, ms in seen.items() if ms > at - self.keep}
-            hit, window, reason = False, "", ""
-            for name, back, threshold in self.windows:
-                n = sum(1 for ms in seen.values() if at - back <= ms <= at)
-                if n >= threshold:
-                    hit, window, reason = True, name, f"{n} txns on card in {name} (threshold {threshold})"
-                    break
-            out += [(e, key[0], at, hit, window, reason) for e in ids]
-        self.seen.put([(ms, e) for e, ms in seen.items()])
+        now, end = timerValues.getCurrentWatermarkInMs(), (int(key[1]) + 1) * self.reach.block_ms - 1
+        held = [(ms, e) for ms, e in self.waiting.get()] if self.waiting.exists() else []
+        due = [(ms, e) for ms, e in held if ms <= now]
         rest = [(ms, e) for ms, e in held if ms > now]
-        if rest:
-            self.waiting.put(rest)
-        else:
+        out = pd.DataFrame(columns=_JUDGED)
+        if due:
+            ms, n, totals = self._held()
+            upto = np.concatenate([[0], np.cumsum(n)])
+            at = np.array([x for x, _ in due], np.int64)
+            label, reason, hit = np.full(len(at), "", object), np.full(len(at), "", object), np.zeros(len(at), bool)
+            for w, (name, back, threshold) in enumerate(self.reach.windows):
+                count = upto[np.searchsorted(ms, at, "right")] - upto[np.searchsorted(ms, at - back, "left")] + totals[w]
+                over = (count >= threshold) & ~hit
+                label[over], hit = name, hit | over
+                reason[over] = [f"{c} txns on card in {name} (threshold {threshold})" for c in count[over].tolist()]
+            out = pd.DataFrame({"event_id": [e for _, e in due], "card_token": key[0], "event_timestamp_ms": at, "velocity_hit": hit,
+                                "velocity_window": label, "velocity_reason": reason})
+            if rest:
+                self.waiting.put(rest)
+            else:
+                self.waiting.clear()
+        if rest and due:
+            self.handle.registerTimer(min(ms for ms, _ in rest))
+        if now >= end:
+            self.seen.clear()
             self.waiting.clear()
-        yield pd.DataFrame(out, columns=["event_id", "card_token", "event_timestamp_ms", "velocity_hit", "velocity_window", "velocity_reason"])
+        yield out
 
     def close(self) -> None:
         pass
 
 
-def velocity_stream(events: DataFrame, windows=K.VELOCITY_WINDOWS) -> DataFrame:
-    """``events`` needs a watermark on an event-time column and the RocksDB state store. Events without a card never hit."""
+def velocity_stream(events: DataFrame, windows=K.VELOCITY_WINDOWS, block_ms: int | None = None) -> DataFrame:
+    """``events`` needs a watermark on an event-time column, each event once (``ingest.deduplicated``) and the RocksDB state store.
+    State lies by card and time block (a quarter of the longest window, unless given). Events without a card never hit."""
     carded = F.coalesce(F.col("card_token") != "", F.lit(False))
-    judged = events.where(carded).groupBy("card_token").transformWithStateInPandas(
-        statefulProcessor=VelocityProcessor(windows), outputStructType=VELOCITY_OUT, outputMode="Append", timeMode="EventTime")
+    reach = Reach(windows, block_ms)
+    own = F.floor(F.col("event_timestamp_ms") / F.lit(reach.block_ms))
+    time = next(f.name for f in events.schema.fields if "spark.watermarkDelayMs" in (f.metadata or {}))
+    spread = events.where(carded).select("card_token", "event_id", "event_timestamp_ms", time, own.alias("own")) \
+        .withColumn("block", F.explode(F.sequence("own", F.col("own") + reach.blocks))) \
+        .withColumn("event_id", F.when(F.col("block") == F.col("own"), F.col("event_id"))).drop("own")
+    judged = spread.groupBy("card_token", "block").transformWithStateInPandas(
+        statefulProcessor=VelocityProcessor(reach), outputStructType=VELOCITY_OUT, outputMode="Append", timeMode="EventTime")
     rest = events.where(~carded).select("event_id", "card_token", "event_timestamp_ms", F.lit(False).alias("velocity_hit"),
                                         F.lit("").alias("velocity_window"), F.lit("").alias("velocity_reason"))
     return judged.unionByName(rest)
