@@ -526,3 +526,99 @@ def test_language_stage_rejects_what_no_language_explains(spark, sf):
     extra = spark.createDataFrame([(10**6 + i, t, None, "s", len(t)) for i, t in enumerate(bad + good)], docs.schema)
     kept = {r[0] - 10**6 for r in p.language_id(spark, docs.unionByName(extra), sf).where(f"doc_id >= {10**6}").select("doc_id").collect()}
     assert kept == set(range(len(bad), len(bad + good)))
+
+
+def plain_ratios(page, weights):
+    """The fused scores, path by path, from the blocks alone."""
+    found = page.blocks
+    group = {}
+    for i, b in enumerate(found):
+        group.setdefault((b.path, weights[b.mark], b.article > 0), []).append(i)
+    of = {i: g for g in group.values() for i in g}
+
+    def near(i, value):
+        w = {j: 0.5 if j == i else 0.25 for j in (i - 1, i, i + 1) if 0 <= j < len(found) and found[j].container == found[i].container}
+        return sum(value(j) * x for j, x in w.items()) / sum(w.values())
+
+    def long(i):
+        return sum(len(found[j].text) for j in of[i]) / len(of[i])
+
+    def marked(i):
+        return 100 * sum(c in ".,;:!?。，、；！？…" for j in of[i] for c in found[j].text) / sum(len(found[j].text) for j in of[i])
+    return [max(math.log1p(near(j, long)) * (1 + near(j, marked)) for j in of[i]) for i in range(len(found))]
+
+
+def test_every_page_goes_through_the_ratios(spark, sf, monkeypatch):
+    pages = [r["html"] for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
+    seen, real = [], tagpath.ratios
+    monkeypatch.setattr(tagpath, "ratios", lambda page, w: seen.append(1) or real(page, w))
+    assert all(tagpath.main_text(h) for h in pages) and len(seen) == len(pages)
+    for h in pages[:60]:
+        page = tagpath.Page(h)
+        w = page.weights()
+        assert np.allclose(real(page, w), plain_ratios(page, w))
+
+
+def test_pages_that_wrappers_and_broken_heads_would_hide():
+    text = "A paragraph of the article, which has a comma and a stop at its end. " * 4
+    menu = "<nav><ul>" + "".join(f"<li><a href='/{i}'>Entry {i}</a></li>" for i in range(8)) + "</ul></nav>"
+    body = f"<h1>The headline</h1><p>{text}</p><p>{text}</p>"
+    want = "\n\n".join(["The headline", text.strip(), text.strip()])
+    outer = menu + "<div class='sidebar'><p>A side remark, as long as it may be.</p></div><footer><p>Us, here.</p></footer>"
+    for cls in ("has-sidebar", "page with-comments", "side-by-side", "sidebar", "content-header", "nav menu"):
+        assert tagpath.main_text(f"<body>{menu}<div class='{cls}'><article>{body}</article></div>{outer}") == want, cls
+    assert tagpath.main_text(f"<html><head><title>x</title><meta a=b><body>{menu}<article>{body}</article>") == want
+    assert tagpath.main_text(f"<head><title>x</title>{menu}<article>{body}</article>") == want
+    assert tagpath.main_text(f"<article><div class='entry-header'><h1>The headline</h1></div><p>{text}</p><div class='side-by-side'><p>{text}</p></div></article>{outer}") == want
+    assert tagpath.main_text(f"<form id=f>{menu}<article>{body}</article></form>") == want
+    teaser = tagpath.main_text(f"{menu}<article><p>A teaser, short.</p></article><div><h1>The headline</h1>" + f"<p>{text}</p>" * 9 + "</div>")
+    assert teaser.count(text.strip()) == 9 and "The headline" in teaser
+    said = "".join(f"<article class=comment><p>I think, friend, that {i} is fine.</p></article>" for i in range(9))
+    for cls in ("comments", "comment-list", "cookie-notice", "related-posts-widget", "site-footer"):
+        own = f"<div class='{cls}'>{said}</div>"
+        assert tagpath.main_text(f"<article>{body * 4}{own}</article>{own}") == "\n\n".join([want] * 4), cls
+    assert tagpath.is_cue("ad") and tagpath.is_cue("ad-banner") and not tagpath.is_cue("adept") and not tagpath.is_cue("no-comments")
+
+
+def test_deep_and_stray_markup_is_linear():
+    import time
+    import tracemalloc
+
+    def cost(page):
+        tracemalloc.start()
+        start = time.process_time()
+        tagpath.main_text(page)
+        took, (_, peak) = time.process_time() - start, tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        return took, peak
+    for make in (lambda n: "<div>a" * n, lambda n: "<div>" * n + "text, here" + "</div>" * n, lambda n: "<i>" * n + "x</b>" * n, lambda n: "<aside>x" * n, lambda n: "<ul><li>x" * n,
+                 lambda n: "<b><p>x" * n):
+        (a, m), (b, k) = cost(make(5_000)), cost(make(20_000))
+        assert b < 12 * a + 0.5 and k < 8 * m + 1e6
+    assert tagpath.main_text("<div>" * 20_000 + "All, of it." + "</div>" * 20_000) == "All, of it."
+
+
+def test_page_rows(spark):
+    rows = [(1, "u", None), (2, None, ""), (3, "u", "<p>Text, here.</p>"), (3, "u", "<p>Text, here.</p>"), (None, "u", "x" * 300_000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").select("*", F.lit("t").alias("text"), F.lit(9).alias("n_chars"))
+    out = sorted((str(r["page_id"]), r["text"][:20], r["n_chars"]) for r in tagpath.report(df).collect())
+    assert out == [("1", "", 0), ("2", "", 0), ("3", "Text, here.", 11), ("3", "Text, here.", 11), ("None", "x" * 20, 300_000)]
+    assert tagpath.report(df.limit(0)).count() == 0
+
+
+def test_pii_takes_time_in_proportion():
+    import time
+
+    def took(text):
+        start = time.process_time()
+        pii_anchors.find(text)
+        return time.process_time() - start
+    for make in (lambda n: "7" * n, lambda n: "1." * (n // 2), lambda n: "a" * n + "@", lambda n: "a@" * (n // 2), lambda n: "+1" + "(" * n, lambda n: "+1 " * (n // 3), lambda n: "1 " * (n // 2),
+                 lambda n: "://a:" * (n // 5), lambda n: "iban " * (n // 5), lambda n: "x@" + "a" * n):
+        small, large = min(took(make(10_000)) for _ in range(3)), took(make(100_000))
+        assert large < 25 * small + 0.2
+    assert took("7" * 1_000_000) < 6
+    rng = np.random.default_rng(7)
+    for _ in range(2000):
+        text = "".join(rng.choice(["1", "22", "255", "256", "0001", ".", ".", ".", "..", " ", "x"], rng.integers(1, 30)))
+        assert [s for s in pii_anchors.find(text) if s[0] in pii_anchors.KINDS] == base_spans(text, PII), text

@@ -36,7 +36,7 @@ IBANS = {code: size for size, codes in {
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _NUMBERS = re.compile(r"[0-9.]+")
-_IP = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
+_CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _AFTER_CUE = re.compile(r"[\x20.:#=]{0,4}(?:(?P<iban>[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})|(?P<plain>[0-9](?:[\x20-]?[0-9]){7,16}))(?![0-9A-Za-z])")
@@ -80,6 +80,18 @@ def _small(part: str) -> bool:
     return len(part) <= 3 and int(part or 0) <= 255
 
 
+def _quads(chain: str, at: int) -> list[tuple[str, int, int]]:
+    """Numbers joined by single dots, four at a time: where the base pattern matches, each digit looked at once."""
+    parts, out = chain.split("."), []
+    for i in range(0, len(parts) - 3, 4):
+        four = parts[i:i + 4]
+        size = sum(map(len, four)) + 3
+        if all(map(_small, four)):
+            out.append(("ip", at, at + size))
+        at += size + 1
+    return out
+
+
 def find(text: str) -> list[tuple[str, int, int]]:
     """All spans by kind as listed (added kinds last), then start."""
     out: dict[str, list[tuple[str, int, int]]] = {k: [] for k in KINDS + ADDED}
@@ -89,7 +101,7 @@ def find(text: str) -> list[tuple[str, int, int]]:
         if kind == "0":
             if at >= ip:
                 ip = _NUMBERS.match(text, at).end()
-                out["ip"] += [("ip", *m.span()) for m in _IP.finditer(text, at, ip) if all(map(_small, m.groups()))]
+                out["ip"] += [s for m in _CHAIN.finditer(text, at, ip) for s in _quads(m[0], m.start())]
             if at >= card:
                 m = _CARD.match(text, at)
                 card = m.end() if m else at + 1
