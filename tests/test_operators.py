@@ -2,6 +2,8 @@
 
 import math
 import random
+
+import numpy as np
 from collections import Counter, defaultdict
 
 import pytest
@@ -438,3 +440,48 @@ def test_difference_keeps_order_and_null_keys(spark):
 
 def test_slabs_grow_with_the_rows():
     assert [prefix.slab_count(n, 200) for n in (0, 1, 50_001, 10**9, 10**12)] == [1, 1, 2, 250, 250_000]
+
+
+def test_shapley_values_are_those_of_all_subsets():
+    from itertools import combinations
+    from math import factorial
+    from txnguard.operators import training as R
+    rng = np.random.default_rng(4)
+
+    def grow(depth):
+        tree = {c: [] for c in ("prediction", "leftChild", "rightChild", "feature", "threshold", "cover")}
+
+        def node(left, cover):
+            at = len(tree["cover"])
+            for c in tree:
+                tree[c].append(-1)
+            tree["cover"][at] = cover
+            if left and rng.random() < 0.9:
+                share = rng.uniform(0.1, 0.9)
+                tree["feature"][at], tree["threshold"][at], tree["prediction"][at] = int(rng.integers(0, 4)), rng.normal(), 0.0
+                tree["leftChild"][at] = node(left - 1, cover * share)
+                tree["rightChild"][at] = node(left - 1, cover * (1 - share))
+            else:
+                tree["prediction"][at] = rng.normal()
+            return at
+        node(depth, 100.0)
+        return {c: np.array(v, float if c in ("prediction", "threshold", "cover") else int) for c, v in tree.items()}
+
+    def value(tree, row, known, at=0):
+        if tree["leftChild"][at] < 0:
+            return tree["prediction"][at]
+        a, b, f = tree["leftChild"][at], tree["rightChild"][at], tree["feature"][at]
+        if f in known:
+            return value(tree, row, known, a if row[f] <= tree["threshold"][at] else b)
+        return sum(tree["cover"][c] / tree["cover"][at] * value(tree, row, known, c) for c in (a, b))
+
+    for depth in (0, 1, 3, 6):
+        trees, weights, x = [grow(depth) for _ in range(3)], [1.0, 0.1, 0.3], rng.normal(size=(25, 4))
+        base, got = R.tree_shapley(trees, [R.leaves(t) for t in trees], weights, x)
+        v = lambda row, s: sum(w * value(t, row, s) for t, w in zip(trees, weights))
+        assert abs(base - v(x[0], ())) < 1e-9
+        for row, own in zip(x, got):
+            for f in range(4):
+                rest = [g for g in range(4) if g != f]
+                want = sum(factorial(k) * factorial(3 - k) / 24 * (v(row, {*s, f}) - v(row, set(s))) for k in range(4) for s in combinations(rest, k))
+                assert abs(want - own[f]) < 1e-9

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from txnguard import constants as K
 from txnguard.functions import scalars as X
-from txnguard.operators import explain
+from txnguard.operators import explain, training
 from txnguard.operators.scoring import Scorecard
 from txnguard.schemas import ENRICHED
 
@@ -22,7 +23,21 @@ def enrich(scored: DataFrame, model: Scorecard, means: Column, top_n: int = K.TO
     grade is emptied; the event is still emitted."""
     flagged = scored.where(X.flagged("decision")).withColumn("_means", means)
     every = explain.linear_contributions(model.weights, model.values(), {n: F.col(f"_means.{n}") for n in model.weights})
-    d = flagged.withColumn("top_contributors", explain.top_contributors(every, top_n))
+    return told(flagged.withColumn("top_contributors", explain.top_contributors(every, top_n)), enriched_at, latency)
+
+
+def enrich_trees(scored: DataFrame, x: DataFrame, model: GBTClassificationModel, top_n: int = K.TOP_CONTRIBUTORS,
+                 enriched_at: Column | None = None, latency: Column | None = None) -> DataFrame:
+    """The same for a boosted model: Shapley values of its margin. ``x``: event_id and the model's features; only flagged
+    events' rows are attributed."""
+    flagged = scored.where(X.flagged("decision"))
+    mine = x.join(flagged.select("event_id"), "event_id", "left_semi")
+    top = training.top_paths(training.shapley_contributions(model, mine), mine, top_n).select("event_id", "top_contributors")
+    return told(flagged.join(top, "event_id"), enriched_at, latency)
+
+
+def told(d: DataFrame, enriched_at: Column | None = None, latency: Column | None = None) -> DataFrame:
+    """Events with their contributors, narrated and graded."""
     d = d.withColumns({"narrator_mode": F.lit("TEMPLATE"), "narrative": explain.template_narrative(F.col("top_contributors"))})
     d = d.withColumn("narrative_grading_passed", explain.grade(F.col("narrative"), F.col("top_contributors"), F.col("narrator_mode")))
     now = F.unix_millis(F.current_timestamp())
