@@ -485,3 +485,29 @@ def test_shapley_values_are_those_of_all_subsets():
                 rest = [g for g in range(4) if g != f]
                 want = sum(factorial(k) * factorial(3 - k) / 24 * (v(row, {*s, f}) - v(row, set(s))) for k in range(4) for s in combinations(rest, k))
                 assert abs(want - own[f]) < 1e-9
+
+
+def test_early_stop_rule():
+    from txnguard.operators import training as R
+    assert R.stopping([0.5, 0.6, 0.6, 0.6], 2) == (2, 4, True)
+    assert R.stopping([0.5, 0.6, 0.6, 0.7], 2) == (4, 4, False) == R.stopping([0.5, 0.6, 0.61, 0.7], 2)
+    assert R.stopping([0.9, 0.1, 0.2, 0.95], 3) == (4, 4, False) and R.stopping([0.9, 0.1, 0.2, 0.3, 1.0], 3) == (1, 4, True)
+
+
+def test_boosting_stops_on_auc(spark):
+    from txnguard.operators import training as R
+    rng = random.Random(5)
+    names = K.FEATURES
+    rows = []
+    for i in range(400):
+        x = [rng.random() for _ in names]
+        rows.append((int(x[0] + 0.6 * rng.random() > 0.9), i % 4 == 0, *x))
+    df = spark.createDataFrame(rows, "isFraud int, held boolean, " + ", ".join(f"{n} double" for n in names)).cache()
+    train, held = df.where("NOT held"), df.where("held")
+    done = R.train_boosted_until(train, held, rounds=12, depth=2, rate=0.3, patience=3)
+    curve = {r["round"]: r["roc_auc"] for r in done.curve.collect()}
+    assert (done.best, done.last) == R.stopping([curve[i] for i in sorted(curve)], 3)[:2] and len(curve) == done.last
+    got = R.score(done.model, held).select("isFraud", "score").collect()
+    pos, neg = [r["score"] for r in got if r["isFraud"]], [r["score"] for r in got if not r["isFraud"]]
+    wins = sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg))
+    assert abs(wins - curve[done.best]) < 1e-12 and len(done.model.trees) == done.best
