@@ -472,14 +472,70 @@ def test_components_of_a_chain(spark):
 # 8 licences
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+HOPE = "is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
+GPL = "This program is free software{}: you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+COPY = "You should have received a copy of the GNU {}General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."""
+LICENCES = {
+    "mit_text": MIT, "mit_titled": "The MIT License\n\nCopyright (c) 2020 A B\n\n" + MIT, "apache_joined_header": APACHE,
+    "gpl3_notice": "\n\n".join([GPL.format("", "", 3), "This program " + HOPE, COPY.format("")]), "gpl2_notice": "\n\n".join([GPL.format("", "", 2), "This program " + HOPE]),
+    "agpl3_notice": "\n\n".join([GPL.format("", "Affero ", 3), "This program " + HOPE, COPY.format("Affero ")]),
+    "lgpl21_notice": "\n\n".join([GPL.format("", "Lesser ", "2.1").replace("program", "library"), "This library " + HOPE]),
+    "bsd2_text": BSD, "bsd3_text": BSD + "\n\n3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "isc_text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "mpl_header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "unlicense_text": "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "zlib_text": "This software is provided 'as-is', without any express or implied warranty.\n\nPermission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "cc0_text": "The person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law.",
+}
+
+
+def wrapped(text, mark, width):
+    import textwrap
+    return "\n".join((mark + line).rstrip() for part in text.split("\n\n") for line in [*textwrap.wrap(part, width), ""])
+
+
+def test_every_licence_text_as_it_is_written(spark):
+    assert set(LICENCES) == set(licence_rules.TEXTS) - {"apache_header"}
+    rows, want = [], {}
+    for name, text in LICENCES.items():
+        for mark, width in (("", 72), ("# ", 60), (" * ", 76), ("// ", 40), ("; ", 78), ("", 4000)):
+            want[len(rows)] = name
+            rows.append((len(rows), f"import x\n\n{wrapped(text, mark, width)}\n\ndef f():\n  return 1\n".replace("\n", "\r\n" if width == 40 else "\n")))
+    out = {r["doc_id"]: r for r in licence_rules.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, name in want.items():
+        assert name in out[i]["rules"].split(",") and licence_rules.RULES[name][0] in out[i]["licences"].split(","), (name, rows[i][1], out[i])
+
+
 def test_licence_rules(spark, odd, none):
     texts = {1: "Released under the MIT License.", 2: "You should have received a copy of the GNU General Public License along with this program.\n"
              "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
-             3: "The MIT license\n\nnoise. " + next(s for s, i in licence_rules.SENTENCES.items() if i == "mit_grant") + ".", 4: "not released under the MIT License, no."}
-    out = {r["doc_id"]: r for r in licence_rules.report(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+             3: "The MIT license\n\nnoise. " + next(s for s, i in licence_rules.SENTENCES.items() if i == "mit_grant") + ".", 4: "not released under the MIT License, no.",
+             5: "some words without a stop\nThis project is licensed under the\nMIT License.\nother words", 6: "# SPDX-License-Identifier: GPL-3.0-or-later\nimport x", 7: "Licensed under CC BY-SA 4.0!"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = {r["doc_id"]: r for r in licence_rules.report(df).collect()}
     assert out[1]["licences"] == "MIT" and out[1]["rules"] == "mit_reference"
-    assert out[2]["sentence_ids"] == "gpl_copy" and out[2]["licences"] == ""  # the disclaimer breaks at its semicolon; no ordered rule holds
+    assert out[2]["sentence_ids"] == "gpl_copy,gpl_hope" and out[2]["licences"] == ""  # no rule has them in this order
     assert out[3]["rules"] == "mit_titled" and out[4]["licences"] == ""
+    assert out[5]["licences"] == "MIT" and out[6]["rules"] == "gpl3_tag" and out[7]["licences"] == "CC-BY-SA-4.0"
+    import duckdb
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    assert sorted(con.execute(licence_rules.report_sql()).fetchall()) == sorted(tuple(r) for r in out.values())
     odd_rows = licence_rules.report(odd).collect()
     assert len(odd_rows) == len(ODD) and all(r["licences"] == "" for r in odd_rows)
     assert licence_rules.report(none).count() == 0
