@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from txnguard import constants as K
 from txnguard.durable import materialize
@@ -66,13 +66,17 @@ def fit(raw: DataFrame, mode_where: Column | None = None) -> Fitted:
     counts = materialize(category_counts(raw, mode_where), "category-counts")
     freq, modes = frequency_table(counts), product_modes(counts)
     q = exact_quantiles(raw.select(F.col("TransactionAmt").cast("float").cast("double").alias("a")), "a", [0.95])
+    return _fitted(freq, modes, float(q.first()["q0"]))
+
+
+def _fitted(freq: DataFrame, modes: DataFrame, high_amount: float) -> Fitted:
     # One row per column comes to the driver, and the values of columns with at most SMALL of them.
     stats = freq.groupBy("column").agg(F.min("freq").alias("f"), F.count(F.lit(1)).alias("n")).collect()
     few = [r["column"] for r in stats if r["n"] <= SMALL]
     small: dict[str, dict[str, float]] = {c: {} for c in few}
     for r in freq.where(F.col("column").isin(few)).select("column", "key", "freq").collect():
         small[r["column"]][r["key"]] = float(r["freq"])
-    return Fitted(freq, modes, float(q.first()["q0"]), {r["column"]: float(r["f"]) for r in stats},
+    return Fitted(freq, modes, high_amount, {r["column"]: float(r["f"]) for r in stats},
                   sum(r["n"] for r in stats), small)
 
 
@@ -89,6 +93,25 @@ def constants_table(fitted: Fitted) -> DataFrame:
     return freq.unionByName(mode).unionByName(high)
 
 
+def save_constants(fitted: Fitted, root: str, version: int) -> None:
+    """Store the constants as one version; a retry replaces it."""
+    constants_table(fitted).write.mode("overwrite").parquet(f"{root.rstrip('/')}/version={version}")
+
+
+def load_constants(spark: SparkSession, root: str, version: int | None = None) -> Fitted:
+    """Constants as they were stored, by default the newest version. Features from them equal those from the fit."""
+    stored = spark.read.option("basePath", root).parquet(root)
+    version = stored.agg(F.max("version")).first()[0] if version is None else version
+    rows = stored.where(F.col("version") == version)
+    keyed = rows.withColumn("key", null_key("value"))
+    freq = keyed.where("kind = 'frequency'").select("column", "key", "value", F.col("number").cast("float").alias("freq"))
+    modes = keyed.where("kind = 'mode'").select(F.col("product").alias("ProductCD"), "column", "key", "value")
+    high = rows.where("kind = 'high_amount_q95'").select("number").collect()  # one row
+    if len(high) != 1:
+        raise ValueError(f"version {version} of {root} holds no complete set of constants")
+    return _fitted(freq, modes, float(high[0][0]))
+
+
 def encode_frequency(df: DataFrame, fitted: Fitted, column: str, source: Column | None = None,
                      unseen: float | None = None) -> DataFrame:
     """Add ``<column>_freq``; values never fitted are NULL, or ``unseen``.

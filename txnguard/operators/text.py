@@ -7,8 +7,11 @@ in through ``score_with`` as a pandas UDF giving the mean log-probability.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from math import log
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from txnguard import constants as K
@@ -75,6 +78,44 @@ def score(df: DataFrame, text: str, model: TrigramModel, suspicious: float = K.S
     return split_join(rows, per, [text], "_uses", spread_by=[key])
 
 
+def worker_scorer(model: TrigramModel, limit: int = 2_000_000) -> Callable[[Column], Column]:
+    """A column function giving each text's mean log-probability from a model held in the worker: an iterator UDF that makes its
+    dictionary once and scores every distinct text and word of a batch once. The trigrams, at most the cube of the alphabet, are counted
+    first; a model beyond ``limit`` is for ``score``, which joins."""
+    n = model.trigrams.limit(limit + 1).count()
+    if n > limit:
+        raise ValueError(f"the model has more than {limit} trigrams")
+    spark = model.trigrams.sparkSession
+    rows = {r["tri"]: r["n"] for r in model.trigrams.select("tri", "n").collect()}
+    size = spark.range(1).select(model.alphabet.alias("v")).first()["v"]
+    shared, add = spark.sparkContext.broadcast((rows, int(size))), model.add
+
+    @F.pandas_udf("double")
+    def mean_log_prob(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        counts, size = shared.value
+        contexts: dict[str, int] = {}
+        for tri, n in counts.items():
+            contexts[tri[:2]] = contexts.get(tri[:2], 0) + n
+        words: dict[str, tuple[float, int]] = {}
+
+        def of_word(word: str) -> tuple[float, int]:
+            if word not in words:
+                if len(words) >= 100_000:
+                    words.clear()
+                framed = f"^^{word}$"
+                tris = [framed[i:i + 3] for i in range(len(word) + 1)]
+                words[word] = sum(log((counts.get(t, 0) + add) / (contexts.get(t[:2], 0) + add * size)) for t in tris), len(tris)
+            return words[word]
+
+        def of_text(text: str) -> float | None:
+            parts = [of_word(w) for w in text.split(" ") if w]
+            return sum(p for p, _ in parts) / sum(n for _, n in parts) if parts else None
+        for batch in batches:
+            found = {t: of_text(t) for t in batch.unique()}
+            yield pd.Series([found[t] for t in batch], dtype="float64")
+    return lambda text: F.nullif(mean_log_prob(normalized(text)), F.lit(float("nan")))
+
+
 def score_with(df: DataFrame, mean_log_prob: Column, suspicious: float = K.SUSPICIOUS_LOG_PPL) -> DataFrame:
     """The same columns from any scorer that yields a mean log-probability per row."""
     return df.withColumns(X.perplexity(mean_log_prob, suspicious=suspicious))

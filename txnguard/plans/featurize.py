@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from txnguard import constants as K, schemas
+from txnguard.durable import scratch_root
 from txnguard.functions import scalars as X
 from txnguard.operators import features
 from txnguard.operators.prefix import exact_quantiles
@@ -200,6 +203,15 @@ def b12(spark, d) -> DataFrame:
     return features.training_features(raw, features.fit(raw))
 
 
+@query("a13_loaded_constants", oracle(training_sql("TransactionID % 5 <> 0"), "rawt"), K.FEATURES, digits=4)
+def loaded_constants(spark, d) -> DataFrame:
+    """Features from constants that were stored in two versions and loaded again, the newest by default."""
+    raw, root = fx.raw_rows(spark, d), f"{scratch_root(spark).rstrip('/')}/txnguard/constants-{uuid.uuid4().hex}"
+    features.save_constants(features.fit(raw), root, 1)
+    features.save_constants(features.fit(raw.where(F.col("TransactionID") % 5 != 0)), root, 2)
+    return features.training_features(raw, features.load_constants(spark, root))
+
+
 @query("b18_features_fitted_on_mask", oracle(training_sql("TransactionID % 5 <> 0"), "rawt"), K.FEATURES, digits=4)
 def b18(spark, d) -> DataFrame:
     """Data-dependent parts fitted on the masked rows, applied to all."""

@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from txnguard.durable import scratch_root
+from txnguard.functions import scalars as X
+from txnguard.operators import text
+from txnguard.plans import slow
 from txnguard.plans.registry import ORACLES, query
 from txnguard.plans.rules import WINDOWS, _scored_at, scorecard
 from txnguard.plans.sql_base import SCORE1, decide, oracle
 from txnguard.schemas import EVENT, EVENT_FIELDS, LIST_ENTRY, SCORED, SCORE_FIELDS
 from txnguard.sources import fixtures as fx, stream as S
-from txnguard.streaming import appeals, fastpath, ingest, stateful
+from txnguard.streaming import appeals, counters, fastpath, ingest, stateful
 from txnguard.streaming.sink import BatchTable, Folder, KeyedTable
 
 _EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -305,9 +308,51 @@ def silver(spark, d) -> DataFrame:
     return spark.read.parquet(f"{root}/silver").select("event_id", "text_anomaly_score", "text_suspicious")
 
 
+@query("a11_silver_text_model", oracle("SELECT event_id, log_perplexity, text_anomaly_score, text_anomaly_label = 'SUSPICIOUS' AS text_suspicious FROM txt", "txt"), "log_perplexity text_anomaly_score")
+def silver_model(spark, d) -> DataFrame:
+    """The trigram model as a worker-held scorer in the bronze-to-silver stream; the same scores as by joins."""
+    root = place(spark)
+    bronze = fx.scored_of(events(spark, d)).select("event_id", X.text_domain("merchant_name").alias("domain_text"))
+    scorer = text.worker_scorer(slow.model(spark, d))
+    ingest.bronze_to_silver_text(bronze, scorer(F.col("domain_text")), f"{root}/silver", f"{root}/checkpoint", slow.SUSPICIOUS).awaitTermination()
+    return spark.read.parquet(f"{root}/silver").select("event_id", "log_perplexity", "text_anomaly_score", "text_suspicious")
+
+
+@query("d41_run_counters_stream", oracle("""SELECT 2 AS batches, (SELECT count(*) FROM tx) + count(*) FILTER (WHERE event_id::BIGINT % 17 = 0) AS consumed, count(*) FILTER (WHERE event_id::BIGINT % 17 = 0) AS decode_failures,
+  count(*) AS produced, 0 AS score_failures, count(*) FILTER (WHERE decision = 'ALLOW') AS allow, count(*) FILTER (WHERE decision = 'REVIEW') AS review, count(*) FILTER (WHERE decision = 'BLOCK') AS block,
+  count(*) FILTER (WHERE blocklist_tier = 'BLOCK') AS list_hits, count(*) FILTER (WHERE blocklist_tier = 'HOT') AS hot_hits, count(*) FILTER (WHERE velocity_hit) AS velocity_hits,
+  avg(scoring_latency_ms) AS avg_latency_ms, max(scoring_latency_ms) AS max_latency_ms, true AS timed FROM fast""", "fast"), "avg_latency_ms")
+def stream_counters(spark, d) -> DataFrame:
+    """Two timed micro-batches of payloads, some broken, through the fast path; counts from its listener and its table."""
+    root, (at, latency) = place(spark), _scored_at()
+    path, tables, name = listed(spark, d, root), fastpath.Tables.at(spark, root), f"run-{uuid.uuid4().hex}"
+    tx = arriving(spark, d)
+    half = fx.START_MS + 15 * fx.DAY_MS
+    sent = S.keyed(tx.withColumn("at", F.col("event_timestamp_ms")), keep=["arrival", "at"])
+    sent = sent.unionByName(sent.where(F.col("arrival") % 17 == 0).withColumn("value", F.lit("{broken")))
+    progress = counters.Progress(spark, name, BatchTable(spark, f"{root}/progress-rows", counters.PROGRESS))
+    spark.streams.addListener(progress)
+    try:
+        with few_state_partitions(spark):
+            feed(sent.where(F.col("at") < half).drop("at"), root, "0", "json")
+            raw = S.read_files(spark, f"{root}/in", "key string, value string, arrival long", "json", nested=True)
+            rows = counters.decoded(raw, "event", ["arrival"])
+            q = fastpath.start(rows, tables, path, scorecard(), f"{root}/checkpoint", every="100 milliseconds", name=name, windows=WINDOWS,
+                               block_ms=fx.DAY_MS, scored_at=at, latency=latency)
+            q.processAllAvailable()
+            feed(sent.where(F.col("at") >= half).drop("at"), root, "1", "json")
+            q.processAllAvailable()
+            q.stop()
+        counters.heard(spark)
+    finally:
+        spark.streams.removeListener(progress)
+    out = counters.run_counters(progress.table.read(), tables.scored.read())
+    return out.withColumn("timed", (F.col("elapsed_s") > 0) & (F.col("events_per_second") > 0)).drop("elapsed_s", "events_per_second")
+
+
 @query("d41_run_counters", oracle("""SELECT count(*) AS events, count(*) FILTER (WHERE decision = 'ALLOW') AS allow, count(*) FILTER (WHERE decision = 'REVIEW') AS review, count(*) FILTER (WHERE decision = 'BLOCK') AS block,
   count(*) FILTER (WHERE blocklist_hit) AS list_hits, count(*) FILTER (WHERE velocity_hit) AS velocity_hits, avg(scoring_latency_ms) AS avg_latency_ms, max(scoring_latency_ms) AS max_latency_ms FROM sc""", "sc"), "avg_latency_ms")
-def counters(spark, d) -> DataFrame:
+def observed_counters(spark, d) -> DataFrame:
     """Counters observed while the batch is written."""
     df, seen = ingest.observed(fx.scored(spark, d), f"run-{uuid.uuid4().hex}")
     df.write.format("noop").mode("overwrite").save()

@@ -87,11 +87,11 @@ def score_batch(batch: DataFrame, batch_id: int, tables: Tables, lists: DataFram
 
 
 def start(events: DataFrame, tables: Tables, list_path: str | None, model, checkpoint: str, every: str | None = None,
-          **options) -> StreamingQuery:
+          name: str | None = None, **options) -> StreamingQuery:
     """Lists are read again in every micro-batch, so an update takes effect at once."""
     spark = tables.scored.spark
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         score_batch(batch, batch_id, tables, read_lists(spark, list_path), model, **options)
 
-    return _start(events, checkpoint, handle, every)
+    return _start(events, checkpoint, handle, every, name=name)

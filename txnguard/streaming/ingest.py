@@ -4,17 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txnguard import constants as K
+from txnguard.operators import text
 from txnguard.sources import stream as S
 from txnguard.streaming.sink import BatchTable
 
 
 def _start(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None], every: str | None,
            mode: str = "append", name: str | None = None) -> StreamingQuery:
-    w = df.writeStream.foreachBatch(handle).outputMode(mode).option("checkpointLocation", checkpoint)
+    """``handle`` may read its batch several times: it is read and decoded once, and kept by the executors until the batch is done."""
+    def once(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            handle(batch, batch_id)
+        finally:
+            batch.unpersist()
+    w = df.writeStream.foreachBatch(once).outputMode(mode).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
     w = w.trigger(availableNow=True) if every is None else w.trigger(processingTime=every)
@@ -43,8 +52,18 @@ def route(records: DataFrame, tables: dict[str, tuple[str, BatchTable]], bad: Ba
 def bronze_to_silver(bronze: DataFrame, score: Column, path: str, checkpoint: str,
                      suspicious: float = K.SUSPICIOUS_LOG_PPL) -> StreamingQuery:
     """Score, flag and append; process what is there and stop. ``score`` may be a pandas UDF."""
-    out = bronze.withColumn("text_anomaly_score", score).withColumn(
-        "text_suspicious", F.coalesce(F.col("text_anomaly_score") >= suspicious, F.lit(False)))
+    return _silver(bronze.withColumn("text_anomaly_score", score).withColumn(
+        "text_suspicious", F.coalesce(F.col("text_anomaly_score") >= suspicious, F.lit(False))), path, checkpoint)
+
+
+def bronze_to_silver_text(bronze: DataFrame, mean_log_prob: Column, path: str, checkpoint: str,
+                          suspicious: float = K.SUSPICIOUS_LOG_PPL) -> StreamingQuery:
+    """The same with a language model in the scorer's slot: perplexity, score, label and flag from its mean log-probability."""
+    out = text.score_with(bronze.withColumn("_log_prob", mean_log_prob), F.col("_log_prob"), suspicious).drop("_log_prob")
+    return _silver(out.withColumn("text_suspicious", F.col("text_anomaly_label") == "SUSPICIOUS"), path, checkpoint)
+
+
+def _silver(out: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return (out.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
