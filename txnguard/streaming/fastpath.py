@@ -67,14 +67,14 @@ def score_batch(batch: DataFrame, batch_id: int, tables: Tables, lists: DataFram
         batch = batch.withColumn("emitted_at_ms", F.lit(None).cast("long"))
     now = F.coalesce("emitted_at_ms", t)
     past = tables.history.read(before=batch_id)
-    horizon = tables.progress.read(before=batch_id).agg(F.max("newest_ms")).scalar() - lateness_ms
+    horizon = F.lit(tables.progress.read(before=batch_id).agg(F.max("newest_ms")).first()[0]) - lateness_ms
     # of repeated deliveries the earliest counts, so that a retry keeps the same copy
     whole = F.struct(*batch.columns)
     first = F.struct(F.col("emitted_at_ms").isNull(), t, "arrival", F.xxhash64(whole))
-    good = batch.groupBy("event_id").agg(F.min_by(whole, first).alias("e")).select("e.*").withColumn("listed_at_ms", now)
+    good = batch.groupBy("event_id").agg(F.min_by(whole, first).alias("e")).select("e.*").withColumn("listed_at_ms", now).persist()  # read by every rule
     tables.late.write(good.where(F.coalesce(now < horizon, F.lit(False))), batch_id)  # an extra copy: late events are scored too
     span = max(s for _, s, _ in windows) * 1000
-    oldest = good.agg(F.min("event_timestamp_ms")).scalar() - span
+    oldest = F.lit(good.agg(F.min("event_timestamp_ms")).first()[0]) - span  # one number, known before the plan
     # Earlier unlisted events of the window were judged before: now they only count.
     recent = past.where((F.col("day") >= F.floor(oldest / DAY_MS)) & (t >= oldest))  # older days are not opened
     history = recent.join(good.select("event_id"), "event_id", "left_anti")
@@ -83,6 +83,7 @@ def score_batch(batch: DataFrame, batch_id: int, tables: Tables, lists: DataFram
     stored = tables.scored.read().where(F.col("batch") == batch_id)
     tables.history.write(stored.where(~F.col("blocklist_hit")).withColumn("day", F.floor(t / DAY_MS)), batch_id)
     # an event dated after its arrival says nothing about how far the stream has come
+    good.unpersist()
     tables.progress.write(stored.where(t <= F.unix_millis(F.current_timestamp())).agg(F.max(t).alias("newest_ms")), batch_id)
 
 
