@@ -678,3 +678,31 @@ def test_pii_takes_time_in_proportion():
     for _ in range(2000):
         text = "".join(rng.choice(["1", "22", "255", "256", "0001", ".", ".", ".", "..", " ", "x"], rng.integers(1, 30)))
         assert [s for s in pii_anchors.find(text) if s[0] in pii_anchors.KINDS] == base_spans(text, PII), text
+
+
+def test_units_hold_every_piece_and_decode(spark):
+    pieces = gumbel_pieces.pieces_of(MODEL)
+    vocabulary = gumbel_pieces.Vocabulary(pieces, 1.0)
+    inner = [p for p in pieces if re.search(f"[^{gumbel_pieces.MARK}]{gumbel_pieces.MARK}", p) and not p.startswith("<")]
+    assert inner == []  # no piece reaches from a word over a mark
+    spaced = [p for p in pieces if p.count(gumbel_pieces.MARK) > 1]
+    views, first = gumbel_pieces.lattice(["▁" * 4 + "if"], vocabulary)
+    usable = {pieces[i] for i in views.option_ids.tolist() if i >= 0}
+    assert len(spaced) > 3 and all(p in usable for p in spaced if p in "▁" * 4 + "if")
+
+    def plain(text):  # all segmentations of a unit by the vocabulary
+        ids = {p: i for i, p in enumerate(pieces)}
+        if not text:
+            return [()]
+        return [(ids[text[:n]], *rest) for n in range(1, len(text) + 1) if text[:n] in ids for rest in plain(text[n:])]
+    views, first = gumbel_pieces.lattice(["▁▁▁in"], vocabulary)
+    got = gumbel_pieces.sample(np.array([0]), views, 10_000, np.random.default_rng(1))
+    assert {tuple(views.pieces(p)) for p, _, _ in got} == set(plain("▁▁▁in"))
+    texts = ["  two  spaces ", "a▁b ▁", "tab\tand\n\nline  ", "▁", " ", "é\U0001f600 你", "x" * 300, "def f():\n        return   1"]
+    rows = spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)] + [(50, 0, ""), (51, 0, None)], "conv_id long, turn int, text string") \
+        .select("*", *[F.lit("c").alias(c) for c in ("sample", "ids", "decoded", "s")])
+    out = gumbel_pieces.report(rows).collect()
+    assert {r["conv_id"] for r in out} == set(range(len(texts))) and all(r["round_trip"] for r in out)
+    assert gumbel_pieces.report(rows.limit(0)).count() == 0
+    again = gumbel_pieces.with_decoded(spark.createDataFrame([(None,), ([],)], "ids array<int>"), MODEL).collect()
+    assert [r["decoded"] for r in again] == [None, ""]

@@ -4,7 +4,9 @@ A text's lattice has an edge for each vocabulary piece at each place (byte piece
 segmentation's probability is the normalised product of its pieces' weights. The vocabulary files hold merge ranks, not
 probabilities, so a piece of rank r weighs 1 / (r + ``SHIFT``) to the power ``alpha``.
 
-Words (runs that start at a space mark) do not share pieces, so backward sums are worked out once for each distinct word of some hundred texts.
+A text is cut into units, a run of space marks and the word after it: no piece of the vocabulary reaches from a word over a mark, so units
+share no pieces, and backward sums are worked out once for each distinct unit of some hundred texts. A text's own U+2581, which is no
+space, goes into byte pieces, so ids decode to the text they were made from.
 The search holds regions of the set of segmentations: a fixed prefix, and the next piece not among those already taken. A
 region's key is the largest Gumbel-perturbed log probability within it, drawn top-down: following the best region to its end
 keeps its key and gives a segmentation, and each step on the way leaves a region of siblings with a key drawn below it. Taking regions in order of key
@@ -33,7 +35,9 @@ SHARE = 400_000  # characters whose words are built together, at least
 MARK = "▁"
 SAMPLES = "array<struct<ids:array<int>,log_prob:double,log_inclusion:double>>"
 _SAMPLES = pa.list_(pa.struct([("ids", pa.list_(pa.int32())), ("log_prob", pa.float64()), ("log_inclusion", pa.float64())]))
-_WORD = re.compile(f"{MARK}?[^{MARK}]+|{MARK}")
+OWN = "\udc81"  # stands for a text's own U+2581; no text holds it
+_WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+_BYTE = re.compile("<0x([0-9A-F]{2})>")
 
 
 class Vocabulary:
@@ -53,7 +57,7 @@ class Vocabulary:
 
     def fallback(self, code: int) -> list[int]:
         """Byte pieces of a character that is in no piece."""
-        return [self.bytes.get(b, 0) for b in chr(code).encode(errors="replace")]
+        return [self.bytes.get(b, 0) for b in (MARK if chr(code) == OWN else chr(code)).encode(errors="replace")]
 
 
 def _codes(text: str) -> np.ndarray:
@@ -138,7 +142,7 @@ class Views:
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(MARK + text.replace(" ", MARK))
+    return _WORD.findall(MARK + text.replace(MARK, OWN).replace(" ", MARK))
 
 
 def sample(firsts: np.ndarray, views: Views, k: int, rng: np.random.Generator) -> list[tuple[np.ndarray, float, float]]:
@@ -197,11 +201,26 @@ def _inclusion(log_prob: float, limit: float | None) -> float:
 
 def decode(ids: list[int], pieces: list[str]) -> str:
     """The text that was segmented."""
-    raw = bytearray()
-    for i in ids:
-        m = re.fullmatch("<0x([0-9A-F]{2})>", pieces[i])
-        raw += bytes([int(m[1], 16)]) if m else pieces[i].encode()
-    return raw.decode(errors="replace").replace(MARK, " ")[1:]
+    return joined(ids, piece_bytes(pieces))
+
+
+def piece_bytes(pieces: list[str]) -> list[bytes]:
+    """What each piece stands for."""
+    return [bytes([int(m[1], 16)]) if (m := _BYTE.fullmatch(p)) else p.replace(MARK, " ").encode() for p in pieces]
+
+
+def joined(ids: list[int], parts: list[bytes]) -> str:
+    return b"".join([parts[i] for i in ids]).decode(errors="replace")[1:]  # without the mark before the first word
+
+
+def with_decoded(df: DataFrame, model: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """``df`` with the text of its piece ids (an array; null gives null); an ``out`` that exists is replaced."""
+    pieces = df.sparkSession.sparkContext.broadcast(piece_bytes(pieces_of(model)))
+
+    def decoded(rows: pa.Array) -> pa.Array:
+        parts = pieces.value
+        return pa.array([None if r is None else joined(r, parts) for r in rows.to_pylist()], type=pa.string())
+    return df.withColumn(out, F.arrow_udf(decoded, "string")(F.col(f"`{ids}`")))
 
 
 def pieces_of(path: str) -> list[str]:
@@ -251,8 +270,9 @@ def with_samples(df: DataFrame, model: str, keys: list[str], text: str = "text",
 
 
 def report(turns: DataFrame, model: str = "/opt/tokenizers/piece_bpe_32k.model") -> DataFrame:
-    """Three segmentations of each turn, one a row; the ids as text."""
+    """Three segmentations of each turn, one a row; the ids as text, and whether they decode to the turn's text."""
     rows = with_samples(turns.select("conv_id", "turn", "text"), model, ["conv_id", "turn"])
-    return rows.select("conv_id", "turn", F.posexplode("samples").alias("sample", "s")) \
-        .select("conv_id", "turn", "sample", F.size("s.ids").alias("n_pieces"), F.array_join("s.ids", " ").alias("ids"),
-                F.col("s.log_prob").alias("log_prob"), F.col("s.log_inclusion").alias("log_inclusion"))
+    each = rows.select("conv_id", "turn", "text", F.posexplode("samples").alias("sample", "s")).select("conv_id", "turn", "text", "sample", "s.*")
+    return with_decoded(each, model).select(
+        "conv_id", "turn", "sample", F.size("ids").alias("n_pieces"), F.array_join("ids", " ").alias("ids"), "log_prob", "log_inclusion",
+        (F.col("decoded") == F.col("text")).alias("round_trip"))
