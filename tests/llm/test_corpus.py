@@ -704,5 +704,13 @@ def test_units_hold_every_piece_and_decode(spark):
     out = gumbel_pieces.report(rows).collect()
     assert {r["conv_id"] for r in out} == set(range(len(texts))) and all(r["round_trip"] for r in out)
     assert gumbel_pieces.report(rows.limit(0)).count() == 0
+    ids = F.transform(F.split("ids", " "), lambda i: i.cast("int"))
+    back = gumbel_pieces.with_decoded(gumbel_pieces.report(rows).withColumn("ids", ids), MODEL)
+    assert all(r["decoded"] == texts[r["conv_id"]] for r in back.collect())
     again = gumbel_pieces.with_decoded(spark.createDataFrame([(None,), ([],)], "ids array<int>"), MODEL).collect()
     assert [r["decoded"] for r in again] == [None, ""]
+
+
+def test_samples_are_drawn_once(docs):
+    plan = gumbel_pieces.report(docs.select(F.col("doc_id").alias("conv_id"), F.lit(0).alias("turn"), "text"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1

@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame, functions as F
 SHIFT = 10.0
 SHARE = 400_000  # characters whose words are built together, at least
 MARK = "▁"
-SAMPLES = "array<struct<ids:array<int>,log_prob:double,log_inclusion:double>>"
-_SAMPLES = pa.list_(pa.struct([("ids", pa.list_(pa.int32())), ("log_prob", pa.float64()), ("log_inclusion", pa.float64())]))
+SAMPLES = "array<struct<ids:array<int>,log_prob:double,log_inclusion:double,decodes:boolean>>"
+_SAMPLES = pa.list_(pa.struct([("ids", pa.list_(pa.int32())), ("log_prob", pa.float64()), ("log_inclusion", pa.float64()), ("decodes", pa.bool_())]))
 OWN = "\udc81"  # stands for a text's own U+2581; no text holds it
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
@@ -231,24 +231,26 @@ def pieces_of(path: str) -> list[str]:
 
 def _worker(pieces, alpha: float, k: int, seed: int) -> Callable:
     made: list[Vocabulary] = []
+    parts: list[bytes] = []
 
     def some(texts: list[str | None], keys: list[int]) -> list:
         words, out = [words_of(t) if t else [] for t in texts], []
         if not any(words):
             return [[] for _ in texts]
         views, first = lattice(sorted({w for row in words for w in row}), made[0])
-        for row, key in zip(words, keys):
+        for text, row, key in zip(texts, words, keys):
             if not row:
                 out.append([])
                 continue
             rng = np.random.Generator(np.random.Philox(key=[seed, key & (1 << 64) - 1]))
             found = sample(np.array([first[w] for w in row]), views, k, rng)
-            out.append([{"ids": views.pieces(path), "log_prob": p, "log_inclusion": q} for path, p, q in found])
+            out.append([{"ids": (ids := views.pieces(path)), "log_prob": p, "log_inclusion": q, "decodes": joined(ids, parts) == text} for path, p, q in found])
         return out
 
     def sampled(texts: pa.Array, keys: pa.Array) -> pa.Array:
         if not made:
             made.append(Vocabulary(pieces.value, alpha))
+            parts.extend(piece_bytes(pieces.value))
         out, held, size, own = [], [], 0, keys.to_pylist()
         for i, text in enumerate(texts):
             held.append(text.as_py())
@@ -262,7 +264,7 @@ def _worker(pieces, alpha: float, k: int, seed: int) -> Callable:
 
 def with_samples(df: DataFrame, model: str, keys: list[str], text: str = "text", k: int = 3, alpha: float = 1.0, seed: int = 7,
                  out: str = "samples") -> DataFrame:
-    """``df`` with an array of (ids, log_prob, log_inclusion); an ``out`` that exists is replaced. ``model`` is a path the driver can
+    """``df`` with an array of (ids, log_prob, log_inclusion, and whether the ids decode to the text); an ``out`` that exists is replaced. ``model`` is a path the driver can
     read; its pieces, a table of fixed size, are broadcast."""
     pieces = df.sparkSession.sparkContext.broadcast(pieces_of(model))
     key = F.xxhash64(*[F.col(f"`{c}`") for c in keys])
@@ -272,7 +274,7 @@ def with_samples(df: DataFrame, model: str, keys: list[str], text: str = "text",
 def report(turns: DataFrame, model: str = "/opt/tokenizers/piece_bpe_32k.model") -> DataFrame:
     """Three segmentations of each turn, one a row; the ids as text, and whether they decode to the turn's text."""
     rows = with_samples(turns.select("conv_id", "turn", "text"), model, ["conv_id", "turn"])
-    each = rows.select("conv_id", "turn", "text", F.posexplode("samples").alias("sample", "s")).select("conv_id", "turn", "text", "sample", "s.*")
-    return with_decoded(each, model).select(
-        "conv_id", "turn", "sample", F.size("ids").alias("n_pieces"), F.array_join("ids", " ").alias("ids"), "log_prob", "log_inclusion",
-        (F.col("decoded") == F.col("text")).alias("round_trip"))
+    # outer: a filter on the array, which Spark infers otherwise, would draw all samples twice
+    return rows.select("conv_id", "turn", F.posexplode_outer("samples").alias("sample", "s")).where("s IS NOT NULL").select(
+        "conv_id", "turn", "sample", F.size("s.ids").alias("n_pieces"), F.array_join("s.ids", " ").alias("ids"), "s.log_prob", "s.log_inclusion",
+        F.col("s.decodes").alias("round_trip"))
