@@ -443,10 +443,50 @@ def test_near_duplicates_with_large_groups(spark, monkeypatch):
         rows.append((1000 - i, " ".join(own)))
     rows += [(2000 + i, rows[0][1]) for i in range(40)] + [(3000 + i, " ".join(f"z{x}" for x in rng.integers(0, 900, 60))) for i in range(40)]
     rows += [(4000, None), (4001, ""), (4002, "One TWO"), (4003, "one two"), (4004, "one\ttwo"), (4005, "éÉ"), (4006, "éé")]
+    rows.append((1000, "another text " + rows[50][1]))  # an id of two texts
     df = spark.createDataFrame(rows, "doc_id long, text string").select("*", F.lit(1).alias("node"), F.lit(2).alias("id")).repartition(5)
     assert sorted(map(tuple, near_dups.report(df).collect())) == sorted(brute_components(rows, 4))
 
 
+def test_rare_lists_hold_every_linked_pair(spark):
+    from txnguard.llm.common import Scratch
+    rng = np.random.default_rng(12)
+    base = list(range(100))
+    sets = []
+    for i in range(80):
+        own = set(base[: rng.integers(60, 101)]) - set(rng.integers(0, 100, rng.integers(0, 16)).tolist())
+        sets.append(sorted(own | {1000 + 100 * i + j for j in range(rng.integers(0, 20))}))
+    rows = [(int(i % 2), i, int(rng.integers(0, 40)) * 2 + i % 2, s) for i, s in enumerate(sets)]
+    nodes = spark.createDataFrame(rows, "grp long, node long, c long, s array<long>")
+    held = {}
+    for r in near_dups._rare_lists(nodes, Scratch(spark, "t")).collect():
+        held.setdefault(r["node"], set()).add((r["grp"], r["item"]))
+    linked = 0
+    for g, i, c, s in rows:
+        for h, j, d, t in rows[:i]:
+            both = len(set(s) & set(t))
+            if g == h and c != d and 100 * both >= 80 * (len(s) + len(t) - both):
+                linked += 1
+                assert held[i] & held[j], (i, j)
+    assert linked > 50
+    # pages that share text but are a third their own are in no list, however many they are
+    pages = [(0, i, i, list(range(70)) + [1000 + 100 * i + j for j in range(30)]) for i in range(50)]
+    assert near_dups._rare_lists(spark.createDataFrame(pages, nodes.schema), Scratch(spark, "t")).isEmpty()
+
+
+def test_near_duplicates_meet_no_block_without_need(spark, monkeypatch):
+    """Boilerplate pages with words of their own: candidates of each other, but the index proves them apart."""
+    def never(key, rows):
+        raise AssertionError("blocks compared")
+    monkeypatch.setattr(near_dups, "_block_links", never)
+    rng = np.random.default_rng(8)
+    shared = " ".join(f"s{i}" for i in range(90))
+    rows = [(i, shared + " " + " ".join(f"p{x}" for x in rng.integers(0, 10 ** 6, 30))) for i in range(120)]
+    rows += [(500 + i, rows[i][1] + " end") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(map(tuple, near_dups.report(df).collect())) == sorted(brute_components(rows, 4))
+
+
 def test_near_duplicates_on_odd_rows(odd, none):
     out = {(r["doc_id"], r["n_shingles"]): r for r in near_dups.report(odd).collect()}
     assert out[(5, 3)]["component_id"] == 4 and not out[(5, 3)]["kept"]

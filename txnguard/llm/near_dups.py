@@ -1,15 +1,17 @@
 """MinHash near-duplicates by tensored banding.
 
-1. One Arrow pass turns each text into the set of its word shingles (64-bit hashes), the set's size and digest, and
+1. One Arrow pass turns each text into the set of its word shingles (64-bit hashes), the set's size and 128-bit digest, and
    ``COLLECTIONS`` short collections of ``WIDTH`` minhashes each. Texts with equal sets are one class, merged by a partial
-   aggregate, so thousands of copies become one row.
+   aggregate, so thousands of copies become one row. Stored classes are numbered; the number is their node.
 2. Table keys are pairs of collections: c collections give c(c-1)/2 tables, so the minhashes needed grow with the square root
    of the tables. A pair of classes is a candidate if any two of its collections agree.
 3. Links are confirmed on full sets: 100 * intersection >= 80 * union. First each class meets the smallest node of every key it
-   has. Where members of a key are still in different components, the components joined by such keys form groups; a group's
-   nodes are dealt into blocks of about ``BLOCK`` nodes, each two blocks meet in one task, which counts intersections as a
-   matrix product and returns the pairs of linked components. So a group of near copies costs a few pairs for each
-   member, and no task holds more than two blocks.
+   has. Where members of a key are still in different components, the components joined by such keys form groups, indexed
+   by rare shingles: in an order that puts shingles of one component first and then the rarer ones, two linked sets share one of
+   their first n - ceil(0.8 n) + 1 shingles, so only holders of such a shingle can be linked, and boilerplate pages with
+   text of their own have none. Each list of holders names one of them, the others meet it, and it leaves the list; lists within
+   one component go. When a round no longer halves the lists, what remains is dealt into blocks of about ``BLOCK`` nodes;
+   two blocks meet in one task, which counts intersections as a matrix product and returns linked components.
 4. Components by alternating large and small stars, in stored tables.
 
 A text with fewer words than a shingle has one shingle, its whole word sequence. Null texts and texts without words have an
@@ -27,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from txnguard.llm.common import Scratch
+from txnguard.operators.joins import lookup_join
 
 COLLECTIONS = 14
 WIDTH = 3
@@ -118,35 +121,35 @@ def _texts(column: pa.Array):
         yield whole[starts[i]:starts[i + 1]] if ok else whole[:0]
 
 
-def _node(shingles: np.ndarray) -> int | None:
-    """A class: the same 64 bits for equal sets."""
-    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "big", signed=True) if len(shingles) else None
+def _digest(shingles: np.ndarray) -> bytes | None:
+    """A class: the same 128 bits for equal sets."""
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
 
 
 def sketch_column(text: Column, words: int) -> Column:
-    """(node, n, collections) of each text; no node without words."""
-    kind = pa.struct([("node", pa.int64()), ("n", pa.int64()), ("collections", pa.list_(pa.int64()))])
+    """(digest, n, collections) of each text; no digest without words."""
+    kind = pa.struct([("digest", pa.binary()), ("n", pa.int64()), ("collections", pa.list_(pa.int64()))])
 
     def sketches(texts: pa.Array) -> pa.Array:
         out = []
         for data in _texts(texts):
             s = shingle_set(data, words)
             low = (minhashes(s).reshape(COLLECTIONS, WIDTH) * _STEP[:WIDTH]).sum(1, dtype=np.uint64) if len(s) else None
-            out.append((_node(s), len(s), None if low is None else _mix(low).view(np.int64)))
+            out.append((_digest(s), len(s), None if low is None else _mix(low).view(np.int64)))
         return pa.array(out, type=kind)
 
-    return F.arrow_udf(sketches, "node long, n long, collections array<long>")(text)
+    return F.arrow_udf(sketches, "digest binary, n long, collections array<long>")(text)
 
 
 def set_column(text: Column, words: int) -> Column:
-    """(node, s) of each text, s its sorted shingle hashes."""
-    kind = pa.struct([("node", pa.int64()), ("s", pa.list_(pa.int64()))])
+    """(digest, s) of each text, s its sorted shingle hashes."""
+    kind = pa.struct([("digest", pa.binary()), ("s", pa.list_(pa.int64()))])
 
     def sets(texts: pa.Array) -> pa.Array:
         found = [shingle_set(data, words) for data in _texts(texts)]
-        return pa.array([(_node(s), s.view(np.int64)) for s in found], type=kind)
+        return pa.array([(_digest(s), s.view(np.int64)) for s in found], type=kind)
 
-    return F.arrow_udf(sets, "node long, s array<long>")(text)
+    return F.arrow_udf(sets, "digest binary, s array<long>")(text)
 
 
 def _table_keys(classes: DataFrame) -> DataFrame:
@@ -186,9 +189,8 @@ def _unfinished(edges: DataFrame) -> bool:
     return not odd.isEmpty()
 
 
-def links(docs: DataFrame, sketch: DataFrame, words: int, scratch: Scratch) -> DataFrame:
-    """(node, component) of linked classes. ``docs``: id, text; ``sketch``: node, id, n, collections of usable rows."""
-    classes = scratch.keep(sketch.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("collections").alias("collections")), "classes")
+def links(docs: DataFrame, classes: DataFrame, words: int, scratch: Scratch) -> DataFrame:
+    """(node, component) of linked classes. ``docs``: id, text; ``classes``, stored: node, digest, id, n, collections."""
     keyed = _table_keys(classes)
     shared = keyed.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last"), F.count("*").alias("members")) \
         .where("head <> last").select("key", "head", "members")
@@ -197,30 +199,60 @@ def links(docs: DataFrame, sketch: DataFrame, words: int, scratch: Scratch) -> D
     heads = scratch.keep(members.where("node <> head").groupBy("head", "node").agg(F.first("n").alias("n")).join(sizes, "head")
                          .where(_close_sizes("n", "head_n")).select(F.col("head").alias("a"), F.col("node").alias("b")), "heads")
 
-    wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("id")
-    sets = docs.join(wanted, "id", "left_semi").select(F.explode(F.array(set_column(F.col("text"), words))).alias("k")).select("k.*")
-    sets = sets.where("node IS NOT NULL")
-    if sketch.groupBy("id").count().where("count > 1").limit(1).count():
+    wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("id", "node", F.col("digest").alias("own"))
+    sets = docs.join(wanted, "id").select("node", "own", F.explode(F.array(set_column(F.col("text"), words))).alias("k")) \
+        .where("k.digest = own").select("node", "k.s")
+    if docs.groupBy("id").count().where("count > 1").limit(1).count():  # an id may stand for several texts
         sets = sets.dropDuplicates(["node"])
     sets = scratch.keep(sets, "sets")
 
     def confirmed(pairs: DataFrame, label: str) -> DataFrame:
+        """The linked ones of ``pairs`` (a, b)."""
         left = sets.select(F.col("node").alias("a"), F.col("s").alias("sa"))
         right = sets.select(F.col("node").alias("b"), F.col("s").alias("sb"))
         both = F.size(F.array_intersect("sa", "sb"))
         return scratch.keep(pairs.join(left, "a").join(right, "b")
                             .select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb") - both).alias("either"))
-                            .select("a", "b", (F.col("both") * 100 >= F.col("either") * SIMILARITY).alias("linked")), label)
+                            .where(F.col("both") * 100 >= F.col("either") * SIMILARITY).select("a", "b"), label)
 
-    done = confirmed(heads, "confirmed")
-    found = scratch.keep(components(done.where("linked"), scratch), "found")
+    found = scratch.keep(components(confirmed(heads, "confirmed"), scratch), "found")
 
-    # keys whose members are still apart: the components they join form groups, which are compared block by block
+    # keys whose members are still apart: the components they join form groups
     apart = members.join(found.withColumnRenamed("component", "c"), "node", "left").select("key", "node", F.coalesce("c", "node").alias("c"))
     still = apart.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.count("*").alias("members")).where("c1 <> c2 AND members > 2")
     apart = scratch.keep(apart.join(still.select("key", "c1"), "key").groupBy("node", "c", "c1").agg(F.lit(1).alias("x")).drop("x"), "apart")
+    if apart.isEmpty():
+        return found
     groups = components(apart.select(F.col("c1").alias("a"), F.col("c").alias("b")), scratch).select(F.col("node").alias("c"), F.col("component").alias("grp"))
     nodes = scratch.keep(apart.select("node", "c").distinct().join(groups, "c"), "nodes")
+
+    lists = scratch.keep(_rare_lists(nodes.join(sets, "node"), scratch), "lists")
+    rows, turn = lists.count(), 0
+    while rows:
+        head = F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node", "c", "n")
+        named = lists.groupBy("grp", "item").agg(F.min(head).alias("head"))
+        named = scratch.keep(named.select("grp", "item", F.col("head.node").alias("head"), F.col("head.c").alias("head_c"), F.col("head.n").alias("head_n")), "named")
+        met = lookup_join(lists, named, ["grp", "item"], "inner", ["node"])
+        pairs = met.where("c <> head_c").where(_close_sizes("n", "head_n")).groupBy("head", "node").agg(F.lit(1).alias("x")) \
+            .select(F.col("head").alias("a"), F.col("node").alias("b"))
+        new = confirmed(pairs, "linked")
+        rest = met.where("node <> head").select("grp", "item", "node", "n", "c")
+        if not new.isEmpty():
+            found = scratch.keep(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new), scratch), "found")
+            rest = rest.drop("c").join(found.withColumnRenamed("component", "c"), "node", "left").withColumn("c", F.coalesce("c", "node"))
+        rest = scratch.keep(rest, "rest")
+        lists = scratch.keep(_across(rest, scratch), "lists")
+        before, rows, turn = rows, lists.count(), turn + 1
+        if rows * 2 > before:
+            break
+    if not rows:
+        return found
+
+    # lists that fall too slowly: their holders meet block by block, in groups that share no list
+    ends = lists.groupBy("grp", "item").agg(F.min("node").alias("least"))
+    tied = lookup_join(lists, scratch.keep(ends, "ends"), ["grp", "item"], "inner", ["node"])
+    groups = components(tied.select(F.col("least").alias("a"), F.col("node").alias("b")), scratch).withColumnRenamed("component", "grp")
+    nodes = scratch.keep(lists.select("node", "c").distinct().join(groups, "node"), "nodes")
     blocks = nodes.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = nodes.join(blocks, "grp").join(sets, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -233,6 +265,28 @@ def links(docs: DataFrame, sketch: DataFrame, words: int, scratch: Scratch) -> D
     return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(third), scratch)
 
 
+def _across(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rows (grp, item, node, n, c) of items whose holders are in several components."""
+    spans = rows.groupBy("grp", "item").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.count("*").alias("times"))
+    spans = scratch.keep(spans.where("c1 <> c2").select("grp", "item", "times"), "spans")
+    return lookup_join(rows, spans, ["grp", "item"], "inner", ["node"])
+
+
+def _rare_lists(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(grp, item, node, n, c): the shingles of which two linked sets of different components share at least one.
+
+    Sets with 100 * both >= 80 * either share ceil(0.8 n) of the n shingles of either, so in any one order of a group's shingles
+    one is among the first n - ceil(0.8 n) + 1. Those of one component come first; they are in no two components' sets.
+    """
+    items = scratch.keep(nodes.select("grp", "node", "c", F.size("s").alias("n"), F.explode("s").alias("item")), "items")
+    held = F.sort_array(F.collect_list(F.struct("times", "item")))
+    kept = _across(items, scratch).groupBy("grp", "node").agg(F.first("n").alias("n"), F.first("c").alias("c"), held.alias("held"))
+    spare = (F.size("held") - F.ceil(F.col("n") * SIMILARITY / 100) + 1).cast("int")
+    return kept.withColumn("spare", spare).where("spare > 0") \
+        .select("grp", "node", "n", "c", F.explode(F.slice("held", F.lit(1), F.col("spare"))).alias("h")) \
+        .select("grp", F.col("h.item").alias("item"), "node", "n", "c")
+
+
 def _block_links(key: tuple, rows: pa.Table) -> pa.Table:
     """The pairs of components that are linked between two blocks, confirmed on full sets."""
     own, comp = (rows[c].to_numpy() for c in ("own", "c"))
@@ -267,13 +321,15 @@ def near_duplicates(docs: DataFrame, words: int, id_col: str = "doc_id", text: s
     scratch = Scratch(docs.sparkSession, "near-dups")
     own = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"))
     sketch = scratch.keep(own.select("id", sketch_column(F.col("text"), words).alias("k")).select("id", "k.*"), "sketch")
-    usable = sketch.where("node IS NOT NULL AND id IS NOT NULL")
-    found = links(own.where("id IS NOT NULL"), usable, words, scratch)
-    named = usable.groupBy("node").agg(F.min("id").alias("least"), F.count("*").alias("copies")).join(found, "node", "left")
-    lone = named.where("component IS NULL AND copies > 1").select("node", F.col("least").alias("component_id"))
+    usable = sketch.where("digest IS NOT NULL AND id IS NOT NULL")
+    classes = usable.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("collections").alias("collections"))
+    classes = scratch.keep(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    found = links(own.where("id IS NOT NULL"), classes, words, scratch)
+    named = classes.select("node", "digest", F.col("id").alias("least"), "copies").join(found, "node", "left")
+    lone = named.where("component IS NULL AND copies > 1").select("digest", F.col("least").alias("component_id"))
     linked = named.where("component IS NOT NULL")
-    linked = linked.join(linked.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("node", "component_id")
-    return sketch.join(lone.unionByName(linked), "node", "left").select(
+    linked = linked.join(linked.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("digest", "component_id")
+    return sketch.join(lone.unionByName(linked), "digest", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id")) \
         .withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
