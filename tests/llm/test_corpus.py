@@ -453,7 +453,7 @@ def test_rare_lists_hold_every_linked_pair(spark):
     rng = np.random.default_rng(12)
     base = list(range(100))
     sets = []
-    for i in range(80):
+    for i in range(160):
         own = set(base[: rng.integers(60, 101)]) - set(rng.integers(0, 100, rng.integers(0, 16)).tolist())
         sets.append(sorted(own | {1000 + 100 * i + j for j in range(rng.integers(0, 20))}))
     rows = [(int(i % 2), i, int(rng.integers(0, 40)) * 2 + i % 2, s) for i, s in enumerate(sets)]
