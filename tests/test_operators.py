@@ -84,6 +84,24 @@ def test_rolling_percentiles_across_chunks(spark):
         assert got[i] == window[round(0.95 * (len(window) - 1))]
 
 
+def test_rolling_percentiles_of_long_frames_and_odd_values(spark):
+    rng = random.Random(6)
+    odd = [None, float("nan"), float("inf"), -1.5, 0.0, 2.0, 2.0]
+    values = [rng.choice(odd) for _ in range(120)]
+    rows = [("s", i, v) for i, v in enumerate(values)] + [("none", i, None) for i in range(3)]
+    df = spark.createDataFrame(rows, "k string, i long, v double")
+    for last, chunk in ((30, 7), (1, 50), (500, 40)):  # a frame longer than the chunk, of one row, of everything
+        got = {(r["k"], r["i"]): r for r in rolling.rolling_percentiles(df, "k", ["i"], "v", last=last, chunk=chunk).collect()}
+        assert len(got) == len(rows)
+        for i in range(120):
+            window = sorted((v for v in values[max(0, i - last + 1):i + 1] if v is not None), key=lambda v: (v != v, v))
+            for name, p in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)):
+                want = window[round(p * (len(window) - 1))] if window else None
+                assert got["s", i][name] == want or want != want and got["s", i][name] != got["s", i][name]
+        assert all(got["none", i]["p50"] is None and got["none", i]["slo_ok"] is None for i in range(3))
+    assert rolling.rolling_percentiles(df.limit(0), "k", ["i"], "v").count() == 0
+
+
 def test_salted_and_broadcast_joins_agree(spark):
     big = spark.range(2000).withColumn("k", F.when(F.col("id") % 3 < 2, 0).otherwise(F.col("id") % 50))
     small = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))

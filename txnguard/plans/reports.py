@@ -158,7 +158,7 @@ def d19(spark, d) -> DataFrame:
   arr[1 + round_even(0.99 * (len(arr) - 1), 0)::INT] AS p99, arr[1 + round_even(0.95 * (len(arr) - 1), 0)::INT] < 100 AS slo_ok
   FROM (SELECT event_id, list_sort(list(scoring_latency_ms) OVER (PARTITION BY mcc ORDER BY scored_at_ms, event_id::BIGINT ROWS BETWEEN 499 PRECEDING AND CURRENT ROW)) AS arr FROM sc)""", "sc"))
 def e8(spark, d) -> DataFrame:
-    s = fx.scored(spark, d).withColumn("seq", F.col("event_id").cast("long"))
+    s = fx.scored(spark, d).select("event_id", "mcc", "scored_at_ms", "scoring_latency_ms", F.col("event_id").cast("long").alias("seq"))
     return rolling.rolling_percentiles(s, "mcc", ["scored_at_ms", "seq"], "scoring_latency_ms", 500).select("event_id", "p50", "p95", "p99", "slo_ok")
 
 
