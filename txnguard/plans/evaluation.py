@@ -331,7 +331,31 @@ def g10(spark, d) -> DataFrame:
     return what_if(spark, d, alone=False)
 
 
-@query("g10_each_fix_alone")
+# The scored features as the live service makes them from the same rows, and the columns that each fix alone replaces.
+_LIVE_SCORED = {"log_amount": "CAST(CAST(ln(1 + b.TransactionAmt) AS FLOAT) AS DOUBLE)", "is_night": "out.is_night",
+                "is_high_amount": f"CASE WHEN b.TransactionAmt > {K.HIGH_AMOUNT} THEN 1 ELSE 0 END",
+                "p_email_missing": "CASE WHEN coalesce(lower(trim(b.P_emaildomain)), 'nan') IN ('', 'nan', 'missing', 'anonymous.com') THEN 1 ELSE 0 END",
+                "email_mismatch": "0", "addr2": "coalesce(b.addr2, 0)"}
+_FIX_COLUMNS = {"card1": ["card1"], "dist1": ["dist1"], "email": ["email_mismatch", "R_emaildomain_freq"], "p_missing": ["p_email_missing"],
+                "addr2": ["addr2"], "high_amount": ["is_high_amount"], "freq_tables": [], "cents": ["log_amount"], "never_seen": ["M4_freq"]}
+
+
+def _one_fix(columns: list[str]) -> str:
+    cols = ", ".join(f"{'out' if f in columns else 'lv'}.{f}" for f in _WHATIF)
+    return f"(SELECT lv.event_id, {cols} FROM lv JOIN out ON out.event_id = lv.event_id)"
+
+
+_LV = ("lv AS MATERIALIZED (SELECT out.event_id, " + ", ".join(f"{_LIVE_SCORED.get(f, '-999')} AS {f}" for f in _WHATIF)
+       + " FROM rawt b JOIN out ON out.event_id = b.TransactionID::VARCHAR)")
+_WF_ALONE = ("wf AS MATERIALIZED (SELECT s.*, r.isFraud AS label FROM (" + " UNION ALL ".join(
+    [_wf("out", "all_code_fixes", "event_id"), _wf("rich", "richer_event", "event_id"), _wf("tr", "offline", "TransactionID"), _wf("lv", "live_today", "event_id")]
+    + [_wf(_one_fix(columns), f"fix:{fix}", "event_id") for fix, columns in _FIX_COLUMNS.items()])
+    + ") s JOIN rawt r ON r.TransactionID::VARCHAR = s.event_id)")
+
+
+@query("g10_each_fix_alone", oracle(f"""{_LIVE_RAW.rsplit('SELECT *, round(', 1)[0].replace("out AS (", "out AS MATERIALIZED (", 1)}, rich AS ({_RICH}), tr AS ({training_sql()}), {_LV}, {_WF_ALONE}
+  SELECT scenario, roc_auc, pr_auc, roc_auc - (SELECT roc_auc FROM ({_auc("(SELECT * FROM wf WHERE scenario = 'live_today')")})) AS auc_change, tp, fp, recall, fpr
+  FROM ({_auc('wf', 'score', 'scenario')}) JOIN ({_conf('wf', '0.5', 'score', 'scenario')}) USING (scenario)""", "rawt"), "roc_auc pr_auc auc_change recall fpr", digits=5)
 def g10_alone(spark, d) -> DataFrame:
     return what_if(spark, d, alone=True)
 
