@@ -387,13 +387,58 @@ def test_split_join_covers_hot_and_cold_keys(spark):
     assert got.count() == 1000 and got.where("v <> 2 * k").count() == 0
 
 
-def test_rule_hits_equal_the_full_rules(spark, sf):
+def test_rules_equal_lists_then_velocity(spark, sf):
     from txnguard.plans.rules import WINDOWS
     tx, entries = fx.transactions(spark, sf), fx.list_entries(spark, sf)
-    cols = ["event_id", "blocklist_tier", "blocklist_reason", "velocity_hit", "velocity_window", "velocity_reason"]
-    a = scoring.rules(tx, entries, WINDOWS, fx.DAY_MS).select(*cols)
-    b = scoring.rule_hits(tx, entries, WINDOWS, fx.DAY_MS).select(*cols)
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    counts = ["n_1min", "n_10min", "n_60min", "matched_entity_type", "matched_entity_id"]
+    cols = ["event_id", "blocklist_hit", "blocklist_tier", "blocklist_reason", "velocity_hit", "velocity_window", "velocity_reason"]
+    plain = velocity.check(lists.check(tx, entries), WINDOWS, ~F.col("blocklist_hit"), fx.DAY_MS)
+    whole, brief = scoring.rules(tx, entries, WINDOWS, fx.DAY_MS), scoring.rule_hits(tx, entries, WINDOWS, fx.DAY_MS)
+    assert sorted(map(tuple, whole.select(*cols, *counts).collect())) == sorted(map(tuple, plain.select(*cols, *counts).collect()))
+    assert sorted(map(tuple, brief.select(*cols).collect())) == sorted(map(tuple, plain.select(*cols).collect()))
+
+
+def test_rules_scan_events_twice_and_shuffle_seldom(spark, sf, tmp_path, monkeypatch):
+    stored, listed = str(tmp_path / "events"), str(tmp_path / "lists")
+    fx.transactions(spark, sf).write.parquet(stored)
+    fx.list_entries(spark, sf).write.parquet(listed)
+    events, entries = spark.read.parquet(stored), spark.read.parquet(listed)
+    plans = []
+    store = scoring.materialize
+    monkeypatch.setattr(scoring, "materialize", lambda df, label: plans.append(plan_of(df)) or store(df, label))
+    for run in (scoring.rules, scoring.rule_hits):
+        plans.clear()
+        plans.append(plan_of(run(events, entries)))
+        assert sum(p.count("Exchange hashpartitioning") for p in plans) <= 8
+        assert sum(line.count(stored) for p in plans for line in p.splitlines() if "FileScan" in line) == 2
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repeated_and_cardless_events_in_rules(spark):
+    e = events(spark, [event(1, ms=0), event(1, ms=10 * HOUR), event(2, ms=10 * HOUR + 1), event(3, ms=5, card_token=""),
+                       event(4, ms=5, card_token=None), event(5, ms=10 * HOUR + 2, ip_address_hash="bad")])
+    listed = spark.createDataFrame([entry("block", "ip", "bad", end=10**9)], schemas.LIST_ENTRY)
+    old = events(spark, [event(7, ms=10 * HOUR - 1), event(8, ms=9 * HOUR - 1)])
+    got = {(r["event_id"], r["event_timestamp_ms"]): (r["n_60min"], r["blocklist_hit"]) for r in scoring.rules(e, listed, history=old).collect()}
+    assert got == {("1", 0): (0, False), ("1", 10 * HOUR): (2, False), ("2", 10 * HOUR + 1): (3, False), ("3", 5): (0, False),
+                   ("4", 5): (0, False), ("5", 10 * HOUR + 2): (0, True)}
+    none = scoring.rule_hits(e.limit(0), listed.limit(0))
+    assert none.count() == 0 and "velocity_hit" in none.columns
+
+
+def test_near_totals_equal_trailing_totals(spark):
+    import random
+    from txnguard.operators import timeline
+    rng = random.Random(3)
+    at = [("hot", rng.randrange(-40_000, 40_000), rng.randrange(9)) for _ in range(1500)] + [(f"k{i % 40}", rng.randrange(90_000), 1) for i in range(300)]
+    df = spark.createDataFrame(at, "k string, ms long, x long")
+    args = (df, "k", "ms", {"n": F.lit(1), "x": F.col("x")}, {"a": (0, 0), "b": (999, 0), "c": (9_000, 1)})
+    want = sorted(map(tuple, timeline.trailing_totals(*args, 1000).collect()))
+    for block in (1, 1000, 50_000):
+        assert sorted(map(tuple, timeline.near_totals(*args, block).collect())) == want
 
 
 def test_text_of_any_script_is_scored(spark):

@@ -32,10 +32,17 @@ def verdicts(events: DataFrame, entries: DataFrame, at: str = "event_timestamp_m
     seen = entities(events, ["event_id", at])
     met = lookup_join(seen, entries, ["entity_type", "entity_id"], "inner", spread_by=["event_id"])
     met = met.where((F.col("added_at_ms") <= F.col(at)) & (F.col(at) < F.col("expires_at_ms")))
+    return told(met.groupBy("event_id").agg(F.min(speaks()).alias("_v")))
+
+
+def speaks() -> Column:
+    """The order in which valid entries speak for an event: the least wins."""
     rank = F.when(F.col("list") == "white", 0).when(F.col("list") == "block", 1).otherwise(2)
-    best = met.groupBy("event_id").agg(F.min(F.struct(
-        rank.alias("rank"), "ord", (-F.col("added_at_ms")).alias("newest"),
-        "entity_type", "entity_id", "reason")).alias("_v"))
+    return F.struct(rank.alias("rank"), "ord", (-F.col("added_at_ms")).alias("newest"), "entity_type", "entity_id", "reason")
+
+
+def told(best: DataFrame) -> DataFrame:
+    """event_id and verdict of the winning entries ``_v``."""
     short = F.concat(F.col("_v.entity_type"), F.lit("="), F.substring("_v.entity_id", 1, 12))
     tier = F.when(F.col("_v.rank") == 1, "BLOCK").when(F.col("_v.rank") == 2, "HOT").otherwise("NONE")
     reason = (F.when(F.col("_v.rank") == 0, F.concat(F.lit("whitelist:"), short))
@@ -43,7 +50,7 @@ def verdicts(events: DataFrame, entries: DataFrame, at: str = "event_timestamp_m
               .otherwise(F.coalesce("_v.reason", F.concat(short, F.lit(" on hot-list")))))
     hit = F.col("_v.rank") > 0
     return best.select(
-        "event_id", hit.alias("blocklist_hit"), tier.alias("blocklist_tier"), reason.alias("blocklist_reason"),
+        *[c for c in best.columns if c != "_v"], hit.alias("blocklist_hit"), tier.alias("blocklist_tier"), reason.alias("blocklist_reason"),
         F.when(hit, F.col("_v.entity_type")).otherwise("").alias("matched_entity_type"),
         F.when(hit, F.col("_v.entity_id")).otherwise("").alias("matched_entity_id"))
 

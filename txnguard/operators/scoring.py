@@ -11,7 +11,7 @@ from txnguard import constants as K
 from txnguard.durable import materialize
 from txnguard.functions import scalars as X
 from txnguard.operators import features, lists, velocity
-from txnguard.operators.joins import split_join
+from txnguard.operators.joins import lookup_join, split_join
 from txnguard.operators.timeline import HOUR_MS
 from txnguard.schemas import SCORED
 
@@ -45,31 +45,63 @@ def completeness() -> Column:
     return F.round(known / F.lit(len(K.FEATURES)), 4)
 
 
+def _judged(events: DataFrame, entries: DataFrame, history: DataFrame | None, list_at: str) -> DataFrame:
+    """One stored narrow row per event: its list verdict (NULL without one) and the latest card and time it counts at.
+
+    Lists meet the events before the one shuffle by id: an event's entities are folded again where they were exploded.
+    Deliveries of one id are one event, on the card of the latest that has one.
+    """
+    t, card = F.col("event_timestamp_ms"), F.col("card_token")
+    pairs = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(kind).alias("entity_type"), F.col(c).alias("entity_id"))
+                      for i, (kind, c) in enumerate(K.ENTITY_COLUMNS)])
+    named = F.filter(pairs, lambda e: e.entity_id.isNotNull() & (e.entity_id != ""))
+    at = F.struct(t.alias("at"), F.when(card != "", card).alias("card"))
+    seen = events.select("event_id", F.col(list_at).alias("_listed_at"), at.alias("_last"), F.explode_outer(named).alias("_e")).select(
+        "event_id", "_listed_at", "_last", "_e.*")
+    met = lookup_join(seen, entries, ["entity_type", "entity_id"], "left", spread_by=["event_id"])
+    valid = (F.col("added_at_ms") <= F.col("_listed_at")) & (F.col("_listed_at") < F.col("expires_at_ms"))
+    rows = met.select("event_id", "_last", F.when(valid, lists.speaks()).alias("_v"), F.lit(True).alias("own"))
+    if history is not None:
+        rows = rows.unionByName(history.select("event_id", at.alias("_last"), F.lit(False).alias("own")), allowMissingColumns=True)
+    with_card = F.max(F.when(F.col("_last.card").isNotNull(), F.col("_last")))
+    once = rows.groupBy("event_id").agg(F.min("_v").alias("_v"), F.bool_or("own").alias("own"),
+                                        F.coalesce(with_card, F.max("_last")).alias("_last"))
+    return materialize(lists.told(once.select("event_id", "_v", "own", F.col("_last.card").alias("card_token"),
+                                              F.col("_last.at").alias("event_timestamp_ms"))), "judged")
+
+
 def rules(events: DataFrame, entries: DataFrame, windows=K.VELOCITY_WINDOWS, block_ms: int = HOUR_MS,
-          history: DataFrame | None = None) -> DataFrame:
-    """List verdict as of event time, then velocity over the events no list caught."""
-    listed = lists.check(events, entries)
-    return velocity.check(listed, windows, ~F.col("blocklist_hit"), block_ms, history)
+          history: DataFrame | None = None, list_at: str = "event_timestamp_ms", hits_only: bool = False) -> DataFrame:
+    """List verdict as of event time, then velocity over the events no list caught.
+
+    Lists and velocity run on stored narrow rows; the wide events are shuffled once, to meet their verdicts (with
+    ``hits_only`` just those that caught something, and no counts). Only an event's latest delivery is counted and judged by velocity.
+    """
+    judged = _judged(events, entries, history, list_at)
+    free = ~F.coalesce("blocklist_hit", F.lit(False))
+    counted = judged.where(free & F.col("card_token").isNotNull())
+    found = velocity.counts_of(counted, windows, block_ms).withColumns(velocity.verdict(windows))
+    if hits_only:
+        found = found.where("velocity_hit")
+    counts = [] if hits_only else [f"n_{label}" for label, _, _ in windows]
+    told = ["velocity_hit", "velocity_window", "velocity_reason"]
+    met = judged.where("own").join(found.select("card_token", "event_timestamp_ms", *counts, *told), ["card_token", "event_timestamp_ms"], "left")
+    if hits_only:
+        met = met.where(F.col("blocklist_hit").isNotNull() | F.col("velocity_hit"))
+    met = met.withColumnRenamed("event_timestamp_ms", "_at").drop("own", "card_token")
+    here = free & F.coalesce(F.col("_at") == F.col("event_timestamp_ms"), F.lit(False))
+    absent = {"blocklist_hit": F.lit(False), "blocklist_tier": F.lit("NONE"), "blocklist_reason": F.lit(""),
+              "matched_entity_type": F.lit(""), "matched_entity_id": F.lit("")}
+    judged_by = {c: F.lit(0).cast("long") for c in counts} | dict(zip(told, (F.lit(False), F.lit(""), F.lit(""))))
+    return events.join(met, "event_id", "left").select(
+        *events.columns, *[F.coalesce(F.col(c), other).alias(c) for c, other in absent.items()],
+        *[F.coalesce(F.when(here, F.col(c)), other).alias(c) for c, other in judged_by.items()])
 
 
 def rule_hits(events: DataFrame, entries: DataFrame, windows=K.VELOCITY_WINDOWS, block_ms: int = HOUR_MS,
               history: DataFrame | None = None, list_at: str = "event_timestamp_ms") -> DataFrame:
-    """The same verdicts from narrow rows: only ids and entities are shuffled, and the
-    wide events meet nothing but the hits, which AQE broadcasts while they are few."""
-    listed = lists.verdicts(events, entries, list_at)
-    caught = listed.where("blocklist_hit").select("event_id")
-    free = events.select("event_id", "card_token", "event_timestamp_ms").join(caught, "event_id", "left_anti")
-    fast = velocity.hits(free, windows, block_ms, history)
-    d = events.join(listed, "event_id", "left").join(fast, "event_id", "left")
-    hit = F.coalesce(F.col("velocity_at") == F.col("event_timestamp_ms"), F.lit(False))
-    return d.withColumns({
-        "blocklist_hit": F.coalesce("blocklist_hit", F.lit(False)),
-        "blocklist_tier": F.coalesce("blocklist_tier", F.lit("NONE")),
-        "blocklist_reason": F.coalesce("blocklist_reason", F.lit("")),
-        "velocity_hit": hit,
-        "velocity_window": F.when(hit, F.col("velocity_window")).otherwise(""),
-        "velocity_reason": F.when(hit, F.col("velocity_reason")).otherwise(""),
-    }).select(*events.columns, "blocklist_hit", "blocklist_tier", "blocklist_reason", "velocity_hit", "velocity_window", "velocity_reason")
+    """The same verdicts without counts: the wide events meet nothing but the hits, which AQE broadcasts while they are few."""
+    return rules(events, entries, windows, block_ms, history, list_at, hits_only=True).drop("matched_entity_type", "matched_entity_id")
 
 
 def fast_path(events: DataFrame, entries: DataFrame, model: Scorecard | Callable[[DataFrame], DataFrame],

@@ -57,6 +57,37 @@ def trailing_totals(df: DataFrame, key: str, ms: str, values: dict[str, Column],
           for v in values for label, (back, upto) in windows.items()])
 
 
+def near_totals(df: DataFrame, key: str, ms: str, values: dict[str, Column],
+                windows: dict[str, tuple[int, int]], block_ms: int = HOUR_MS) -> DataFrame:
+    """The totals of ``trailing_totals`` for windows of about a block, in two shuffles.
+
+    A row is copied to the later blocks whose windows reach back to it, so each block holds all that its own rows need:
+    nothing is carried from block to block, and a row's window edges stay in its block. A block is at least a quarter of
+    the longest window, which bounds the copies of a (key, millisecond) at six.
+    """
+    longest = max(back for back, _ in windows.values())
+    size = F.lit(max(block_ms, -(-longest // 4)))
+    points = _points(df, key, ms, values).where(F.col("_t").isNotNull())
+    home = F.floor(F.col("_t") / size)
+    edges = sorted({0} | {upto for _, upto in windows.values()} | {back + 1 for back, _ in windows.values()})
+    # the row itself in every block that needs it, and its window edges in its own
+    copies = F.transform(F.sequence(home, F.floor((F.col("_t") + longest) / size)), lambda b: F.struct(
+        b.alias("block"), F.lit(0).cast("long").alias("edge"), F.col("_t").alias("at")))
+    lanes = F.array(*[F.struct(home.alias("block"), F.lit(e).cast("long").alias("edge"), (F.col("_t") - e).alias("at"))
+                      for e in edges if e])
+    walk = points.select("_key", "_t", *values, home.alias("_home"), F.explode(F.concat(copies, lanes)).alias("_p")).select(
+        "_key", "_t", "_home", F.col("_p.block").alias("_block"), F.col("_p.edge").alias("_edge"), F.col("_p.at").alias("_at"),
+        *[F.when(F.col("_p.edge") == 0, F.col(v)).otherwise(F.lit(0)).alias(v) for v in values])
+    inside = Window.partitionBy("_key", "_block").orderBy("_at")  # range frame: ties count together
+    rows = walk.withColumns({f"_in_{v}": F.sum(v).over(inside) for v in values}).where("_block = _home")
+    folded = rows.groupBy("_key", "_block", "_t").agg(*[
+        F.max(F.when(F.col("_edge") == e, F.col(f"_in_{v}"))).alias(f"_{v}_{e}") for v in values for e in edges])
+    return folded.select(
+        F.col("_key").alias(key), F.col("_t").alias(ms),
+        *[(F.col(f"_{v}_{upto}") - F.col(f"_{v}_{back + 1}")).alias(f"{v}_{label}")
+          for v in values for label, (back, upto) in windows.items()])
+
+
 def totals_before(df: DataFrame, key: str, ms: str, values: dict[str, Column],
                   block_ms: int = HOUR_MS) -> DataFrame:
     """Totals of everything strictly earlier on the key (``before_<v>``) and the

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from txnguard import constants as K
-from txnguard.operators.timeline import HOUR_MS, trailing_totals
+from txnguard.operators.timeline import HOUR_MS, near_totals
 
 
 def _edges(windows) -> dict[str, tuple[int, int]]:
@@ -33,7 +33,12 @@ def _once(events: DataFrame) -> DataFrame:
 
 def counts(events: DataFrame, windows=K.VELOCITY_WINDOWS, block_ms: int = HOUR_MS) -> DataFrame:
     """``n_<label>`` for each distinct (card, ms)."""
-    return trailing_totals(_once(events), "card_token", "event_timestamp_ms", {"n": F.lit(1)}, _edges(windows), block_ms)
+    return counts_of(_once(events), windows, block_ms)
+
+
+def counts_of(once: DataFrame, windows=K.VELOCITY_WINDOWS, block_ms: int = HOUR_MS) -> DataFrame:
+    """The same for events that are folded already: one row each, with a card."""
+    return near_totals(once, "card_token", "event_timestamp_ms", {"n": F.lit(1)}, _edges(windows), block_ms)
 
 
 def check(events: DataFrame, windows=K.VELOCITY_WINDOWS, recorded: Column | None = None,
@@ -58,16 +63,6 @@ def check(events: DataFrame, windows=K.VELOCITY_WINDOWS, recorded: Column | None
     return judged.withColumns(zero).withColumns(verdict(windows))
 
 
-def hits(events: DataFrame, windows=K.VELOCITY_WINDOWS, block_ms: int = HOUR_MS,
-         history: DataFrame | None = None) -> DataFrame:
-    """Only the events that hit: event_id, velocity_at, velocity_window, velocity_reason."""
-    cols = ["event_id", "card_token", "event_timestamp_ms"]
-    counted = events.select(*cols) if history is None else events.select(*cols).unionByName(history.select(*cols))
-    found = counts(counted, windows, block_ms).withColumns(verdict(windows)).where("velocity_hit")
-    return _once(events).join(found, ["card_token", "event_timestamp_ms"]).select(
-        "event_id", F.col("event_timestamp_ms").alias("velocity_at"), "velocity_window", "velocity_reason")
-
-
 def current_counts(events: DataFrame, as_of: Column, windows=K.VELOCITY_WINDOWS) -> DataFrame:
     """Read-only counts per card at ``as_of``."""
     edges = _edges(windows)
