@@ -92,6 +92,29 @@ def test_rare_languages_keep_their_trees(spark):
     assert 60 <= lang_ppm._sample(copies, "text", "lang", 100).count() <= 140
 
 
+def test_language_model_and_bounds_come_from_all_rows(spark, monkeypatch):
+    """Each row has a gram of its own and each kind of row its own code length: a sample would miss some."""
+    monkeypatch.setattr(lang_ppm, "HELD", 500)  # tasks pass their counts on many times
+    rng = np.random.default_rng(8)
+    rows = [(i, "en", f"row {chr(0x4e00 + i)} " + "".join(rng.choice(list("abcde"), 3 + i % 40))) for i in range(4000)] + [(4000, None, "not \u9fff"), (4001, "en", "1")]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(3)
+    tree = lang_ppm.fit(df).trees[0]
+    want = {}
+    for _, _, text in rows[:4000]:
+        for key in lang_ppm.grams(np.frombuffer(text.encode(), np.uint8), 3).tolist():
+            want[key] = want.get(key, 0) + 1
+    assert tree.grams[3].tolist() == sorted(want)
+    seen = np.array([want[k] for k in sorted(want)])
+    context, of = np.unique(tree.grams[3] >> np.uint32(8), return_inverse=True)
+    assert np.allclose(tree.costs[3], -np.log2(seen / (np.bincount(of, seen) + np.bincount(of))[of]))
+
+    half = F.pmod(F.xxhash64("text", F.lit(1)), F.lit(2))
+    model, judge = lang_ppm.fit(df.where(half == 0)), df.where((half == 1) & (F.col("lang") == "en") & F.col("text").rlike("[a-z]"))
+    bits = lambda text: [r["bits_per_byte"] for r in lang_ppm.predict(judge.withColumn("text", text), model).collect()]
+    high = [min(8.0, 1.5 * np.percentile(bits(t), 99)) for t in (F.col("text"), F.substring("text", 1, lang_ppm.HEAD))]
+    assert np.allclose(lang_ppm.bounds(df)["en"], high)
+
+
 def test_language_of_held_out_rows(docs):
     out = lang_ppm.report(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out AND lang IS NOT NULL").toPandas()
     assert len(out) > 30

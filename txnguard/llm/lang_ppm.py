@@ -6,9 +6,9 @@ longer context that is known but has not seen it adds the price of an escape (me
 the empty context each of the 256 byte values costs the same. The statistics are frozen after the fit, so a text's code length in each
 language is exact, and the shortest wins. The score is the winner's posterior under equal priors.
 
-Fit: at most about ``train_docs`` rows of each language (chosen by a hash of id and text) give the counts, which Spark sums for
-each order; a language's tree keeps its ``max_nodes`` most frequent entries of each order, whatever other languages hold.
-Those parameters bound the model that is broadcast, language by language. Scoring covers every byte of every text, in pieces of bounded size.
+Fit: every row with a language and a letter gives counts, which tasks fold by numpy and Spark sums for each order (with ``train_docs`` only
+about so many rows of each language, chosen by a hash of id and text); a language's tree keeps its ``max_nodes`` most frequent entries of each order, whatever other languages hold, which
+bounds the model that is broadcast. Scoring covers every byte of every text, in pieces of bounded size.
 
 Null texts and texts without a letter get ``und`` and score 0, as does every text when there is nothing to learn from. Rows
 without a language or without text teach nothing. Ties go to the alphabetically first language; repeated rows give equal
@@ -21,13 +21,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from txnguard.llm.common import fresh
+from txnguard.operators.prefix import exact_quantiles
 
 ORDER = 3
 UNKNOWN = "und"
 PIECE = 1 << 19  # bytes scored at a time
+HELD = 1 << 20  # counts of a language that a task holds
 #: Fixed values of the bounds: bits of a byte without a model, bytes below which a text is short, characters of a short
 #: piece, and how far above the 99th of 100 training rows a text may lie.
 RAW, SHORT, HEAD, MARGIN = 8.0, 64, 24, 1.5
@@ -57,20 +60,48 @@ def grams(data: np.ndarray, order: int) -> np.ndarray:
     return key
 
 
+def pieces(data: np.ndarray, starts: np.ndarray):
+    """(first byte, last, keys of the grams of ``ORDER``) of runs of at most ``PIECE`` bytes; no key sees the text before its own."""
+    heads = [starts[:-1][np.diff(starts) > back] + back for back in range(ORDER)]  # first bytes, which must not see the text before
+    for at in range(0, len(data), PIECE):
+        stop, lead = min(at + PIECE, len(data)), min(at, ORDER)
+        key = grams(data[at - lead:stop], ORDER)[lead:]
+        for back, places in enumerate(heads):
+            here = places[(places >= at) & (places < stop)]
+            piece = np.full((len(here), ORDER + 1), 10, np.uint32)
+            for i in range(back + 1):
+                piece[:, ORDER - i] = data[here - i]
+            key[here - at] = (piece << np.array([24, 16, 8, 0], np.uint32)).sum(1, dtype=np.uint32)
+        yield at, stop, key
+
+
+def _folded(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, of = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(of, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
+
+
 def _counts(rows):
+    """Counts of each language's longest grams; a task holds at most about ``HELD`` of a language before it passes them on."""
+    def out(lang, keys, n):
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(keys)), pa.array(keys.astype(np.int64)), pa.array(n)], ["lang", "key", "n"])
+
+    held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
     for batch in rows:
-        got: dict[str, dict[int, int]] = {}
-        for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
-            keys, n = np.unique(grams(np.frombuffer(text.encode(), np.uint8), ORDER), return_counts=True)
-            own = got.setdefault(lang, {})
-            for k, c in zip(keys.tolist(), n.tolist()):
-                own[k] = own.get(k, 0) + c
-        for lang, own in got.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own)), pa.array(list(own), pa.int64()), pa.array(list(own.values()), pa.int64())],
-                                             ["lang", "key", "n"])
-
-
-def fit(rows: DataFrame, text: str = "text", lang: str = "lang", train_docs: int = 1500, max_nodes: int = 400_000) -> Model:
+        langs = batch.column("lang")
+        for lang in langs.unique().to_pylist():
+            own = held.setdefault(lang, [])
+            for _, _, key in pieces(*_buffers(batch.column("text").filter(pc.equal(langs, lang)))):
+                own.append(np.unique(key, return_counts=True))
+                if sum(len(k) for k, _ in own) > 2 * HELD:
+                    own[:] = [_folded(own)]
+                    if len(own[0][0]) > HELD:
+                        yield out(lang, *own.pop())
+    for lang, own in held.items():
+        if own:
+            yield out(lang, *_folded(own))
+
+
+def fit(rows: DataFrame, text: str = "text", lang: str = "lang", train_docs: int | None = None, max_nodes: int = 400_000) -> Model:
     """Learn from the rows of ``rows`` that have a language and a letter in their text."""
     sample = _sample(rows, text, lang, train_docs)
     if sample is None:
@@ -80,12 +111,15 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", train_docs: int
     orders = F.explode(F.array(*[F.struct(F.lit(k).alias("order"), F.col("key").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("key")) for k in range(ORDER + 1)]))
     most = Window.partitionBy("lang", "order").orderBy(F.desc("n"), "key")
     counted = longest.select("lang", "n", orders.alias("g")).groupBy("lang", "g.order", "g.key").agg(F.sum("n").alias("n")) \
-        .withColumn("at", F.row_number().over(most)).where(F.col("at") <= max_nodes).select("lang", "order", "key", "n").toPandas()
+        .withColumn("at", F.row_number().over(most)).where(F.col("at") <= max_nodes).select("lang", "order", "key", "n").toArrow().to_pandas(categories=["lang"])
     return build(counted, sorted(counted["lang"].unique()))
 
 
-def _sample(rows: DataFrame, text: str, lang: str, train_docs: int) -> DataFrame | None:
-    """(text, lang) of about ``train_docs`` rows of each language; None if no row has a language."""
+def _sample(rows: DataFrame, text: str, lang: str, train_docs: int | None) -> DataFrame | None:
+    """(text, lang) of the rows to learn from, about ``train_docs`` of each language if given; None if no row has a language."""
+    if train_docs is None:
+        rows = rows.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
+        return rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     own = [F.col("doc_id")] if "doc_id" in rows.columns else []
     rows = rows.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"), F.xxhash64(*own, F.col(f"`{text}`")).alias("hash")).where("lang IS NOT NULL AND text IS NOT NULL")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -96,7 +130,7 @@ def _sample(rows: DataFrame, text: str, lang: str, train_docs: int) -> DataFrame
     return rows.where(drawn).where(F.col("text").rlike(r"\p{L}")).select("text", "lang")
 
 
-def bounds(rows: DataFrame, text: str = "text", lang: str = "lang", train_docs: int = 1500) -> dict[str, tuple[float, float]]:
+def bounds(rows: DataFrame, text: str = "text", lang: str = "lang", train_docs: int | None = None) -> dict[str, tuple[float, float]]:
     """Per language, the most bits a byte of a text that fits, and of a short one: ``MARGIN`` times the 99th of 100
     training rows, and of their first ``HEAD`` characters, and at most ``RAW``. A model of one half of the rows judges the
     other half, as rows that were learned from cost less than new ones; copies share a half. Languages that are
@@ -106,13 +140,13 @@ def bounds(rows: DataFrame, text: str = "text", lang: str = "lang", train_docs:
     sample = _sample(rows.where(half == 1), text, lang, train_docs)
     if not model.languages or sample is None:
         return {}
-    pieces = sample.select("lang", F.explode(F.array(F.struct(F.col("text").alias("piece"), F.lit(False).alias("short")),
+    parts = sample.select("lang", F.explode(F.array(F.struct(F.col("text").alias("piece"), F.lit(False).alias("short")),
                                                      F.struct(F.substring("text", 1, HEAD).alias("piece"), F.lit(True).alias("short")))).alias("p")) \
         .select("lang", "p.piece", "p.short")
-    judged = predict(pieces, model, "piece").where("lang = lang_pred")
+    judged = predict(parts, model, "piece").where("lang = lang_pred")
     out: dict[str, list[float]] = {}
-    for r in judged.groupBy("lang", "short").agg(F.percentile("bits_per_byte", F.lit(0.99)).alias("high")).collect():
-        out.setdefault(r["lang"], [RAW, RAW])[r["short"]] = min(RAW, MARGIN * r["high"])
+    for r in exact_quantiles(judged, "bits_per_byte", [0.99], ["lang", "short"]).collect():
+        out.setdefault(r["lang"], [RAW, RAW])[r["short"]] = min(RAW, MARGIN * r["q0"])
     return {k: (v[0], v[1]) for k, v in out.items()}
 
 
@@ -126,7 +160,7 @@ def fits(text: str, limits: dict[str, tuple[float, float]]) -> Column:
 
 def build(counted, languages: list[str]) -> Model:
     """Costs from the counts (lang, order, key, n) of the grams of every order."""
-    parts = {k: v.sort_values("key") for k, v in counted.groupby(["lang", "order"])}
+    parts = {k: v.sort_values("key") for k, v in counted.groupby(["lang", "order"], observed=True)}
     model = Model(languages, [])
     for lang in languages:
         tree = Tree([], [], [], [])
@@ -163,16 +197,7 @@ def _lookup(tree: Tree, keys: np.ndarray, order: int) -> np.ndarray:
 def code_lengths(model: Model, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Bits of each text in each language; ``data`` holds the texts' bytes, ``starts`` their offsets and the end."""
     out = np.zeros((len(starts) - 1, len(model.languages)))
-    heads = [starts[:-1][np.diff(starts) > back] + back for back in range(ORDER)]  # first bytes, which must not see the text before
-    for at in range(0, len(data), PIECE):
-        stop, lead = min(at + PIECE, len(data)), min(at, ORDER)
-        key = grams(data[at - lead:stop], ORDER)[lead:]
-        for back, places in enumerate(heads):
-            here = places[(places >= at) & (places < stop)]
-            piece = np.full((len(here), ORDER + 1), 10, np.uint32)
-            for i in range(back + 1):
-                piece[:, ORDER - i] = data[here - i]
-            key[here - at] = (piece << np.array([24, 16, 8, 0], np.uint32)).sum(1, dtype=np.uint32)
+    for at, stop, key in pieces(data, starts):
         found, place = np.unique(key, return_inverse=True)
         first, last = np.searchsorted(starts, at, "right") - 1, np.searchsorted(starts, stop, "left")
         cut = np.clip(starts[first:last + 1], at, stop) - at
