@@ -2,6 +2,7 @@
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -161,6 +162,33 @@ def test_a_hot_card_is_split_by_time(spark, sf, tmp_path, block_days):
     assert got.where("card_token = 'hot'").select("task").distinct().count() > 1
 
 
+def test_velocity_calls_python_by_lane_not_by_card(spark, tmp_path):
+    """2,000 cards in two lanes; small chunks are cut and folded."""
+    spark.conf.set(*stateful.ROCKSDB)
+    src, shape = str(tmp_path / "in"), "event_id string, card_token string, event_timestamp_ms long"
+    rng = np.random.default_rng(3)
+    data = [(str(i), f"card{i % 2000}", int(fx.START_MS + rng.integers(0, 30 * DAY))) for i in range(6000)] + [("no", "", fx.START_MS), ("none", None, fx.START_MS)]
+    tx = spark.createDataFrame(data, shape)
+    for lo in range(0, 30, 3):  # many micro-batches, hence many chunks of a block
+        day = F.floor((F.col("event_timestamp_ms") - fx.START_MS) / DAY)
+        tx.where((day >= lo) & (day < lo + 3)).coalesce(1).write.mode("append").parquet(src)
+    spark.createDataFrame([("end", "end", fx.START_MS + 150 * DAY)], shape).coalesce(1).write.mode("append").parquet(src)
+    windows = [("1min", 86_400, 2), ("10min", 10 * 86_400, 3), ("60min", 20 * 86_400, 3)]
+    events = S.read_files(spark, src, shape, max_files=1).withColumn("at", F.timestamp_millis("event_timestamp_ms")).withWatermark("at", "40 days")
+    out = stateful.velocity_stream(events, windows, 5 * DAY, lanes=2, chunk=100)
+    q = (out.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert q.exception() is None
+    keys = sum(p["numRowsTotal"] for p in q.lastProgress["stateOperators"])
+    held = max(sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in q.recentProgress)
+    assert held < 2000 and keys < 2000  # of 2,000 cards and up to ten blocks
+    got = spark.read.parquet(str(tmp_path / "out")).where("event_id <> 'end'")
+    cols = ["event_id", "velocity_hit", "velocity_window", "velocity_reason"]
+    want = velocity.check(tx, windows, block_ms=DAY)
+    assert rows(got, *cols) == rows(want, *cols) and want.select("velocity_window").distinct().count() > 2
+
+
 def test_score_cache_expires_from_first_scoring(spark, tmp_path):
     spark.conf.set(*stateful.ROCKSDB)
     schema = "event_id string, feature_hash string, event_timestamp_ms long, fraud_score double"
