@@ -550,6 +550,20 @@ def test_shapley_values_are_those_of_all_subsets():
                 assert abs(want - own[f]) < 1e-9
 
 
+def test_leaf_values_are_made_once_for_all_rows(monkeypatch):
+    """A leaf of few features is valued once, not once a batch; one of many by the rows' own sets, with the same result."""
+    from txnguard.operators import training as R
+    tree = {"prediction": np.array([0, 0, 1.5, -2.0, 0.5]), "leftChild": np.array([1, 3, -1, -1, -1]), "rightChild": np.array([2, 4, -1, -1, -1]),
+            "feature": np.array([0, 1, -1, -1, -1]), "threshold": np.array([0.1, -0.2, 0, 0, 0]), "cover": np.array([10.0, 6, 4, 1, 5])}
+    made, values = [], R.leaf_values
+    monkeypatch.setattr(R, "leaf_values", lambda leaf, met: made.append(1) or values(leaf, met))
+    parts, x = [R.leaves(tree)], np.random.default_rng(1).normal(size=(300, 3))
+    got = [R.tree_shapley([tree], parts, [0.5], x[i:i + 30])[1] for i in range(0, 300, 30)]
+    assert len(made) == 3
+    monkeypatch.setattr(R, "TABLE", 0)
+    assert np.allclose(np.concatenate(got), R.tree_shapley([tree], [R.leaves(tree)], [0.5], x)[1], rtol=0, atol=1e-12)
+
+
 def test_early_stop_rule():
     from txnguard.operators import training as R
     assert R.stopping([0.5, 0.6, 0.6, 0.6], 2) == (2, 4, True)
