@@ -564,6 +564,16 @@ def test_leaf_values_are_made_once_for_all_rows(monkeypatch):
     assert np.allclose(np.concatenate(got), R.tree_shapley([tree], [R.leaves(tree)], [0.5], x)[1], rtol=0, atol=1e-12)
 
 
+def test_what_if_makes_its_events_and_scores_once(spark, sf, monkeypatch):
+    """Thirteen scenarios read one stored table; only the offline one, made of raw rows, is joined to labels again."""
+    from txnguard.plans import evaluation as E
+    plans, store = {}, E.materialize
+    monkeypatch.setattr(E, "materialize", lambda df, label: plans.setdefault(label, plan_of(df)) and store(df, label))
+    got = E.what_if(spark, sf, alone=True)
+    assert got.count() == 13 and set(plans) == {"labelled", "scores", "ranked"}
+    assert plans["scores"].count("events.parquet") == 2 and "events.parquet" not in plans["ranked"] + plan_of(got)
+
+
 def test_early_stop_rule():
     from txnguard.operators import training as R
     assert R.stopping([0.5, 0.6, 0.6, 0.6], 2) == (2, 4, True)

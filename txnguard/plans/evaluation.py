@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from txnguard import constants as K, schemas
+from txnguard.durable import materialize
 from txnguard.operators import evaluate as V, features, merge, quality
 from txnguard.plans.featurize import corrected_sql, richer_events, training_sql
 from txnguard.plans.registry import query
@@ -297,19 +298,21 @@ def what_if(spark, d, alone: bool) -> DataFrame:
     """Every scenario's features scored by one model, then ranked against the labels."""
     raw = fx.raw_rows(spark, d)
     fitted, events = features.fit(raw), richer_events(spark, d)
-    labels = raw.selectExpr("cast(TransactionID AS string) AS event_id", "isFraud AS label", "TransactionAmt AS amount")
-    cases = {"all_code_fixes": features.corrected_features(events, fitted, features.FIXES),
-             "richer_event": features.corrected_features(events, fitted, features.FIXES, richer=True),
-             "offline": features.training_features(raw, fitted).withColumn("event_id", F.col("TransactionID").cast("string"))}
+    labels = raw.selectExpr("cast(TransactionID AS string) AS event_id", "isFraud AS label")
+    # stored once with their labels: every scenario reads them, and none is joined again
+    events = materialize(events.join(labels, "event_id"), "labelled")
+    keep = ("event_id", "label")
+    cases = {"all_code_fixes": features.corrected_features(events, fitted, features.FIXES, keep=keep),
+             "richer_event": features.corrected_features(events, fitted, features.FIXES, richer=True, keep=keep),
+             "offline": features.training_features(raw, fitted).withColumn("event_id", F.col("TransactionID").cast("string")).join(labels, "event_id")}
     if alone:
-        cases["live_today"] = features.corrected_features(events)
-        cases |= {f"fix:{f}": features.corrected_features(events, fitted, (f,)) for f in features.FIXES}
+        cases["live_today"] = features.corrected_features(events, keep=keep)
+        cases |= {f"fix:{f}": features.corrected_features(events, fitted, (f,), keep=keep) for f in features.FIXES}
     rows = None
     for name, x in cases.items():
-        one = _what_if_score(x).select("event_id", F.lit(name).alias("scenario"), "score")
+        one = _what_if_score(x).select(F.lit(name).alias("scenario"), "label", "score")
         rows = one if rows is None else rows.unionByName(one)
-    joined = rows.join(labels, "event_id")
-    rank = V.metrics(joined, ["scenario"])
+    rank = materialize(V.metrics(materialize(rows, "scores"), ["scenario"]), "ranked")  # ranking and confusion read the same scores
     base = rank.where(F.col("scenario") == ("live_today" if alone else "offline")).select("roc_auc").scalar()
     return rank.withColumn("auc_change", F.col("roc_auc") - base).select("scenario", "roc_auc", "pr_auc", "auc_change", "tp", "fp", "recall", "fpr")
 
