@@ -5,6 +5,7 @@ import math
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,7 +95,6 @@ def test_rare_languages_keep_their_trees(spark):
 
 def test_language_model_and_bounds_come_from_all_rows(spark, monkeypatch):
     """Each row has a gram of its own and each kind of row its own code length: a sample would miss some."""
-    monkeypatch.setattr(lang_ppm, "HELD", 500)  # tasks pass their counts on many times
     rng = np.random.default_rng(8)
     rows = [(i, "en", f"row {chr(0x4e00 + i)} " + "".join(rng.choice(list("abcde"), 3 + i % 40))) for i in range(4000)] + [(4000, None, "not \u9fff"), (4001, "en", "1")]
     df = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(3)
@@ -104,6 +104,13 @@ def test_language_model_and_bounds_come_from_all_rows(spark, monkeypatch):
         for key in lang_ppm.grams(np.frombuffer(text.encode(), np.uint8), 3).tolist():
             want[key] = want.get(key, 0) + 1
     assert tree.grams[3].tolist() == sorted(want)
+    monkeypatch.setattr(lang_ppm, "HELD", 500)  # a task that passes its counts on many times
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 100, "text": [r[2] for r in rows[:100]]})
+    passed, total = list(lang_ppm._counts([batch] * 40)), {}
+    for part in passed:
+        for key, n in zip(part["key"].to_pylist(), part["n"].to_pylist()):
+            total[key] = total.get(key, 0) + n
+    assert len(passed) > 1 and sum(total.values()) == 40 * sum(len(r[2].encode()) for r in rows[:100])
     seen = np.array([want[k] for k in sorted(want)])
     context, of = np.unique(tree.grams[3] >> np.uint32(8), return_inverse=True)
     assert np.allclose(tree.costs[3], -np.log2(seen / (np.bincount(of, seen) + np.bincount(of))[of]))
