@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from txnguard.session import local_session
-    session = local_session("4", "tests", **{"spark.sql.shuffle.partitions": "4"})
+    session = local_session("4", "tests", **{"spark.sql.shuffle.partitions": "4", "spark.sql.maxMetadataStringLength": "2000"})  # plans name whole paths
     yield session
     session.stop()
 

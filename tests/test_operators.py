@@ -598,3 +598,38 @@ def test_boosting_stops_on_auc(spark):
     pos, neg = [r["score"] for r in got if r["isFraud"]], [r["score"] for r in got if not r["isFraud"]]
     wins = sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg))
     assert abs(wins - curve[done.best]) < 1e-12 and len(done.model.trees) == done.best
+
+
+def test_training_tables_are_dealt_over_tasks(spark, sf, monkeypatch):
+    """A table of few bytes and many rows is stored in files of so many rows; a small one stays as it is."""
+    from txnguard.operators import training as R
+    from txnguard.plans import models as M
+    table = M.table(spark, sf)
+    assert R.dealt(table, "TransactionID") is table
+    monkeypatch.setattr(R, "TASK_ROWS", 200)
+    got = M.table(spark, sf)
+    sizes = [r["n"] for r in got.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == -(-table.count() // 200) and max(sizes) < 300 and got.count() == table.count()
+    key = ["TransactionID", "isFraud", "split"]
+    assert got.select(*key).exceptAll(table.select(*key)).isEmpty()
+
+
+def test_boosting_that_still_gains_is_fitted_once_more(spark, monkeypatch):
+    """While the last round is the best, the next run is the last one; else runs double."""
+    from txnguard.operators import training as R
+    df = spark.createDataFrame([(i % 2, *[float(i)] * len(K.FEATURES)) for i in range(4)], "isFraud int, " + ", ".join(f"{n} double" for n in K.FEATURES))
+    runs = []
+
+    class Booster:
+        def __init__(self, maxIter, **other):
+            runs.append(maxIter)
+
+        def fit(self, rows):
+            return runs[-1]
+    monkeypatch.setattr(R, "GBTClassifier", Booster)
+    monkeypatch.setattr(R, "first_rounds", lambda model, n: n)
+    for gains, expected in ((range(400), [40, 400]), ([*range(30), *[0] * 370], [40, 80]), ([*range(39), 0, *range(40, 400)], [40, 80, 400])):
+        monkeypatch.setattr(R, "auc_by_round", lambda n, *other: spark.createDataFrame([(i + 1, float(gains[i])) for i in range(n)], "round int, roc_auc double"))
+        runs.clear()
+        done = R.train_boosted_until(df, df)
+        assert runs == expected and (done.best, done.last) == R.stopping([float(g) for g in gains], 20)[:2]
