@@ -633,3 +633,21 @@ def test_boosting_that_still_gains_is_fitted_once_more(spark, monkeypatch):
         runs.clear()
         done = R.train_boosted_until(df, df)
         assert runs == expected and (done.best, done.last) == R.stopping([float(g) for g in gains], 20)[:2]
+
+
+def test_history_counts_without_being_judged(spark):
+    """Rows that are not judged get no window of their own, and no row goes to a block where nothing is judged; the totals are the same."""
+    from txnguard.operators.timeline import near_totals
+    rng = random.Random(4)
+    rows = [(f"c{rng.randrange(6)}", rng.randrange(0, 4000), i % 5 == 0) for i in range(600)] + [("c9", 50, True), ("c9", 50, False), ("c9", None, True)]
+    df = spark.createDataFrame([(k, t, own and (t is None or t >= 50) and (t or 0) < 3000) for k, t, own in rows], "k string, t long, own boolean").cache()
+    windows = {"a": (99, 0), "b": (1000, 0)}
+    wanted = {(r["k"], r["t"]) for r in df.where("own AND t IS NOT NULL").collect()}
+    span = (min(t for _, t in wanted), max(t for _, t in wanted))
+    whole = near_totals(df, "k", "t", {"n": F.lit(1)}, windows, 100)
+    some = near_totals(df, "k", "t", {"n": F.lit(1)}, windows, 100, F.col("own"), span)
+    expected = {(r["k"], r["t"]): (r["n_a"], r["n_b"]) for r in whole.collect()}
+    got = {(r["k"], r["t"]): (r["n_a"], r["n_b"]) for r in some.collect()}
+    assert got == {p: expected[p] for p in wanted} and len(expected) > len(wanted)
+    for (k, t), (a, b) in got.items():
+        assert (a, b) == tuple(sum(k == x and y is not None and t - back <= y <= t for x, y, _ in rows) for back in (99, 1000))

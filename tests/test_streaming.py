@@ -392,3 +392,14 @@ def test_appeals_in_batches_and_their_retry(spark, sf, tmp_path):
     got = tables.scored().where(F.col("event_id") == blocked).first()
     assert got["source_label"] == "replayer" and not got["blocklist_hit"] and got["blocklist_reason"].startswith("whitelist:") and got["scored_at_ms"] == late + 5
     assert tables.open_appeals().count() == 0 and tables.scored().count() == found.count()
+
+
+def test_some_columns_of_scored_events_are_folded_alone(spark, sf, tmp_path):
+    tables = appeals.Tables.at(spark, str(tmp_path / "t"))
+    fx_rows = fx.deliveries(spark, sf).select(*tables.fast.scored.schema.fieldNames())
+    for n in range(2):
+        tables.fast.scored.write(fx_rows.where(F.col("arrival") % 2 == n), n)
+    names = ["event_id", "decision", "source_label"]
+    some, whole = tables.scored(names), tables.scored()
+    assert some.columns == ["event_id", "source_label", "decision"] and rows(some, *names) == rows(whole, *names)
+    assert "customer_id" in whole._jdf.queryExecution().executedPlan().toString() and "customer_id" not in some._jdf.queryExecution().executedPlan().toString()

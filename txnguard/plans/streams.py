@@ -256,7 +256,8 @@ def appeal_loop(spark, d) -> DataFrame:
         q.stop()
     before = tables.logged.read().select("event_id", "original_decision")
     after = tables.resolved.read().select("event_id", "final_decision")
-    return tables.scored().select("event_id", "decision", "fraud_score", "blocklist_tier", "blocklist_reason", "velocity_window", "source_label") \
+    shown = ["event_id", "decision", "fraud_score", "blocklist_tier", "blocklist_reason", "velocity_window", "source_label"]
+    return tables.scored(shown).select(*shown) \
         .join(before, "event_id", "left").join(after, "event_id", "left")
 
 

@@ -49,10 +49,10 @@ class Tables:
         return cls(fastpath.Tables.at(spark, root), BatchTable(spark, f"{root}/entries", LIST_ENTRY), BatchTable(spark, f"{root}/appeals", LOGGED),
                    BatchTable(spark, f"{root}/refused", REFUSED), BatchTable(spark, f"{root}/resolved", RESOLVED), sent)
 
-    def scored(self) -> DataFrame:
-        """One row per event: as it first arrived, with its newest decision."""
-        return merge.latest_wins(self.fast.scored.read().withColumn("_at", F.struct("batch", "arrival")),
-                                 [c for c in EVENT_FIELDS if c != "event_id"], SCORE_FIELDS, arrival="_at")
+    def scored(self, columns: list[str] | None = None) -> DataFrame:
+        """One row per event: as it first arrived, with its newest decision. Of ``columns`` only, if given: no others are shuffled."""
+        first, latest = ([c for c in fields if c != "event_id" and (columns is None or c in columns)] for fields in (EVENT_FIELDS, SCORE_FIELDS))
+        return merge.latest_wins(self.fast.scored.read().withColumn("_at", F.struct("batch", "arrival")), first, latest, arrival="_at")
 
     def open_appeals(self) -> DataFrame:
         """Accepted appeals whose event was not scored again after they were submitted."""
