@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from txnguard.llm import (gumbel_pieces, lang_ppm, licence_rules, near_dups, nn_descent, packing, pii_anchors, secrets_linked,
                           tagpath, topk_taat)
+from txnguard.llm.common import BATCH
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 LONG = "word " * 30000
@@ -122,6 +123,34 @@ def test_language_model_and_bounds_come_from_all_rows(spark, monkeypatch):
     assert np.allclose(lang_ppm.bounds(df)["en"], high)
 
 
+def test_bounds_score_each_piece_once(docs, monkeypatch):
+    """A filter below the call would score every piece twice, in two workers of each task."""
+    plans, quantiles = [], lang_ppm.exact_quantiles
+
+    def seen(df, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return quantiles(df, *args)
+    monkeypatch.setattr(lang_ppm, "exact_quantiles", seen)
+    assert lang_ppm.bounds(docs)
+    assert [p.count("ArrowEvalPython") for p in plans] == [1]
+
+
+@pytest.mark.parametrize("stage", ["language_id", "near_dedup", "secret_scan"])
+def test_long_texts_reach_python_in_small_batches(spark, stage):
+    import corpus_pipeline
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(limit)
+    rows = spark.range(8000).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.repeat(F.col("id").cast("string"), 500)).alias("text"),
+                                    F.lit("en").alias("lang"), F.lit("web").alias("source"), F.lit(1).alias("n_chars")).coalesce(1)
+    getattr(corpus_pipeline, stage)(spark, rows.where("doc_id < 20"), None)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+    got = [r["n"] for r in rows.mapInArrow(sizes, "n long").collect()]
+    assert sum(got) > 3 * BATCH and max(got) < 2 * BATCH
+
+
 def test_language_of_held_out_rows(docs):
     out = lang_ppm.report(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out AND lang IS NOT NULL").toPandas()
     assert len(out) > 30

@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from txnguard.llm.common import fresh
+from txnguard.llm.common import fresh, small_batches
 from txnguard.operators.prefix import exact_quantiles
 
 ORDER = 3
@@ -103,6 +103,7 @@ def _counts(rows):
 
 def fit(rows: DataFrame, text: str = "text", lang: str = "lang", train_docs: int | None = None, max_nodes: int = 400_000) -> Model:
     """Learn from the rows of ``rows`` that have a language and a letter in their text."""
+    small_batches(rows.sparkSession)
     sample = _sample(rows, text, lang, train_docs)
     if sample is None:
         return Model([], [])
@@ -220,6 +221,7 @@ def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``df`` with lang_pred, score and bits_per_byte; columns of those names are replaced."""
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
     kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("bits_per_byte", pa.float64())])
 
@@ -236,7 +238,8 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
         return pa.array([(model.languages[b], float(s), float(x / n)) if n else (UNKNOWN, 0.0, None)
                          for b, s, x, n in zip(best, score, least, size)], type=kind)
 
-    judge = F.arrow_udf(judged, "lang_pred string, score double, bits_per_byte double")
+    # a filter on the outcome must not be pushed below the call: it would score each text a second time, in a second worker
+    judge = F.arrow_udf(judged, "lang_pred string, score double, bits_per_byte double").asNondeterministic()
     own = F.col(f"`{text}`")
     held = fresh(df, "judged")
     has_letter = F.when(own.rlike(r"\p{L}"), F.lower(own)).otherwise("")  # what has no letter is not scored

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from txnguard.llm.common import Scratch
+from txnguard.llm.common import Scratch, small_batches
 from txnguard.operators.joins import lookup_join
 
 COLLECTIONS = 14
@@ -318,6 +318,7 @@ def _block_links(key: tuple, rows: pa.Table) -> pa.Table:
 
 def near_duplicates(docs: DataFrame, words: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: id, n_shingles, component_id (smallest id reachable), kept."""
+    small_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "near-dups")
     own = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"))
     sketch = scratch.keep(own.select("id", sketch_column(F.col("text"), words).alias("k")).select("id", "k.*"), "sketch")

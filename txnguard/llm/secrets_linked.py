@@ -19,7 +19,7 @@ from bisect import bisect_left, bisect_right
 
 from pyspark.sql import DataFrame, functions as F
 
-from txnguard.llm.common import of_kind, span_finder, span_text
+from txnguard.llm.common import of_kind, small_batches, span_finder, span_text
 
 KINDS = ("assign", "access", "hex")
 WEAK = ("part_id", "part_secret", "part_endpoint")
@@ -152,6 +152,7 @@ def masked(df: DataFrame, text: str = "text", reach: int = 300) -> DataFrame:
         import pyarrow as pa
         return pa.array([mask(t.as_py()) if t.is_valid else None for t in texts], type=pa.string())
 
+    small_batches(df.sparkSession)
     return df.withColumn(text, F.arrow_udf(clean, "string")(F.col(f"`{text}`")))
 
 
