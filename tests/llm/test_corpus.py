@@ -3,6 +3,8 @@
 import hashlib
 import math
 import re
+import time
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 from txnguard.llm import (gumbel_pieces, lang_ppm, licence_rules, near_dups, nn_descent, packing, pii_anchors, secrets_linked,
                           tagpath, topk_taat)
-from txnguard.llm.common import BATCH
+from txnguard.llm.common import BATCH, Scratch
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 LONG = "word " * 30000
@@ -151,6 +153,19 @@ def test_long_texts_reach_python_in_small_batches(spark, stage):
     assert sum(got) > 3 * BATCH and max(got) < 2 * BATCH
 
 
+def test_shuffle_files_go_with_a_stored_table(spark):
+    folders = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for d in folders for f in Path(d).rglob("shuffle_*")}
+    before = files()
+    kept = Scratch(spark, "t").keep(spark.range(1000).groupBy((F.col("id") % 7).alias("g")).count(), "t")
+    for _ in range(20):
+        if files() <= before:
+            break
+        time.sleep(0.2)
+    assert files() <= before and kept.count() == 7
+    assert spark.conf.get(Scratch.CLEANUP) == "false"
+
+
 def test_language_of_held_out_rows(docs):
     out = lang_ppm.report(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out AND lang IS NOT NULL").toPandas()
     assert len(out) > 30
