@@ -561,6 +561,33 @@ def test_near_duplicates_meet_no_block_without_need(spark, monkeypatch):
     assert sorted(map(tuple, near_dups.report(df).collect())) == sorted(brute_components(rows, 4))
 
 
+def test_near_duplicates_broadcast_nothing_on_an_estimate(spark, monkeypatch):
+    """Exploded rows are many more than Spark takes them for: no join is broadcast but those that count their table first."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    from txnguard.operators.joins import salted_join
+    plans, store = [], DataFrameWriter.parquet
+
+    def write(self, *args, **options):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return store(self, *args, **options)
+    monkeypatch.setattr(DataFrameWriter, "parquet", write)
+    monkeypatch.setattr(near_dups, "lookup_join", salted_join)
+    monkeypatch.setattr(near_dups, "BLOCK", 20)
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in rng.integers(0, 500, 100)]
+    rows = []
+    for i in range(60):
+        own = list(base)
+        for at in rng.integers(0, 100, rng.integers(0, 12)):
+            own[at] = f"x{rng.integers(0, 60)}"
+        rows.append((i, " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    before = [spark.conf.get(key, None) for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")]
+    assert sorted(map(tuple, near_dups.report(df).collect())) == sorted(brute_components(rows, 4))
+    assert sum("Join" in p for p in plans) > 5 and not any("BroadcastHashJoin" in p for p in plans)
+    assert [spark.conf.get(key, None) for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")] == before
+
+
 def test_near_duplicates_on_odd_rows(odd, none):
     out = {(r["doc_id"], r["n_shingles"]): r for r in near_dups.report(odd).collect()}
     assert out[(5, 3)]["component_id"] == 4 and not out[(5, 3)]["kept"]

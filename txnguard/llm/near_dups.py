@@ -254,7 +254,7 @@ def links(docs: DataFrame, classes: DataFrame, words: int, scratch: Scratch) ->
     groups = components(tied.select(F.col("least").alias("a"), F.col("node").alias("b")), scratch).withColumnRenamed("component", "grp")
     nodes = scratch.keep(lists.select("node", "c").distinct().join(groups, "node"), "nodes")
     blocks = nodes.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = nodes.join(blocks, "grp").join(sets, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")) \
+    dealt = lookup_join(nodes, blocks, ["grp"], "inner", ["node"]).join(sets, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     third = dealt.select("grp", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "c", "s") \
         .groupBy("grp", "p", "q").applyInArrow(_block_links, "a long, b long")
@@ -319,7 +319,7 @@ def _block_links(key: tuple, rows: pa.Table) -> pa.Table:
 def near_duplicates(docs: DataFrame, words: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: id, n_shingles, component_id (smallest id reachable), kept."""
     small_batches(docs.sparkSession)
-    scratch = Scratch(docs.sparkSession, "near-dups")
+    scratch = Scratch(docs.sparkSession, "near-dups", estimates=False)
     own = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"))
     sketch = scratch.keep(own.select("id", sketch_column(F.col("text"), words).alias("k")).select("id", "k.*"), "sketch")
     usable = sketch.where("digest IS NOT NULL AND id IS NOT NULL")
